@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.functions.text import estimate_tokens, nonempty, words
-from pagemill.operators.ordering import PIECE, null_safe_join, with_index, with_pieces
+from pagemill.operators.ordering import PIECE, cut_points, null_safe_join, with_index, with_pieces
 
 # Batch size, separators and token limits.
 BATCH_SIZE = 1000
@@ -124,7 +124,8 @@ def pack_batches(
     """
     group = list(group)
     kept = df.filter(F.col(tokens) <= limit)
-    slim = with_pieces(kept.select(*group, order, F.col(tokens).cast("long").alias("_tokens")), order, piece_rows)
+    slim = kept.select(*group, order, F.col(tokens).cast("long").alias("_tokens"))
+    slim = with_pieces(slim, order, cut_points(slim, order, piece_rows))
     keys = [slim.schema[g] for g in group]
     names = [*group, PIECE]
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from pagemill.functions import variants
 from pagemill.functions.text import first_truthy, nonempty
-from pagemill.operators.ordering import first_per_key, null_safe_join
+from pagemill.operators.ordering import first_per_key, lookup_join, null_safe_join
 from pagemill.sources.schemas import PRODUCT, VENUE_KEYS
 
 
@@ -95,14 +95,13 @@ def split_results(df: DataFrame, success: Column) -> tuple[DataFrame, DataFrame]
 def until_stop(pages: DataFrame, site: str, order: str, stop: Column) -> DataFrame:
     """Pages of each site before its first stop page.
 
-    The first stop of each site is a combinable minimum; the pages are then
-    compared with it. No site is ever gathered in one task, as a running
-    maximum over the site would do; a hot site is split by the adaptive join.
+    The first stop of each site is a combinable minimum that its pages are
+    then compared with. No site is gathered in one task, as a running maximum
+    over it would do, and the pages of the largest sites are not shuffled.
     """
-    stops = (
-        pages.filter(F.coalesce(stop, F.lit(False))).groupBy(F.col(site).alias(site)).agg(F.min(order).alias("_stop"))
-    )
-    joined = null_safe_join(pages, stops, [site], "left")
+    where = F.when(F.coalesce(stop, F.lit(False)), F.col(order))
+    stops = pages.groupBy(site).agg(F.min(where).alias("_stop"), F.count("*").alias("_n"))
+    joined = lookup_join(pages, stops, site)
     return joined.filter(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_stop")
 
 

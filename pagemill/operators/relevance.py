@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import words
-from pagemill.operators.ordering import PIECE, null_safe_join, with_pieces, with_running_sums
+from pagemill.functions.text import WHITESPACE
+from pagemill.operators.ordering import cut_points, null_safe_join, with_previous, with_running_sums
+from pagemill.storage import cut_lineage
 
 # Stop rules and bands of an adaptive crawl.
 CONFIDENCE = 0.8
@@ -17,12 +18,13 @@ MAX_PAGES = 30
 LEAST_GAIN = 0.05
 BANDS = ((0.3, "insufficient"), (0.6, "partial"), (0.7, "good"))
 TOP_BAND = "excellent"
+PUNCTUATION = ".,;:!?"
 
 
 def terms(text: Column) -> Column:
     """Lower-cased words without punctuation at their ends."""
-    bare = F.transform(words(F.lower(text)), lambda w: F.regexp_replace(w, r"^[.,;:!?]+|[.,;:!?]+$", ""))
-    return F.filter(bare, lambda w: w != "")
+    inner = F.btrim(F.lower(text), F.lit(WHITESPACE + PUNCTUATION))
+    return F.filter(F.split(inner, rf"[{PUNCTUATION}]*\s+[{PUNCTUATION}]*"), lambda w: w != "")
 
 
 def _sum(columns: Sequence[Column]) -> Column:
@@ -34,20 +36,19 @@ def rank_pages(
 ) -> DataFrame:
     """Okapi BM25 score of every document that holds a query term.
 
-    The frequencies of the few query terms are columns, counted where the text
-    is read; the statistics are one combinable row, read back as a scalar.
-    No word is ever shuffled.
+    The text is read once, into a narrow table of lengths and frequencies of
+    the few query terms; their statistics are one combinable row of it, read
+    back as a scalar. No word is ever shuffled.
     """
     query = list(dict.fromkeys(query))
 
     def frequency(term: str) -> Column:
-        return F.size(F.filter("_terms", lambda word: word == term))
+        return F.size(F.filter("_hits", lambda word: word == term))
 
-    counted = docs.select(key, terms(F.col(text)).alias("_terms")).select(
-        key,
-        F.size("_terms").alias("_length"),
-        *[frequency(term).alias(f"_tf{i}") for i, term in enumerate(query)],
-    )
+    tokenized = docs.select(key, terms(F.col(text)).alias("_terms"))
+    found = tokenized.select(key, F.size("_terms").alias("_length"), F.filter("_terms", lambda w: w.isin(query)).alias("_hits"))
+    counts = [frequency(term).alias(f"_tf{i}") for i, term in enumerate(query)]
+    counted = cut_lineage(found.select(key, "_length", *counts), "term-counts")
     stats = counted.agg(
         F.struct(
             F.count("*").alias("n"),
@@ -105,16 +106,13 @@ def adaptive_stats(
     sized = pages.select(crawl, order, F.size("_words").alias("_size"), held.alias("_held"))
     known = null_safe_join(sized, new, [crawl, order], "left").fillna(0, ["_new", "_new_terms"])
 
-    counted = with_running_sums(
-        known, order, {"page_no": F.lit(1).cast("long"), "_seen": F.col("_new_terms")}, [crawl]
-    )
+    known = cut_lineage(known, "page-terms")
+    cuts = cut_points(known, order)
+    seen = {"page_no": F.lit(1).cast("long"), "_seen": F.col("_new_terms")}
+    counted = with_running_sums(known, order, seen, [crawl], cuts=cuts)
     share = F.when(F.col("_held") > 0, F.col("_held") / F.col("_seen"))
-    summed = with_running_sums(
-        counted,
-        order,
-        {"_shares": F.coalesce(share, F.lit(0.0)), "_holders": (F.col("_held") > 0).cast("long")},
-        [crawl],
-    )
+    shares = {"_shares": F.coalesce(share, F.lit(0.0)), "_holders": (F.col("_held") > 0).cast("long")}
+    summed = with_running_sums(counted, order, shares, [crawl], cuts=cuts)
     coverage = F.col("_seen") / F.lit(len(query))
     saturation = F.when(F.col("_size") > 0, 1 - F.col("_new") / F.col("_size")).otherwise(F.lit(1.0))
     consistency = F.when(F.col("_holders") > 0, F.col("_shares") / F.col("_holders")).otherwise(F.lit(0.0))
@@ -127,8 +125,8 @@ def adaptive_stats(
         saturation.alias("saturation"),
         ((coverage + consistency + saturation) / 3).alias("confidence"),
     )
-    gained = with_previous(measured, order, "confidence", [crawl], "_before")
-    gain = F.col("confidence") - F.coalesce(F.col("_before"), F.lit(0.0))
+    gained = with_previous(measured, order, "confidence", "_previous", [crawl], cuts=cuts)
+    gain = F.col("confidence") - F.coalesce(F.col("_previous"), F.lit(0.0))
     slow = (F.col("page_no") > 1) & (gain < least_gain)
     return gained.withColumns(
         {
@@ -136,16 +134,5 @@ def adaptive_stats(
             "band": band(F.col("confidence")),
             "stop": (F.col("confidence") >= threshold) | (F.col("page_no") >= max_pages) | slow,
         }
-    ).drop("_before")
-
-
-def with_previous(df: DataFrame, order: str, column: str, group: Sequence[str], name: str) -> DataFrame:
-    """The value of the row before, found within pieces; the first row of a piece gets the last value of the one before."""
-    pieced = with_pieces(df, order)
-    last = pieced.groupBy(*group, PIECE).agg(F.max_by(column, order).alias("_last"))
-    earlier = last.select(*group, PIECE, F.lag("_last").over(Window.partitionBy(*group).orderBy(PIECE)).alias("_carried"))
-    within = Window.partitionBy(*group, PIECE).orderBy(order)
-    local = pieced.withColumn("_local", F.lag(column).over(within)).withColumn("_row", F.row_number().over(within))
-    joined = null_safe_join(local, earlier, [*group, PIECE])
-    value = F.when(F.col("_row") == 1, F.col("_carried")).otherwise(F.col("_local"))
-    return joined.withColumn(name, value).select(*df.columns, name)
+    ).drop("_previous")
+

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagemill.operators.ordering import with_index
+from pagemill.operators.ordering import lookup_join, with_index
 from pagemill.storage import cut_lineage
 
 # Distance that covers a query, its decay, and the thresholds.
@@ -22,7 +22,7 @@ IRRELEVANT_BELOW = 0.1
 OVERLAP = 0.85
 
 QUERY_BLOCK = 1_000
-PIVOTS = 64
+MAX_PIVOTS = 512
 BLOCK_ROWS = 4_000
 
 
@@ -103,17 +103,19 @@ def near_duplicates(df: DataFrame, key: str, threshold: float = OVERLAP, vector:
     tasks as its share.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).filter(F.col("v").isNotNull())
-    distinct = cut_lineage(rows.groupBy("v").agg(F.min("id").alias("id")), "vectors")
-    equal = rows.join(distinct.withColumnRenamed("id", "first"), "v").select("id", "first")
-    near = _earliest_near(distinct, threshold)
-    joined = equal.join(near.withColumnRenamed("id", "first"), "first", "left")
+    folded = rows.groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("_n"))
+    folded = cut_lineage(folded, "vectors")
+    near = _earliest_near(folded.select(F.col("first").alias("id"), "v"), threshold).withColumnRenamed("id", "first")
+    copies = folded.join(near, "first", "left")
     copy = F.least(F.when(F.col("first") < F.col("id"), F.col("first")), F.col("near"))
+    joined = lookup_join(rows, copies, "v")
     return joined.select(F.col("id").alias(key), copy.alias("duplicate_of")).filter(F.col("duplicate_of").isNotNull())
 
 
 def _earliest_near(vectors: DataFrame, threshold: float) -> DataFrame:
-    # A bounded, repeatable choice of pivots: the lowest hashes.
-    chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).toPandas()
+    # A bounded, repeatable choice of pivots, one for each block of vectors: the lowest hashes.
+    wanted = min(math.ceil(vectors.count() / BLOCK_ROWS), MAX_PIVOTS)
+    chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()
     if chosen.empty:
         return vectors.select("id", F.lit(None).cast("long").alias("near"))
     pivots = _unit(chosen["v"])
@@ -132,11 +134,11 @@ def _earliest_near(vectors: DataFrame, threshold: float) -> DataFrame:
             border = (squares - squares[np.arange(len(unit)), home][:, None]) / (2 * spread[home])
             row, cell = np.nonzero(border <= reach)
             yield pd.DataFrame(
-                {"cell": cell, "is_home": home[row] == cell, "id": batch["id"].to_numpy()[row], "v": list(unit[row])}
+                {"cell": cell, "is_home": home[row] == cell, "id": batch["id"].to_numpy()[row], "v": [u.tobytes() for u in unit[row]]}
             )
 
     # At most one row for each pivot.
-    placed = vectors.mapInPandas(place, "cell int, is_home boolean, id long, v array<double>")
+    placed = vectors.mapInPandas(place, "cell int, is_home boolean, id long, v binary")
     placed = cut_lineage(placed, "cells")
     sizes = placed.groupBy("cell").agg(
         F.ceil(F.count_if("is_home") / F.lit(BLOCK_ROWS)).cast("int").alias("member_blocks"),
@@ -165,7 +167,7 @@ def _earliest_near(vectors: DataFrame, threshold: float) -> DataFrame:
         is_member = block["is_member"].to_numpy()
         if is_member.all() or not is_member.any():
             return pd.DataFrame({"id": [], "near": []}, dtype="int64")
-        unit = np.stack(block["v"].to_numpy())
+        unit = np.frombuffer(b"".join(block["v"]), dtype=np.float64).reshape(len(block), -1)
         ids = block["id"].to_numpy()
         order = np.argsort(ids[is_member])
         member_ids, member_unit = ids[is_member][order], unit[is_member][order]

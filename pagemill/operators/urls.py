@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions import urls
-from pagemill.operators.ordering import first_per_key
+from pagemill.operators.ordering import first_per_key, lookup_join
 
 
 def filter_urls(df: DataFrame, regex: str, url: str = "url") -> DataFrame:
@@ -31,14 +31,15 @@ def filter_domains(
 def filter_domain_table(df: DataFrame, blocked: DataFrame, url: str = "url", domain: str = "domain") -> DataFrame:
     """As a block list of :func:`filter_domains`, for a list kept as a table.
 
-    The list is matched with the distinct hosts, not with the rows. Whether
-    the blocked hosts are broadcast is left to their measured size.
+    The list is matched with the distinct hosts, not with the rows, and the
+    verdict on each host is looked up by its rows.
     """
     named = df.withColumn("_host", urls.host(F.col(url)))
-    hosts = named.select("_host").filter(F.col("_host").isNotNull()).distinct()
+    hosts = named.groupBy("_host").agg(F.count("*").alias("_n"))
     suffixes = hosts.select("_host", F.explode(urls.host_suffixes(F.col("_host"))).alias(domain))
-    hit = suffixes.join(blocked.select(F.lower(domain).alias(domain)), domain, "left_semi").select("_host").distinct()
-    return named.join(hit, "_host", "left_anti").select(*df.columns)
+    hits = suffixes.join(blocked.select(F.lower(domain).alias(domain)), domain, "left_semi").select("_host").distinct()
+    verdicts = hosts.join(hits.withColumn("_blocked", F.lit(True)), "_host", "left")
+    return lookup_join(named, verdicts, "_host").filter(F.col("_blocked").isNull()).select(*df.columns)
 
 
 def filter_content_type(df: DataFrame, types: Sequence[str], column: str = "content_type") -> DataFrame:

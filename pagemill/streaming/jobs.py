@@ -92,15 +92,36 @@ def stream_counts(events: DataFrame, *by: Column | str) -> DataFrame:
     return events.groupBy(*by).agg(F.count("*").alias("n"))
 
 
-def stream_dedupe(events: DataFrame, keys: Sequence[str], ts: str | None = None, within: str | None = None) -> DataFrame:
-    """Each key once: exact with state for every key, or bounded by a watermark on ``ts``."""
-    if ts is None or within is None:
-        return events.dropDuplicates(list(keys))
-    return events.withWatermark(ts, within).dropDuplicatesWithinWatermark(list(keys))
+def stream_dedupe(
+    events: DataFrame, keys: Sequence[str], ts: str | None = None, within: str | None = None, salts: int = 1
+) -> DataFrame:
+    """Each key once: exact with state for every key, or bounded by a watermark on ``ts``.
+
+    With ``salts`` above 1 a first pass drops repeats within each salt of a
+    key, so that of a key with a third of all rows at most ``salts`` rows ever
+    reach the task that holds it.
+    """
+    if ts is not None and within is not None:
+        events = events.withWatermark(ts, within)
+
+    def drop(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        if ts is not None and within is not None:
+            return df.dropDuplicatesWithinWatermark(list(columns))
+        return df.dropDuplicates(list(columns))
+
+    if salts > 1:
+        salted = events.withColumn("_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salts)))
+        events = drop(salted, [*keys, "_salt"]).drop("_salt")
+    return drop(events, keys)
 
 
 def stream_idle(events: DataFrame, key: str, ts: str, gap: str, late: str) -> DataFrame:
-    """Sessions that end when a key is idle for longer than ``gap``; emitted once the watermark has passed them."""
+    """Sessions that end when a key is idle for longer than ``gap``; emitted once the watermark has passed them.
+
+    Each task merges the sessions of its own rows before the shuffle, so a
+    busy key costs one row a task and session.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     window = F.session_window(ts, gap)
     return (
         events.withWatermark(ts, late)

@@ -8,7 +8,7 @@ from pagemill.operators import batches as B
 from pagemill.operators import html as H
 from pagemill.plans import catalogue, spec_tables
 from pagemill.suite import fixtures as X
-from pagemill.suite.registry import query, table
+from pagemill.suite.registry import query, spread_table, table
 
 SEPARATOR = "chr(10)||chr(10)||'---PRODUCT-SEPARATOR---'||chr(10)||chr(10)"
 LOG = """CASE doc_id % 6 WHEN 0 THEN concat('Starting batch extraction for products ', doc_id, '–', doc_id + n_chars, '. Appending to x.')
@@ -19,7 +19,7 @@ LOG = """CASE doc_id % 6 WHEN 0 THEN concat('Starting batch extraction for produ
 
 
 def documents(spark, sf, *columns):
-    return table(spark, sf, "documents").select(*columns)
+    return spread_table(spark, sf, "documents", "doc_id").select(*columns)
 
 
 def batch_sql(size: int) -> str:

@@ -13,7 +13,7 @@ from pagemill.sources.readers import split_blocks
 from pagemill.sources.writers import write_tables
 from pagemill.storage import scratch_path
 from pagemill.suite import fixtures as X
-from pagemill.suite.registry import query, table
+from pagemill.suite.registry import query, spread_table, table
 
 
 def sql_quote(text: str) -> str:
@@ -45,7 +45,7 @@ def sql_clean(expr: str) -> str:
 
 
 def pages(spark, sf, *columns):
-    return table(spark, sf, "pages").select(*(columns or ("page_id", "html")))
+    return spread_table(spark, sf, "pages", "page_id").select(*(columns or ("page_id", "html")))
 
 
 def part_html(spark, sf, html):
@@ -243,7 +243,11 @@ def decode_entities(spark, sf):
     return titled.select("page_id", F.when(F.col("title") != "No title", decode(F.col("title"))).otherwise("").alias("title"))
 
 
-@query(f"SELECT page_id, {sql_decode('html')} AS html FROM pages")
+# A page cut off in the middle of an entity ends in ``&amp``, which the full decoder knows.
+FULL_DECODE = f"regexp_replace({sql_decode('html').removeprefix('replace(').rsplit(', ', 2)[0]}, '&amp;?', '&', 'g')"
+
+
+@query(f"SELECT page_id, {FULL_DECODE} AS html FROM pages")
 def decode_before_parsing(spark, sf):
     """The order that decodes raw HTML first, with the full set of entities."""
     return H.decode_all_entities(pages(spark, sf), "html")
@@ -255,7 +259,7 @@ def decode_before_parsing(spark, sf):
     SELECT doc_id, block_no, block FROM r WHERE len(list_filter(regexp_split_to_array(block, '\\s+'), lambda w: w <> '')) >= 10"""
 )
 def min_words(spark, sf):
-    lines = split_blocks(table(spark, sf, "documents"), "text", "doc_id", separator="\n")
+    lines = split_blocks(spread_table(spark, sf, "documents", "doc_id"), "text", "doc_id", separator="\n")
     return H.filter_blocks(lines, 10)
 
 

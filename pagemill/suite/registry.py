@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagemill.functions.text import WHITESPACE
 from pagemill.session import ship_package
+from pagemill.storage import spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,3 +38,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are costly to read: a small single file is spread over the cores."""
+    return spread_small(table(spark, sf_dir, name), key)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagemill.operators import relevance as R
 from pagemill.operators import similarity as S
-from pagemill.suite.registry import query, table
+from pagemill.suite.registry import query, spread_table, table
 
 QUERY = ["the", "tion", "worthless", "étion", "schung"]
 SQL_TERMS = """list_filter(list_transform(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> ''),
@@ -23,7 +23,7 @@ BM25_SQL = f"""WITH d AS (SELECT doc_id, {SQL_TERMS} AS t FROM documents),
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "source", "text")
+    return spread_table(spark, sf, "documents", "doc_id").select("doc_id", "source", "text")
 
 
 @query(f"{BM25_SQL} SELECT doc_id, round(score, 6) AS score FROM r")
@@ -51,15 +51,16 @@ def top_pages(spark, sf):
       CASE WHEN size > 0 THEN 1 - fresh / size::DOUBLE ELSE 1 END AS saturation FROM c),
     k AS (SELECT *, (coverage + consistency + saturation) / 3 AS confidence FROM m),
     g AS (SELECT *, confidence - coalesce(lag(confidence) OVER (PARTITION BY source ORDER BY doc_id), 0) AS gain FROM k)
-    SELECT source, doc_id, page_no, round(coverage, 6) AS coverage, round(consistency, 6) AS consistency, round(saturation, 6) AS saturation,
-      round(confidence, 6) AS confidence, round(gain, 6) AS gain,
+    SELECT source, doc_id, page_no, round(coverage + 1e-9, 6) AS coverage, round(consistency + 1e-9, 6) AS consistency,
+      round(saturation + 1e-9, 6) AS saturation, round(confidence + 1e-9, 6) AS confidence, round(gain + 1e-9, 6) AS gain,
       CASE WHEN confidence < 0.3 THEN 'insufficient' WHEN confidence < 0.6 THEN 'partial' WHEN confidence < 0.7 THEN 'good' ELSE 'excellent' END AS band,
       confidence >= 0.8 OR page_no >= 30 OR (page_no > 1 AND gain < 0.05) AS stop FROM g"""
 )
 def adaptive_stats(spark, sf):
     """Each source as one crawl, its documents as the pages in order."""
     stats = R.adaptive_stats(documents(spark, sf), QUERY, "source", "doc_id")
-    return stats.withColumns({c: F.round(c, 6) for c in ("coverage", "consistency", "saturation", "confidence", "gain")})
+    # The small addend keeps exact halves from being rounded either way.
+    return stats.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in ("coverage", "consistency", "saturation", "confidence", "gain")})
 
 
 COSINE = "list_cosine_similarity(CAST({0}.embedding AS DOUBLE[]), CAST({1}.embedding AS DOUBLE[]))"

@@ -34,7 +34,8 @@ def stream_counts(spark, sf):
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedupe(spark, sf):
     out, checkpoint = scratch_path(spark, "seen"), scratch_path(spark, "seen-checkpoint")
-    seen = S.stream_dedupe(events_stream(spark, sf).select("user_id", "event_type"), ["user_id", "event_type"])
+    rows = events_stream(spark, sf).select("user_id", "event_type", "event_id")
+    seen = S.stream_dedupe(rows, ["user_id", "event_type"], salts=4).drop("event_id")
     S.finish(S.run_to_files(seen, out, checkpoint))
     return spark.read.schema(seen.schema).parquet(out)
 

@@ -29,9 +29,8 @@ def items(json: Column) -> Column:
     return get(parse(json), "$", "array<variant>")
 
 
-def items_or_self(json: Column) -> Column:
-    """An array's elements, or a single value as the only element."""
-    value = parse(json)
+def items_or_self(value: Column) -> Column:
+    """The elements of an array variant, or a single value as the only element."""
     return F.coalesce(get(value, "$", "array<variant>"), F.when(value.isNotNull(), F.array(value)))
 
 

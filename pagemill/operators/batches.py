@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.functions.text import estimate_tokens, nonempty, words
+from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import PIECE, cut_points, null_safe_join, with_index, with_pieces
 
 # Batch size, separators and token limits.
@@ -190,16 +191,13 @@ def chunk_text(df: DataFrame, size: int = CHUNK_TOKENS, overlap: int = 0, text:
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
     rest = [c for c in df.columns if c != text]
-    cut = df.select(*rest, words(F.col(text)).alias("_words")).filter(F.size("_words") > 0)
+    cut = df.select(*rest, words(F.col(text)).alias("_words"))
     # The last window is the first that reaches the end.
     last = F.greatest(F.ceil((F.size("_words") - F.lit(size)) / F.lit(size - overlap)), F.lit(0)).cast("int")
-    numbered = cut.select(*rest, "_words", F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
-    window = F.slice("_words", F.col("chunk_no") * (size - overlap) + 1, F.lit(size))
-    return numbered.select(
-        *rest,
-        F.col("chunk_no").cast("long").alias("chunk_no"),
-        F.size(window).cast("long").alias("n_words"),
-        F.array_join(window, " ").alias("chunk"),
+    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("_words", i * (size - overlap) + 1, F.lit(size)))
+    rows = number_items(cut, rest, F.when(F.size("_words") > 0, windows), "chunk_no", "_window", 0)
+    return rows.select(
+        *rest, "chunk_no", F.size("_window").cast("long").alias("n_words"), F.array_join("_window", " ").alias("chunk")
     )
 
 

@@ -21,6 +21,7 @@ from pagemill.functions import html as H
 from pagemill.functions import text as X
 from pagemill.functions import urls, variants
 from pagemill.operators import markdown, markup, tables
+from pagemill.operators.exploding import number_items
 from pagemill.storage import spread_small
 
 Rows = Callable[[str], Iterable[tuple]]
@@ -61,8 +62,7 @@ def extract_scoped(pages: DataFrame, container: str, target: str, keys: Sequence
 
 def extract_tables_flat(pages: DataFrame, html: str = "html", keys: Sequence[str] = ("page_id",)) -> DataFrame:
     """Tables that hold no tables, numbered from 1."""
-    rows = pages.select(*keys, F.posexplode(H.flat_tables(F.col(html))).alias("table_no", "html"))
-    return rows.withColumn("table_no", (F.col("table_no") + 1).cast("long"))
+    return number_items(pages, keys, H.flat_tables(F.col(html)), "table_no", "html")
 
 
 def extract_tables_all(pages: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
@@ -200,10 +200,8 @@ def extract_images(pages: DataFrame, html: str = "html", external: bool = True)
     ``external=False`` drops images of other hosts.
     """
     rest = [c for c in pages.columns if c != html]
-    tag_rows = pages.select(*rest, F.posexplode(H.image_tags(F.col(html))).alias("image_no", "tag"))
-    rows = tag_rows.withColumn("image_no", (F.col("image_no") + 1).cast("long")).withColumn(
-        "src", F.coalesce(*[H.attribute(F.col("tag"), a) for a in (*LAZY_ATTRIBUTES, "src")])
-    )
+    rows = number_items(pages, rest, H.image_tags(F.col(html)), "image_no", "tag")
+    rows = rows.withColumn("src", F.coalesce(*[H.attribute(F.col("tag"), a) for a in (*LAZY_ATTRIBUTES, "src")]))
     if external:
         return rows
     there = urls.host(urls.resolve(F.col("src"), F.col("url")))

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import html as H
 from pagemill.functions import urls
+from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import top_per_key
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """Links of each page in document order, numbered from 1."""
-    links = pages.withColumn("_hrefs", H.hrefs(F.col(html))).drop(html)
-    rows = links.select(*[c for c in links.columns if c != "_hrefs"], F.posexplode("_hrefs").alias("link_no", "href"))
-    return rows.withColumn("link_no", (F.col("link_no") + 1).cast("long"))
+    rest = [c for c in pages.columns if c != html]
+    return number_items(pages, rest, H.hrefs(F.col(html)), "link_no", "href")
 
 
 def resolve_links(links: DataFrame, href: str = "href", base: str = "url", into: str = "target") -> DataFrame:

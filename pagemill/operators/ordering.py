@@ -109,9 +109,17 @@ def with_index(
     rows: int = ROWS_PER_PIECE,
     cuts: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Add the position by ``order`` within ``group``, from 0."""
-    numbered = with_running_sums(df, order, {name: F.lit(1).cast("long")}, group, rows, cuts)
-    return numbered.withColumn(name, F.col(name) - 1)
+    """Add the position by ``order`` within ``group``, from 0.
+
+    Where the sequence is cut into pieces only the keys are numbered, and the
+    rows, which may hold whole texts, are joined to their numbers: a piece of
+    many rows then stays small.
+    """
+    cuts = cut_points(df, order, rows) if cuts is None else cuts
+    keys = [*group, order]
+    numbers = with_running_sums(df.select(*keys) if cuts else df, order, {name: F.lit(1).cast("long")}, group, cuts=cuts)
+    numbers = numbers.withColumn(name, F.col(name) - 1)
+    return null_safe_join(df, numbers, keys) if cuts and set(df.columns) != set(keys) else numbers
 
 
 def with_previous(

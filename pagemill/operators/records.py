@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from pagemill.functions import variants
 from pagemill.functions.text import first_truthy, nonempty
+from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import first_per_key, lookup_join, null_safe_join
 from pagemill.sources.schemas import PRODUCT, VENUE_KEYS
 
@@ -56,8 +57,7 @@ def merge_records(parsed: DataFrame, model: DataFrame, keys: Sequence[str], fiel
 def explode_response(df: DataFrame, json: str = "response", into: str = "item") -> DataFrame:
     """Elements of each response's JSON array with their position from 1; other text gives none."""
     rest = [c for c in df.columns if c != json]
-    rows = df.select(*rest, F.posexplode(variants.items(F.col(json))).alias("item_no", into))
-    return rows.withColumn("item_no", (F.col("item_no") + 1).cast("long"))
+    return number_items(df, rest, variants.items(F.col(json)), "item_no", into)
 
 
 def to_typed(df: DataFrame, schema: T.StructType, item: str = "item") -> DataFrame:

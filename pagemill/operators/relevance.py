@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import WHITESPACE
+from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import cut_points, null_safe_join, with_previous, with_running_sums
 from pagemill.storage import cut_lineage
 
@@ -98,7 +99,7 @@ def adaptive_stats(
     """
     query = list(dict.fromkeys(query))
     pages = docs.select(crawl, order, F.array_distinct(terms(F.col(text))).alias("_words"))
-    vocabulary = pages.select(crawl, order, F.explode("_words").alias("_word"))
+    vocabulary = number_items(pages, [crawl, order], "_words", "_word_no", "_word")
     first = vocabulary.groupBy(crawl, "_word").agg(F.min(order).alias(order))
     is_query = F.col("_word").isin(query)
     new = first.groupBy(crawl, order).agg(F.count("*").alias("_new"), F.count_if(is_query).alias("_new_terms"))

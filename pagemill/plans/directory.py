@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from pagemill.functions import variants
 from pagemill.operators import html, records
+from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import null_safe_join
 from pagemill.sources.schemas import VENUE, VENUE_KEYS
 
@@ -34,7 +35,7 @@ def listed_records(
     """
     flagged = html.flag_empty(pages, html=body)
     whole = F.filter(variants.items(F.col(response)), lambda item: variants.has_keys(F.to_json(item), required))
-    items = flagged.select(site, page_no, F.posexplode(whole).alias("item_no", "item"))
+    items = number_items(flagged, [site, page_no], whole, "item_no", "item")
     first = records.first_per_key(records.to_typed(items, schema), [site, name], [page_no, "item_no"])
     fresh = first.groupBy(site, page_no).agg(F.count("*").alias("_fresh"))
     marked = null_safe_join(flagged.select(site, page_no, "is_empty"), fresh, [site, page_no], "left")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from pagemill.functions import variants
 from pagemill.functions.text import strip
+from pagemill.operators.exploding import number_items
 from pagemill.sources.schemas import PAGE, STATE
 
 
@@ -33,8 +34,7 @@ def split_blocks(df: DataFrame, text: Column | str, *keys: str, separator: str =
     """Blank-line separated records of a text column, numbered from 1 in their order."""
     text = F.col(text) if isinstance(text, str) else text
     kept = F.filter(F.transform(F.split(text, separator), strip), lambda b: b != "")
-    blocks = df.select(*keys, F.posexplode(kept).alias("block_no", "block"))
-    return blocks.withColumn("block_no", (F.col("block_no") + 1).cast("long"))
+    return number_items(df, keys, kept, "block_no", "block")
 
 
 def flatten_captures(df: DataFrame, json: Column | str, *keys: str) -> DataFrame:
@@ -44,15 +44,11 @@ def flatten_captures(df: DataFrame, json: Column | str, *keys: str) -> DataFrame
     no rows; so does text that is no JSON.
     """
     json = F.col(json) if isinstance(json, str) else json
-    bundles = df.select(*keys, F.posexplode(variants.items_or_self(json)).alias("bundle_no", "bundle"))
-    bundles = bundles.select(
-        *keys,
-        F.col("bundle_no").cast("long").alias("bundle_no"),
-        variants.get(F.col("bundle"), "$.url").alias("page_url"),
-        variants.get(F.col("bundle"), "$.network_requests", "array<variant>").alias("events"),
-    )
-    rows = bundles.select(*keys, "bundle_no", "page_url", F.posexplode("events").alias("event_no", "event"))
-    return rows.withColumn("event_no", F.col("event_no").cast("long"))
+    parsed = df.select(*keys, variants.parse(json).alias("_value"))
+    bundles = number_items(parsed, keys, variants.items_or_self(F.col("_value")), "bundle_no", "bundle", 0)
+    urls = bundles.withColumn("page_url", variants.get(F.col("bundle"), "$.url"))
+    events = variants.get(F.col("bundle"), "$.network_requests", "array<variant>")
+    return number_items(urls, [*keys, "bundle_no", "page_url"], events, "event_no", "event", 0)
 
 
 def load_captures(spark: SparkSession, path: str) -> DataFrame:

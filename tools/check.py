@@ -37,9 +37,9 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def compare(spark, connection, name: str, sf_dir: str) -> tuple[str, float]:
+def compare(spark, connection, name: str, sf_dir: str, result=None) -> tuple[str, float]:
     start = time.time()
-    result = QUERIES[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir) if result is None else result
     rows = [tuple(r) for r in result.collect()]
     seconds = time.time() - start
     if name not in ORACLES:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pagemill.functions.text import estimate_tokens, nonempty, words
 from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import PIECE, cut_points, null_safe_join, with_index, with_pieces
+from pagemill.storage import cut_lineage
 
 # Batch size, separators and token limits.
 BATCH_SIZE = 1000
@@ -125,8 +126,9 @@ def pack_batches(
     """
     group = list(group)
     kept = df.filter(F.col(tokens) <= limit)
-    slim = kept.select(*group, order, F.col(tokens).cast("long").alias("_tokens"))
-    slim = with_pieces(slim, order, cut_points(slim, order, piece_rows))
+    # The sizes are written once; counting and cutting them does not read the texts again.
+    sizes = cut_lineage(kept.select(*group, order, F.col(tokens).cast("long").alias("_tokens")), "sizes")
+    slim = with_pieces(sizes, order, cut_points(sizes, order, piece_rows))
     keys = [slim.schema[g] for g in group]
     names = [*group, PIECE]
 
@@ -162,7 +164,8 @@ def pack_batches(
 
     schema = T.StructType([*keys, slim.schema[order], T.StructField("batch_no", T.LongType())])
     numbered = entered.groupBy(*names).applyInPandas(number, schema)
-    return null_safe_join(kept, numbered, [*group, order])
+    rows = kept if set(df.columns) > {*group, order, tokens} else sizes.withColumnRenamed("_tokens", tokens)
+    return null_safe_join(rows, numbered, [*group, order])
 
 
 def build_prompts(

@@ -92,10 +92,10 @@ def drop_elements(pages: DataFrame, selectors: Sequence[str], keys: Sequence[str
     return map_pages(pages, rows, "html string", keys=keys)
 
 
-def table_cells(pages: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
-    """Body cells of every table in long form, spans filled, blank as null."""
+def table_cells(pages: DataFrame, container: str = "", keys: Sequence[str] = ("page_id",)) -> DataFrame:
+    """Body cells in long form of every table, or of those below a container; spans filled, blank as null."""
     schema = "table_no long, row_no long, col_no long, header string, value string"
-    return map_pages(pages, tables.cells, schema, keys=keys)
+    return map_pages(pages, lambda text: tables.cells(text, container), schema, keys=keys)
 
 
 def table_records(cells: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:

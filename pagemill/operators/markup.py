@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -120,16 +121,19 @@ def fits(element: Element, step: Step) -> bool:
     return not step.classes or step.classes <= set(attributes(element.attrs).get("class", "").split())
 
 
+def inside(found: Sequence[Element], scope: int) -> range:
+    """Positions of the elements inside another: they follow it in document order."""
+    return range(scope + 1, bisect_left(found, found[scope].inner_end, lo=scope + 1, key=lambda e: e.start))
+
+
 def select(found: Sequence[Element], steps: Sequence[Step], scope: int = -1) -> list[int]:
     """Positions of the elements that match a descendant selector, inside ``scope`` if given."""
     hits = []
-    for at, element in enumerate(found):
-        if scope >= 0 and not (found[scope].inner <= element.start < found[scope].inner_end):
-            continue
-        if not fits(element, steps[-1]):
+    for at in inside(found, scope) if scope >= 0 else range(len(found)):
+        if not fits(found[at], steps[-1]):
             continue
         left = len(steps) - 2
-        above = element.parent
+        above = found[at].parent
         while left >= 0 and above >= 0 and above != scope:
             left -= fits(found[above], steps[left])
             above = found[above].parent

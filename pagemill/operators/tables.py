@@ -26,8 +26,7 @@ def grid(found: list[markup.Element], text: str, table: int) -> list[dict[int, t
             at = found[at].parent
         return at
 
-    end = found[table].end
-    inside = [at for at in range(table + 1, len(found)) if found[at].start < end]
+    inside = markup.inside(found, table)
     own_rows = [at for at in inside if found[at].tag == "tr" and owner(at) == table]
     rows: list[dict[int, tuple[str, bool]]] = [{} for _ in own_rows]
     position = {at: i for i, at in enumerate(own_rows)}
@@ -72,11 +71,10 @@ def headers(rows: list[dict[int, tuple[str, bool]]]) -> tuple[list[str], int]:
     return names, depth
 
 
-def cells(text: str) -> Iterator[tuple[int, int, int, str, str | None]]:
-    """(table, row, column, header, value) of every body cell, all counted from 1."""
+def cells(text: str, container: str = "") -> Iterator[tuple[int, int, int, str, str | None]]:
+    """(table, row, column, header, value) of every body cell of the tables below ``container``, all counted from 1."""
     found = markup.elements(text)
-    tables = [at for at, element in enumerate(found) if element.tag == "table"]
-    for table_no, table in enumerate(tables, start=1):
+    for table_no, table in enumerate(markup.select(found, markup.selector(f"{container} table")), start=1):
         rows = grid(found, text, table)
         names, depth = headers(rows)
         for row_no, row in enumerate(rows[depth:], start=1):

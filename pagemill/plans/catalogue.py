@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.operators import batches, html, records
+from pagemill.storage import cut_lineage
 
 PROMPT = (
     "Extract url, photo, title, price, units_sold, rating and location of every product record. "
@@ -22,7 +23,8 @@ def product_cards(pages: DataFrame, cls: str, classes: html.CardClasses = html.C
 
 def request_table(blocks: DataFrame, order: str, text: str = "html", size: int = batches.BATCH_SIZE) -> DataFrame:
     """Numbered prompts for the blocks; sending them is someone else's work."""
-    return batches.build_prompts(batches.fixed_batches(blocks, text, order, size), PROMPT)
+    stored = cut_lineage(blocks.select(order, text), "blocks")  # numbered in several passes, extracted once
+    return batches.build_prompts(batches.fixed_batches(stored, text, order, size), PROMPT)
 
 
 def answered_products(responses: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,7 @@ from pagemill.operators import html, records
 from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import null_safe_join
 from pagemill.sources.schemas import VENUE, VENUE_KEYS
+from pagemill.storage import cut_lineage
 
 
 def listed_records(
@@ -37,7 +38,9 @@ def listed_records(
     whole = F.filter(variants.items(F.col(response)), lambda item: variants.has_keys(F.to_json(item), required))
     items = number_items(flagged, [site, page_no], whole, "item_no", "item")
     first = records.first_per_key(records.to_typed(items, schema), [site, name], [page_no, "item_no"])
+    first = cut_lineage(first, "first-records")  # used twice below, parsed once
     fresh = first.groupBy(site, page_no).agg(F.count("*").alias("_fresh"))
     marked = null_safe_join(flagged.select(site, page_no, "is_empty"), fresh, [site, page_no], "left")
+    marked = cut_lineage(marked, "marked-pages")
     visited = records.until_stop(marked, site, page_no, F.col("is_empty") | F.col("_fresh").isNull())
     return null_safe_join(first, visited.select(site, page_no), [site, page_no], "left_semi")

@@ -5,18 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pagemill.operators import batches, html
 
 
 def spec_cells(pages: DataFrame, container: str = ".l-adaptive-content") -> DataFrame:
     """Cells of every table below the container, keyed by page and position on it."""
-    tables = html.extract_scoped(pages, container, "table").withColumnRenamed("block_no", "block")
-    # A nested table is a block of its own; read each block's outermost table only.
-    return html.table_cells(tables, ["page_id", "block"]).filter(F.col("table_no") == 1).drop("table_no").withColumnRenamed(
-        "block", "table_no"
-    )
+    return html.table_cells(pages, container)
 
 
 def table_batches(tables: DataFrame, group: Sequence[str], order: str, limit: int = batches.TOKEN_LIMIT) -> DataFrame:

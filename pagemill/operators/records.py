@@ -92,8 +92,8 @@ def split_results(df: DataFrame, success: Column) -> tuple[DataFrame, DataFrame]
     return df.filter(ok), df.filter(~ok)
 
 
-def until_stop(pages: DataFrame, site: str, order: str, stop: Column) -> DataFrame:
-    """Pages of each site before its first stop page.
+def until_stop(pages: DataFrame, site: str, order: str, stop: Column, with_stop: bool = False) -> DataFrame:
+    """Pages of each site before its first stop page, or up to it ``with_stop``.
 
     The first stop of each site is a combinable minimum that its pages are
     then compared with. No site is gathered in one task, as a running maximum
@@ -102,7 +102,8 @@ def until_stop(pages: DataFrame, site: str, order: str, stop: Column) -> DataFra
     where = F.when(F.coalesce(stop, F.lit(False)), F.col(order))
     stops = pages.groupBy(site).agg(F.min(where).alias("_stop"), F.count("*").alias("_n"))
     joined = lookup_join(pages, stops, site)
-    return joined.filter(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_stop")
+    before = F.col(order) <= F.col("_stop") if with_stop else F.col(order) < F.col("_stop")
+    return joined.filter(F.col("_stop").isNull() | before).drop("_stop")
 
 
 def response_events(events: DataFrame, event: str = "event") -> DataFrame:

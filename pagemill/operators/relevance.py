@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pagemill.functions.text import WHITESPACE
 from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import cut_points, null_safe_join, with_previous, with_running_sums
+from pagemill.operators.records import until_stop
 from pagemill.storage import cut_lineage
 
 # Stop rules and bands of an adaptive crawl.
@@ -137,3 +138,7 @@ def adaptive_stats(
         }
     ).drop("_previous")
 
+
+def visited_pages(stats: DataFrame, crawl: str, order: str) -> DataFrame:
+    """The pages of each crawl up to the first at which a rule says stop."""
+    return until_stop(cut_lineage(stats, "crawl-stats"), crawl, order, F.col("stop"), with_stop=True)

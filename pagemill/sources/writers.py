@@ -53,20 +53,30 @@ def json_arrays(df: DataFrame, record: Column, group: Sequence[str], order: str,
     )
 
 
-def markdown_lines(df: DataFrame, url: str = "url", body: str = "body") -> Column:
-    """``# url``, the body and a rule."""
-    return F.concat(F.lit("# "), F.col(url), F.lit("\n\n"), F.col(body), F.lit("\n\n---\n"))
+# What stands before the url, between it and the body, and after the body.
+MARKDOWN_STYLES = {
+    "heading": ("# ", "\n\n", "\n\n---\n"),
+    "banner": ("--- URL: ", " ---\n\n", "\n\n"),
+}
 
 
-def markdown_pages(df: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
+def markdown_lines(url: Column, body: Column, style: str = "heading") -> Column:
+    """A page as Markdown: url and body between the marks of the style."""
+    before, between, after = MARKDOWN_STYLES[style]
+    return F.concat(F.lit(before), url, F.lit(between), body, F.lit(after))
+
+
+def markdown_pages(df: DataFrame, url: str = "url", body: str = "body", style: str = "heading") -> DataFrame:
     """Markdown of every page that has a body."""
     kept = df.filter(F.coalesce(F.col(body), F.lit("")) != "")
-    return kept.withColumn("markdown", markdown_lines(df, url, body))
+    return kept.withColumn("markdown", markdown_lines(F.col(url), F.col(body), style))
 
 
-def write_markdown(df: DataFrame, path: str, url: str = "url", body: str = "body", mode: str = "errorifexists") -> None:
+def write_markdown(
+    df: DataFrame, path: str, url: str = "url", body: str = "body", style: str = "heading", mode: str = "errorifexists"
+) -> None:
     """The corpus as Markdown text files; pages without a body are left out."""
-    markdown_pages(df, url, body).select("markdown").write.mode(mode).text(path)
+    markdown_pages(df, url, body, style).select("markdown").write.mode(mode).text(path)
 
 
 def write_tables(cells: DataFrame, path: str, by: Sequence[str] = (), mode: str = "errorifexists") -> None:

@@ -62,6 +62,6 @@ def spread_small(df: DataFrame, *keys: str, per_task: int = 4 << 20) -> DataFram
     large corpus is ever shuffled here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) > per_task * cores:
+    if df.isStreaming or plan_bytes(df) > per_task * cores:
         return df
     return df.repartition(cores, *keys)

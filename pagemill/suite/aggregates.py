@@ -54,7 +54,7 @@ def message_histogram(spark, sf):
 
 @query(
     f"""SELECT page_url, count(*) AS events, count(*) FILTER (event_type = 'request') AS requests,
-    count(*) FILTER (event_type = 'response') AS responses, 0 AS failed,
+    count(*) FILTER (event_type = 'response') AS responses, CAST(0 AS BIGINT) AS failed,
     count(*) FILTER (event_type = 'request' AND contains(lower(url), 'api')) AS api_calls
     FROM ({X.NET_SQL}) WHERE event_type <> 'request_failed' GROUP BY page_url"""
 )

@@ -52,7 +52,7 @@ def pack_sql(source: str, limit: int) -> str:
         CASE WHEN f.total + k.tokens < {limit} THEN f.total + k.tokens ELSE k.tokens END,
         CASE WHEN f.total + k.tokens < {limit} THEN f.batch_no ELSE f.batch_no + 1 END
       FROM f JOIN k ON k.grp = f.grp AND k.i = f.i + 1)
-    SELECT grp, id, tokens, batch_no FROM f"""
+    SELECT grp, id, tokens, CAST(batch_no AS BIGINT) AS batch_no FROM f"""
 
 
 @query(pack_sql("SELECT source AS grp, doc_id AS id, length(text) // 4 AS tokens FROM documents", 800))

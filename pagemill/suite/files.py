@@ -123,6 +123,11 @@ def markdown_export(spark, sf):
     return writers.markdown_pages(docs).select("doc_id", "markdown")
 
 
+@query("SELECT page_id, concat('--- URL: ', url, ' ---', chr(10), chr(10), html, chr(10), chr(10)) AS markdown FROM pages")
+def markdown_banner(spark, sf):
+    return writers.markdown_pages(table(spark, sf, "pages"), body="html", style="banner").select("page_id", "markdown")
+
+
 @query(
     """SELECT json_valid(line) AS is_json, count(*) AS n, min(doc_id) AS first_id FROM (
       SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN concat('raw ', doc_id, ' [{') ELSE concat('{"doc_id":', doc_id, '}') END AS line

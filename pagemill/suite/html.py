@@ -52,7 +52,7 @@ def part_html(spark, sf, html):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), F.expr(html).alias("html"))
 
 
-@query("""SELECT page_id, 1 AS block_no, regexp_extract(html, '(?s)<div class="ad">.*?</div>') AS html FROM pages""")
+@query("""SELECT page_id, CAST(1 AS BIGINT) AS block_no, regexp_extract(html, '(?s)<div class="ad">.*?</div>') AS html FROM pages""")
 def extract_blocks(spark, sf):
     return H.extract_blocks(pages(spark, sf), "div", "ad")
 
@@ -70,7 +70,7 @@ DEEP = """concat('<p>x<table id="o"><tr><td>', p_name, '<table><tr><td>', p_bran
 
 
 @query(
-    """SELECT p_partkey AS page_id, 1 AS table_no, concat('<TABLE border="1"><tr><td>', p_name, '</td></tr></TABLE>') AS html FROM part
+    """SELECT p_partkey AS page_id, CAST(1 AS BIGINT) AS table_no, concat('<TABLE border="1"><tr><td>', p_name, '</td></tr></TABLE>') AS html FROM part
     UNION ALL SELECT p_partkey, 2, concat('<table><tr><td>', p_brand, '</td></tr></table>') FROM part"""
 )
 def extract_tables_flat(spark, sf):
@@ -78,7 +78,7 @@ def extract_tables_flat(spark, sf):
 
 
 @query(
-    """SELECT p_partkey AS page_id, 1 AS table_no, concat('<table id="o"><tr><td>', p_name, '<table><tr><td>', p_brand,
+    """SELECT p_partkey AS page_id, CAST(1 AS BIGINT) AS table_no, concat('<table id="o"><tr><td>', p_name, '<table><tr><td>', p_brand,
       '</td></tr></table></td></tr></table>') AS html FROM part
     UNION ALL SELECT p_partkey, 2, concat('<table><tr><td>', p_brand, '</td></tr></table>') FROM part"""
 )
@@ -97,7 +97,7 @@ def drop_elements(spark, sf):
 
 
 @query(
-    f"""SELECT page_id, 1 AS table_no, row_no, col_no, header, value FROM ({X.SPEC_CELLS_SQL})
+    f"""SELECT page_id, CAST(1 AS BIGINT) AS table_no, row_no, CAST(col_no AS BIGINT) AS col_no, header, value FROM ({X.SPEC_CELLS_SQL})
     UNION ALL SELECT p_partkey // 8, 2, 1, 1, 'Inner', CAST(p_size AS VARCHAR) FROM part WHERE p_partkey % 16 = 3"""
 )
 def table_cells(spark, sf):
@@ -105,7 +105,7 @@ def table_cells(spark, sf):
 
 
 @query(
-    f"""SELECT page_id, 1 AS table_no, row_no, col_no, header, value FROM ({X.SPEC_CELLS_SQL})
+    f"""SELECT page_id, CAST(1 AS BIGINT) AS table_no, row_no, CAST(col_no AS BIGINT) AS col_no, header, value FROM ({X.SPEC_CELLS_SQL})
     UNION ALL SELECT p_partkey // 8, 2, 1, 1, 'Inner', CAST(p_size AS VARCHAR) FROM part WHERE p_partkey % 16 = 3"""
 )
 def spec_cells(spark, sf):
@@ -188,7 +188,7 @@ def extract_schema(spark, sf):
 
 
 @query(
-    """SELECT p_partkey AS page_id, 1 AS image_no, CASE p_partkey % 4 WHEN 0 THEN 'https://img.example/' || p_partkey || '.jpg'
+    """SELECT p_partkey AS page_id, CAST(1 AS BIGINT) AS image_no, CASE p_partkey % 4 WHEN 0 THEN 'https://img.example/' || p_partkey || '.jpg'
       WHEN 1 THEN 'https://img.example/' || p_partkey || '.jpg' WHEN 2 THEN 'https://shop.example/img/' || p_partkey || '.jpg'
       ELSE 'https://shop.example/images/' || sha256(p_name) || '.png' END AS fixed_src,
       CASE WHEN p_partkey % 4 = 3 THEN p_name END AS payload FROM part"""
@@ -198,7 +198,7 @@ def fix_images(spark, sf):
     return fixed.select("page_id", "image_no", "fixed_src", F.col("payload").cast("string").alias("payload"))
 
 
-@query("SELECT p_partkey AS page_id, 1 AS image_no FROM part WHERE p_partkey % 4 IN (2, 3)")
+@query("SELECT p_partkey AS page_id, CAST(1 AS BIGINT) AS image_no FROM part WHERE p_partkey % 4 IN (2, 3)")
 def extract_images(spark, sf):
     """External images dropped; an embedded one belongs to the page."""
     return H.extract_images(X.lazy_images(spark, sf), external=False).select("page_id", "image_no")
@@ -269,7 +269,7 @@ def flag_empty(spark, sf):
 
 
 @query(
-    """SELECT *, has_title::INT + has_description::INT + has_lang::INT + has_charset::INT + has_canonical::INT + has_one_h1::INT AS passed
+    """SELECT *, CAST(has_title::INT + has_description::INT + has_lang::INT + has_charset::INT + has_canonical::INT + has_one_h1::INT AS BIGINT) AS passed
     FROM (SELECT page_id, regexp_matches(html, '(?i)<title[^>]*>\\s*[^<\\s]') AS has_title,
       regexp_matches(html, '(?i)<meta\\s[^>]*name="description"') AS has_description,
       regexp_matches(html, '(?i)<html\\s[^>]*lang="[^"]+"') AS has_lang, regexp_matches(html, '(?i)<meta\\s[^>]*charset=') AS has_charset,

@@ -12,7 +12,7 @@ from pagemill.suite import fixtures as X
 from pagemill.suite.registry import query, table
 
 COMPLETE_SQL = """SELECT p_partkey, p_name || ' ' || p_partkey % 50 AS name,
-    CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE CAST(p_retailprice AS VARCHAR) END AS price, p_size AS reviews
+    CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE CAST(p_retailprice AS VARCHAR) END AS price, CAST(p_size AS BIGINT) AS reviews
     FROM part WHERE p_partkey % 6 <> 0"""
 
 
@@ -164,7 +164,7 @@ def response_events(spark, sf):
     f AS (SELECT * FROM d WHERE rn = 1),
     s AS (SELECT site, min(page_no) AS stop FROM p
           WHERE is_empty OR (site, page_no) NOT IN (SELECT (site, page_no) FROM f) GROUP BY site)
-    SELECT f.site, page_no, name, reviews FROM f LEFT JOIN s ON f.site = s.site WHERE s.stop IS NULL OR page_no < s.stop"""
+    SELECT f.site, page_no, name, CAST(reviews AS BIGINT) AS reviews FROM f LEFT JOIN s ON f.site = s.site WHERE s.stop IS NULL OR page_no < s.stop"""
 )
 def listed_records(spark, sf):
     """Result pages of forty sites, two records a page, up to the first page that adds none."""

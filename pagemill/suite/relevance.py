@@ -37,8 +37,7 @@ def top_pages(spark, sf):
     return R.top_pages(ranked, "doc_id", 5).withColumn("score", F.round("score", 6))
 
 
-@query(
-    f"""WITH d AS (SELECT source, doc_id, list_distinct({SQL_TERMS}) AS w FROM documents),
+ADAPTIVE_SQL = f"""WITH d AS (SELECT source, doc_id, list_distinct({SQL_TERMS}) AS w FROM documents),
     v AS (SELECT source, doc_id, unnest(w) AS word FROM d),
     f AS (SELECT source, word, min(doc_id) AS doc_id FROM v GROUP BY source, word),
     n AS (SELECT source, doc_id, count(*) AS fresh, count(*) FILTER (word IN ({IN_QUERY})) AS fresh_terms FROM f GROUP BY source, doc_id),
@@ -55,7 +54,9 @@ def top_pages(spark, sf):
       round(saturation + 1e-9, 6) AS saturation, round(confidence + 1e-9, 6) AS confidence, round(gain + 1e-9, 6) AS gain,
       CASE WHEN confidence < 0.3 THEN 'insufficient' WHEN confidence < 0.6 THEN 'partial' WHEN confidence < 0.7 THEN 'good' ELSE 'excellent' END AS band,
       confidence >= 0.8 OR page_no >= 30 OR (page_no > 1 AND gain < 0.05) AS stop FROM g"""
-)
+
+
+@query(ADAPTIVE_SQL)
 def adaptive_stats(spark, sf):
     """Each source as one crawl, its documents as the pages in order."""
     stats = R.adaptive_stats(documents(spark, sf), QUERY, "source", "doc_id")
@@ -63,6 +64,15 @@ def adaptive_stats(spark, sf):
     return stats.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in ("coverage", "consistency", "saturation", "confidence", "gain")})
 
 
+@query(
+    f"""WITH all_stats AS ({ADAPTIVE_SQL}), first_stop AS (SELECT source, min(doc_id) AS last FROM all_stats WHERE stop GROUP BY source)
+    SELECT a.source, doc_id, page_no, band FROM all_stats a LEFT JOIN first_stop f ON a.source = f.source WHERE last IS NULL OR doc_id <= last"""
+)
+def visited_pages(spark, sf):
+    stats = R.adaptive_stats(documents(spark, sf), QUERY, "source", "doc_id")
+    return R.visited_pages(stats, "source", "doc_id").select("source", "doc_id", "page_no", "band")
+
+
 COSINE = "list_cosine_similarity(CAST({0}.embedding AS DOUBLE[]), CAST({1}.embedding AS DOUBLE[]))"
 COVER_SQL = f"""WITH b AS (SELECT q.vec_id, max({COSINE.format('q', 'p')}) AS similarity FROM embeddings q, embeddings p
       WHERE q.label = 0 AND p.label <> 0 GROUP BY q.vec_id),

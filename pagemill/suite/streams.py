@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagemill.operators.html import extract_blocks
+from pagemill.operators.links import extract_links
 from pagemill.storage import scratch_path
 from pagemill.streaming import jobs as S
 from pagemill.suite.registry import query, table
@@ -23,6 +25,27 @@ def stream_scores(spark, sf):
     return spark.read.schema(scored.schema).parquet(out).withColumn("score", F.round("score", 9))
 
 
+@query("""SELECT page_id, CAST(1 AS BIGINT) AS block_no, regexp_extract(html, '(?s)<div class="ad">.*?</div>') AS html FROM pages""")
+def stream_blocks(spark, sf):
+    """Blocks of the pages as they arrive: the batch job on a stream."""
+    out, checkpoint = scratch_path(spark, "blocks"), scratch_path(spark, "blocks-checkpoint")
+    blocks = extract_blocks(S.stream_pages(spark, sf, "pages.parquet").select("page_id", "html"), "div", "ad")
+    S.finish(S.run_to_files(blocks, out, checkpoint))
+    return spark.read.schema(blocks.schema).parquet(out)
+
+
+@query(
+    """SELECT page_id, url, unnest(generate_series(1, len(a))) AS link_no, unnest(a) AS href
+    FROM (SELECT page_id, url, regexp_extract_all(html, '<a\\s[^>]*?\\bhref="([^"]*)"', 1) AS a FROM pages)"""
+)
+def stream_links(spark, sf):
+    """Links of the pages as they arrive, from native expressions only."""
+    out, checkpoint = scratch_path(spark, "links"), scratch_path(spark, "links-checkpoint")
+    links = extract_links(S.stream_pages(spark, sf, "pages.parquet"))
+    S.finish(S.run_to_files(links, out, checkpoint))
+    return spark.read.schema(links.schema).parquet(out)
+
+
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_counts(spark, sf):
     out, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "counts-checkpoint")

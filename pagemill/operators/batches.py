@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from pagemill.functions.text import estimate_tokens, nonempty, words
 from pagemill.operators.exploding import number_items
-from pagemill.operators.ordering import PIECE, cut_points, null_safe_join, with_index, with_pieces
-from pagemill.storage import cut_lineage
+from pagemill.operators.ordering import BROADCAST_BYTES, PIECE, cut_points, null_safe_join, with_index, with_pieces
+from pagemill.storage import cut_lineage, plan_bytes
 
 # Batch size, separators and token limits.
 BATCH_SIZE = 1000
@@ -61,25 +61,29 @@ _MAP = T.StructType(
 )
 
 
-def _courses(tokens: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Next opening, openings and exit sum of the course that opens a batch at each item."""
-    n = len(tokens)
+def _following(tokens: np.ndarray, limit: int) -> np.ndarray:
+    """For a batch opened at each item, the item that opens the next one."""
     total = np.concatenate(([0], np.cumsum(tokens)))
     # The batch opened at i closes at the first later j with total[j + 1] - total[i] >= limit.
-    following = np.maximum(np.searchsorted(total[1:], total[:-1] + limit, side="left"), np.arange(n) + 1)
-    opened = np.ones(n + 1, dtype=np.int64)
-    exit_sum = np.zeros(n + 1, dtype=np.int64)
-    opened[n] = 0
-    for i in range(n - 1, -1, -1):
-        j = following[i]
-        opened[i] += opened[j]
-        exit_sum[i] = exit_sum[j] if j < n else total[n] - total[i]
-    return following, opened, exit_sum
+    closes = np.searchsorted(total[1:], total[:-1] + limit, side="left")
+    return np.maximum(closes, np.arange(len(tokens)) + 1)
+
+
+def _courses(tokens: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Openings and exit sum of the course that opens a batch at each item, by doubling the jumps."""
+    n = len(tokens)
+    following = _following(tokens, limit)
+    jump = np.where(following < n, following, np.arange(n))
+    jumps = (following < n).astype(np.int64)
+    while (jump[jump] != jump).any():
+        jumps += jumps[jump]
+        jump = jump[jump]
+    return jumps + 1, tokens.sum() - np.concatenate(([0], np.cumsum(tokens)))[jump]
 
 
 def _describe(tokens: np.ndarray, limit: int) -> pd.DataFrame:
     total = np.cumsum(tokens)
-    _, opened, exit_sum = _courses(tokens, limit)
+    opened, exit_sum = _courses(tokens, limit)
     # With entry sum s the first opening is the first i with s + total[i] >= limit.
     reach = np.maximum(limit - total, 0)
     first = np.flatnonzero(np.concatenate(([True], reach[1:] < reach[:-1])))
@@ -96,7 +100,7 @@ def _describe(tokens: np.ndarray, limit: int) -> pd.DataFrame:
 def _number(tokens: np.ndarray, limit: int, open_sum: int) -> np.ndarray:
     """1 at every item that opens a batch."""
     opens = np.zeros(len(tokens), dtype=np.int64)
-    following, _, _ = _courses(tokens, limit)
+    following = _following(tokens, limit)
     if open_sum < 0:
         at = 0
     else:
@@ -128,7 +132,15 @@ def pack_batches(
     kept = df.filter(F.col(tokens) <= limit)
     # The sizes are written once; counting and cutting them does not read the texts again.
     sizes = cut_lineage(kept.select(*group, order, F.col(tokens).cast("long").alias("_tokens")), "sizes")
-    slim = with_pieces(sizes, order, cut_points(sizes, order, piece_rows))
+    cuts = cut_points(sizes, order, piece_rows)
+    slim = with_pieces(sizes, order, cuts)
+    if cuts and group:
+        # Only groups larger than a piece are cut; there are at most as many of them as pieces.
+        large = sizes.groupBy(*group).count().filter(F.col("count") > piece_rows).drop("count")
+        large = cut_lineage(large.withColumn("_is_large", F.lit(True)), "large-groups")
+        large = F.broadcast(large) if plan_bytes(large) <= BROADCAST_BYTES else large
+        marked = null_safe_join(slim, large, group, "left")
+        slim = marked.withColumn(PIECE, F.when(F.col("_is_large"), F.col(PIECE)).otherwise(F.lit(0))).drop("_is_large")
     keys = [slim.schema[g] for g in group]
     names = [*group, PIECE]
 

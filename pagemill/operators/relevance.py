@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import WHITESPACE
-from pagemill.operators.exploding import number_items
 from pagemill.operators.ordering import cut_points, null_safe_join, with_previous, with_running_sums
 from pagemill.operators.records import until_stop
 from pagemill.storage import cut_lineage
@@ -20,13 +18,12 @@ MAX_PAGES = 30
 LEAST_GAIN = 0.05
 BANDS = ((0.3, "insufficient"), (0.6, "partial"), (0.7, "good"))
 TOP_BAND = "excellent"
-PUNCTUATION = ".,;:!?"
+SEPARATORS = r"[\s.,;:!?]+"
 
 
 def terms(text: Column) -> Column:
-    """Lower-cased words without punctuation at their ends."""
-    inner = F.btrim(F.lower(text), F.lit(WHITESPACE + PUNCTUATION))
-    return F.filter(F.split(inner, rf"[{PUNCTUATION}]*\s+[{PUNCTUATION}]*"), lambda w: w != "")
+    """Lower-cased runs between white space and punctuation."""
+    return F.array_remove(F.split(F.lower(text), SEPARATORS), "")
 
 
 def _sum(columns: Sequence[Column]) -> Column:
@@ -95,17 +92,26 @@ def adaptive_stats(
     what the page added to it. ``stop`` marks pages at which a rule says stop:
     enough confidence, enough pages, or, after the first page, too little gain.
 
-    New words come from the first page of each word, a combinable minimum. The
-    rest are running sums over the crawl, taken piece by piece.
+    New words come from the first page of each word, a combinable minimum; the
+    texts are read once for it and for the size of the pages. The rest are running sums over the crawl, taken piece by piece.
     """
     query = list(dict.fromkeys(query))
     pages = docs.select(crawl, order, F.array_distinct(terms(F.col(text))).alias("_words"))
-    vocabulary = number_items(pages, [crawl, order], "_words", "_word_no", "_word")
-    first = vocabulary.groupBy(crawl, "_word").agg(F.min(order).alias(order))
+    held = F.size(F.filter("_words", lambda word: word.isin(query)))
+    # Measured before the explode: after it, the whole array would be measured again for each of its words.
+    measured = pages.select(crawl, order, "_words", F.size("_words").alias("_size"), held.alias("_held"))
+    words = measured.select(crawl, order, "_size", "_held", F.posexplode_outer("_words").alias("_at", "_word"))
+    # One reading of the texts gives both the first page of each word and, on the row of a page's first word
+    # (or its only row, if it has none), the page itself.
+    page = F.when(F.coalesce("_at", F.lit(0)) == 0, F.col(order))
+    folded = words.groupBy(crawl, "_word", page.alias("_page")).agg(
+        F.min(order).alias(order), F.max("_size").alias("_size"), F.max("_held").alias("_held")
+    )
+    folded = cut_lineage(folded, "crawl-words")
+    first = folded.filter(F.col("_word").isNotNull()).groupBy(crawl, "_word").agg(F.min(order).alias(order))
     is_query = F.col("_word").isin(query)
     new = first.groupBy(crawl, order).agg(F.count("*").alias("_new"), F.count_if(is_query).alias("_new_terms"))
-    held = F.size(F.array_intersect("_words", F.array(*[F.lit(q) for q in query])))
-    sized = pages.select(crawl, order, F.size("_words").alias("_size"), held.alias("_held"))
+    sized = folded.filter(F.col("_page").isNotNull()).select(crawl, order, "_size", "_held")
     known = null_safe_join(sized, new, [crawl, order], "left").fillna(0, ["_new", "_new_terms"])
 
     known = cut_lineage(known, "page-terms")
@@ -118,7 +124,7 @@ def adaptive_stats(
     coverage = F.col("_seen") / F.lit(len(query))
     saturation = F.when(F.col("_size") > 0, 1 - F.col("_new") / F.col("_size")).otherwise(F.lit(1.0))
     consistency = F.when(F.col("_holders") > 0, F.col("_shares") / F.col("_holders")).otherwise(F.lit(0.0))
-    measured = summed.select(
+    scored = summed.select(
         crawl,
         order,
         "page_no",
@@ -127,7 +133,7 @@ def adaptive_stats(
         saturation.alias("saturation"),
         ((coverage + consistency + saturation) / 3).alias("confidence"),
     )
-    gained = with_previous(measured, order, "confidence", "_previous", [crawl], cuts=cuts)
+    gained = with_previous(scored, order, "confidence", "_previous", [crawl], cuts=cuts)
     gain = F.col("confidence") - F.coalesce(F.col("_previous"), F.lit(0.0))
     slow = (F.col("page_no") > 1) & (gain < least_gain)
     return gained.withColumns(

@@ -9,8 +9,7 @@ from pagemill.operators import similarity as S
 from pagemill.suite.registry import query, spread_table, table
 
 QUERY = ["the", "tion", "worthless", "étion", "schung"]
-SQL_TERMS = """list_filter(list_transform(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> ''),
-    lambda w: regexp_replace(w, '^[.,;:!?]+|[.,;:!?]+$', '', 'g')), lambda w: w <> '')"""
+SQL_TERMS = "list_filter(regexp_split_to_array(lower(text), '[\\s.,;:!?]+'), lambda w: w <> '')"
 IN_QUERY = ", ".join(f"'{q}'" for q in QUERY)
 
 BM25_SQL = f"""WITH d AS (SELECT doc_id, {SQL_TERMS} AS t FROM documents),

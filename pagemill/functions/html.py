@@ -21,15 +21,10 @@ TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 JSON_LD = r'(?s)<script type="application/ld\+json">(.*?)</script>'
 
 
-def strip_tags(html: Column, tags: Sequence[str] = CODE_TAGS) -> Column:
-    """Remove each tag with its content. For tags that cannot contain themselves."""
-    for tag in tags:
-        html = F.regexp_replace(html, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    return html
-
-
-def drop_comments(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+def strip_tags(html: Column, tags: Sequence[str] = CODE_TAGS, comments: bool = False) -> Column:
+    """Remove each tag with its content, in one pass. For tags that cannot contain themselves."""
+    patterns = [rf"<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in tags] + ["<!--.*?-->"] * comments
+    return F.regexp_replace(html, "(?is)" + "|".join(patterns), "")
 
 
 def drop_markup(html: Column) -> Column:
@@ -38,7 +33,7 @@ def drop_markup(html: Column) -> Column:
 
 def to_text(html: Column) -> Column:
     """Plain text: no code, comments or tags; entities decoded; blanks collapsed."""
-    text = drop_comments(strip_tags(html, CODE_TAGS))
+    text = strip_tags(html, CODE_TAGS, comments=True)
     text = F.regexp_replace(text, r"(?i)<(br|/p|/li|/h[1-6]|/div|/tr|/title)\b[^>]*>", "\n")
     text = decode_entities(drop_markup(text))
     text = F.regexp_replace(text, r"[ \t\r\f]+", " ")

@@ -26,7 +26,8 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_depth: int, max_pages: int | Non
     ``edges`` is ``(src, dst)``, ``seeds`` is ``(node)``. Each level is written
     to a scratch table: the plan of the next level stays short, and the join
     strategy is chosen from the level's real size. A hub's edges are split by
-    the adaptive skew join; ``distinct`` combines before its shuffle.
+    the adaptive skew join. New nodes are those whose least depth is the
+    level's: a grouping, which combines a hub's many links before the shuffle.
     ``max_pages`` keeps the first nodes by (depth, node).
     """
     return _reach(edges, seeds.select("node"), max_depth, max_pages, None, None, None)
@@ -80,8 +81,9 @@ def _reach(
             if room <= 0:
                 break
         found = links.join(level.select(F.col("node").alias("src")), "src", "left_semi")
-        new = found.select(F.col("dst").alias("node")).distinct().join(visited.select("node"), "node", "left_anti")
-        new = scored(new)
+        seen = found.select(F.col("dst").alias("node"), F.lit(depth).cast("long").alias("depth"))
+        least = visited.select("node", "depth").unionByName(seen).groupBy("node").agg(F.min("depth").alias("depth"))
+        new = scored(least.filter(F.col("depth") == depth).select("node"))
         if threshold is not None:
             new = new.filter(F.col("score") >= threshold)
         width = min(w for w in (beam, room, float("inf")) if w is not None)

@@ -235,7 +235,7 @@ def page_title(pages: DataFrame, html: str = "html") -> DataFrame:
 def page_profile(pages: DataFrame, html: str = "html") -> DataFrame:
     """Sizes and counts of each page in one pass."""
     body = F.col(html)
-    cleaned = H.drop_comments(H.strip_tags(body, (*H.CODE_TAGS, *H.FRAME_TAGS)))
+    cleaned = H.strip_tags(body, (*H.CODE_TAGS, *H.FRAME_TAGS), comments=True)
     return pages.withColumns(
         {
             "html_length": F.coalesce(F.length(body), F.lit(0)).cast("long"),

@@ -46,9 +46,16 @@ def classify_links(
 
 
 def frontier(links: DataFrame, fetched: DataFrame, link: str = "url", page: str = "url") -> DataFrame:
-    """Links found but not fetched. Distinct first: a link on every page shuffles once a task."""
-    found = links.select(F.col(link).alias("url")).distinct()
-    return found.join(fetched.select(F.col(page).alias("url")), "url", "left_anti")
+    """Distinct links found but not fetched.
+
+    One grouping of both sides: it combines before its only shuffle, so a link
+    on every page costs one row a task. (An anti join would be moved below the
+    distinct by the optimizer and shuffle every single link.)
+    """
+    found = links.select(F.col(link).alias("url"), F.lit(False).alias("_fetched"))
+    known = fetched.select(F.col(page).alias("url"), F.lit(True).alias("_fetched"))
+    seen = found.unionByName(known).filter(F.col("url").isNotNull()).groupBy("url").agg(F.max("_fetched").alias("_fetched"))
+    return seen.filter(~F.col("_fetched")).select("url")
 
 
 def top_links(links: DataFrame, k: int = 3, page: str = "page_id", score: str = "score", url: str = "target") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pagemill.functions import variants
 from pagemill.functions.text import first_truthy, nonempty
 from pagemill.operators.exploding import number_items
-from pagemill.operators.ordering import first_per_key, lookup_join, null_safe_join
+from pagemill.operators.ordering import first_per_key, lookup_join
 from pagemill.sources.schemas import PRODUCT, VENUE_KEYS
 
 
@@ -45,7 +45,7 @@ def merge_records(parsed: DataFrame, model: DataFrame, keys: Sequence[str], fiel
     """
     names = [f.name for f in fields.fields if f.name in parsed.columns]
     answers = model.select(*keys, *[F.col(n).alias(f"_m_{n}") for n in names if n in model.columns])
-    joined = null_safe_join(parsed, answers, keys, "left")
+    joined = parsed.join(answers, list(keys), "left")
     merged = {
         n: first_truthy(F.col(f"_m_{n}"), F.col(n), joined.schema[n].dataType.simpleString())
         for n in names

@@ -26,14 +26,13 @@ def sql_decode(expr: str) -> str:
     return expr
 
 
-def sql_strip(expr: str, tags) -> str:
-    for tag in tags:
-        expr = f"regexp_replace({expr}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
-    return expr
+def sql_strip(expr: str, tags, comments: bool = False) -> str:
+    patterns = [f"<{tag}\\b[^>]*>.*?</{tag}\\s*>" for tag in tags] + ["<!--.*?-->"] * comments
+    return f"regexp_replace({expr}, '(?is){'|'.join(patterns)}', '', 'g')"
 
 
 def sql_text(expr: str) -> str:
-    expr = f"regexp_replace({sql_strip(expr, CODE_TAGS)}, '(?s)<!--.*?-->', '', 'g')"
+    expr = sql_strip(expr, CODE_TAGS, comments=True)
     expr = f"regexp_replace({expr}, '(?i)<(br|/p|/li|/h[1-6]|/div|/tr|/title)\\b[^>]*>', chr(10), 'g')"
     expr = sql_decode(f"regexp_replace({expr}, '<[^>]*>', '', 'g')")
     expr = f"regexp_replace({expr}, '[ \\t\\r\\f]+', ' ', 'g')"
@@ -41,7 +40,7 @@ def sql_text(expr: str) -> str:
 
 
 def sql_clean(expr: str) -> str:
-    return f"regexp_replace({sql_strip(expr, (*CODE_TAGS, *FRAME_TAGS))}, '(?s)<!--.*?-->', '', 'g')"
+    return sql_strip(expr, (*CODE_TAGS, *FRAME_TAGS), comments=True)
 
 
 def pages(spark, sf, *columns):

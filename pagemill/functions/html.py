@@ -14,7 +14,8 @@ from pagemill.functions.text import decode_entities, nonempty, strip
 CODE_TAGS = ("script", "style", "svg", "noscript")
 FRAME_TAGS = ("header", "nav", "footer", "aside", "form")
 
-HREF = r'(?i)<a\s[^>]*?\bhref="([^"]*)"'
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+HREF = rf"(?i)<a\s(?:[^>]*?\s)?href\s*=\s*{_VALUE}"
 IMG = r"(?i)(<img\b[^>]*>)"
 FLAT_TABLE = r"(?is)(<table.*?>.*?</table>)"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
@@ -44,8 +45,15 @@ def title(html: Column, default: str = "No title") -> Column:
     return F.coalesce(nonempty(F.regexp_extract(html, TITLE, 1)), F.lit(default))
 
 
+def _unquote(value: Column) -> Column:
+    """An attribute value without its quotes, entities decoded."""
+    bare = F.regexp_replace(value, r"""^["']|["']$""", "")
+    return F.when(bare.contains("&"), decode_entities(bare)).otherwise(bare)
+
+
 def hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
+    """Addresses of the links, quoted in any way or not at all."""
+    return F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), _unquote)
 
 
 def image_tags(html: Column) -> Column:
@@ -59,22 +67,22 @@ def flat_tables(html: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Attribute of one start tag, null where missing or empty."""
-    return nonempty(F.regexp_extract(tag, rf'(?i)\s{re.escape(name)}\s*=\s*"([^"]*)"', 1))
+    return nonempty(_unquote(F.regexp_extract(tag, rf"(?i)\s{re.escape(name)}\s*=\s*{_VALUE}", 1)))
 
 
 def first_tag(html: Column, tag: str, with_attr: str | None = None) -> Column:
     """First start tag of a kind, optionally only with an attribute; null if none."""
-    need = rf'[^>]*?\s{re.escape(with_attr)}\s*=\s*"' if with_attr else ""
+    need = rf"[^>]*?\s{re.escape(with_attr)}\s*=" if with_attr else ""
     return nonempty(F.regexp_extract(html, rf"(?i)(<{tag}\b{need}[^>]*>)", 1))
 
 
 def first_text(html: Column, tag: str, cls: str) -> Column:
     """Text of the first ``tag`` with class token ``cls``; null if there is no such tag."""
     pattern = (
-        rf'(?is)(<{tag}\b[^>]*?\sclass\s*=\s*"(?:[^"]*\s)?{re.escape(cls)}(?:\s[^"]*)?"[^>]*>)(.*?)</{tag}\s*>'
+        rf"""(?is)(<{tag}\b[^>]*?\sclass\s*=\s*(["']?)(?:[^"'>]*\s)?{re.escape(cls)}(?:\s[^"'>]*)?\2(?=[\s/>])[^>]*>)(.*?)</{tag}\s*>"""
     )
     opened = F.regexp_extract(html, pattern, 1)
-    return F.when(opened != "", strip(decode_entities(drop_markup(F.regexp_extract(html, pattern, 2)))))
+    return F.when(opened != "", strip(decode_entities(drop_markup(F.regexp_extract(html, pattern, 3)))))
 
 
 def has(html: Column, regex: str) -> Column:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import html as entities
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,7 @@ from pagemill.operators.exploding import number_items
 from pagemill.storage import spread_small
 
 Rows = Callable[[str], Iterable[tuple]]
+OUT_ROWS = 2_000
 
 
 def map_pages(pages: DataFrame, rows: Rows, schema: str, html: str = "html", keys: Sequence[str] = ("page_id",)) -> DataFrame:
@@ -36,9 +38,10 @@ def map_pages(pages: DataFrame, rows: Rows, schema: str, html: str = "html", key
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(*row[:-1], *values) for row in batch.itertuples(index=False, name=None) for values in rows(row[-1])]
-            frame = pd.DataFrame(found, columns=names, dtype=object)
-            yield frame
+            pages_in = batch.itertuples(index=False, name=None)
+            found = ((*page[:-1], *values) for page in pages_in for values in rows(page[-1]))
+            while part := list(islice(found, OUT_ROWS)):
+                yield pd.DataFrame(part, columns=names, dtype=object)
 
     return spread_small(slim, *keys).mapInPandas(run, out)
 

@@ -15,7 +15,6 @@ from typing import NamedTuple
 
 # Fixed values of the HTML standard.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW_TAGS = frozenset(("script", "style"))
 # A start tag ends an open element of these names, up to the enclosing container.
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol"}),
@@ -24,12 +23,15 @@ IMPLIED_END = {
     "tr": ({"tr"}, {"table"}),
 }
 
+_ATTRS = r"(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+"
+# Comments and declarations, code with its content, and plain tags.
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
-    re.DOTALL,
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    rf"|<(script|style)(?=[\s/>])({_ATTRS})>.*?(</\1\s*>|\Z)"
+    rf"|<(/?)([a-z][^\s/>]*)({_ATTRS})>",
+    re.DOTALL | re.IGNORECASE,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_RAW = re.compile(r"<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.DOTALL | re.IGNORECASE)
 _BLANKS = re.compile(r"\s+")
 
 
@@ -60,50 +62,53 @@ def attributes(text: str) -> dict[str, str]:
 
 def tags(text: str) -> Iterator[tuple[str, bool, str, int, int]]:
     """(name, is end tag, attributes, start, end) of every tag outside comments and code."""
-    at = 0
-    while match := _TAG.search(text, at):
-        at = match.end()
-        if match["name"] is None:
-            continue
-        name = match["name"].lower()
-        yield name, bool(match["end"]), match["attrs"], match.start(), at
-        if name in RAW_TAGS and not match["end"]:
-            closing = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(text, at)
-            at = closing.start() if closing else len(text)
+    for match in _TAG.finditer(text):
+        code, code_attrs, code_end, slash, name, attrs = match.groups()
+        if name:
+            yield name.lower(), slash == "/", attrs, match.start(), match.end()
+        elif code:
+            yield code.lower(), False, code_attrs, match.start(), match.end(2) + 1
+            if code_end:
+                yield code.lower(), True, "", match.start(3), match.end()
 
 
 def elements(text: str) -> list[Element]:
     """All elements in document order."""
-    found: list[Element] = []
+    started: list[tuple[str, str, int, int, int]] = []
+    inner_ends: list[int] = []
+    ends: list[int] = []
     stack: list[int] = []
 
     def close(depth: int, inner_end: int, end: int) -> None:
-        while len(stack) > depth:
-            at = stack.pop()
-            last = len(stack) == depth
-            found[at] = found[at]._replace(inner_end=inner_end, end=end if last else inner_end)
+        for at in stack[depth:]:
+            inner_ends[at] = ends[at] = inner_end
+        ends[stack[depth]] = end
+        del stack[depth:]
 
     for name, is_end, attrs, start, end in tags(text):
         if is_end:
             for depth in range(len(stack) - 1, -1, -1):
-                if found[stack[depth]].tag == name:
+                if started[stack[depth]][0] == name:
                     close(depth, start, end)
                     break
             continue
         if name in IMPLIED_END:
-            ends, container = IMPLIED_END[name]
+            closed, container = IMPLIED_END[name]
             for depth in range(len(stack) - 1, -1, -1):
-                open_tag = found[stack[depth]].tag
-                if open_tag in container:
+                above = started[stack[depth]][0]
+                if above in container:
                     break
-                if open_tag in ends:
+                if above in closed:
                     close(depth, start, start)
                     break
-        found.append(Element(name, attrs, stack[-1] if stack else -1, start, end, end, end))
+        started.append((name, attrs, stack[-1] if stack else -1, start, end))
+        inner_ends.append(end)
+        ends.append(end)
         if name not in VOID_TAGS and not attrs.endswith("/"):
-            stack.append(len(found) - 1)
-    close(0, len(text), len(text))
-    return found
+            stack.append(len(started) - 1)
+    if stack:
+        close(0, len(text), len(text))
+    return [Element(*head, inner_end, end) for head, inner_end, end in zip(started, inner_ends, ends)]
 
 
 def selector(text: str) -> list[Step]:
@@ -142,7 +147,10 @@ def select(found: Sequence[Element], steps: Sequence[Step], scope: int = -1) ->
     return hits
 
 
+def _gap(match: re.Match) -> str:
+    return " " if (match[5] or "").lower() in ("br", "p", "li", "td") else ""
+
+
 def inner_text(text: str) -> str:
     """Text of a piece of HTML: no code or comments, entities decoded, blanks collapsed."""
-    plain = _TAG.sub(lambda m: " " if (m["name"] or "").lower() in ("br", "p", "li", "td") else "", _RAW.sub("", text))
-    return _BLANKS.sub(" ", entities.unescape(plain)).strip()
+    return _BLANKS.sub(" ", entities.unescape(_TAG.sub(_gap, text))).strip()

@@ -10,7 +10,7 @@ HEADER_CLASS = "headerCell"  # fixed value: the class of header cells made of ``
 
 
 def _span(attrs: dict[str, str], name: str) -> int:
-    value = attrs.get(name, "1").strip()
+    value = attrs.get(name, "")
     return max(int(value), 1) if value.isdigit() else 1
 
 

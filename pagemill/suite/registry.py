@@ -26,6 +26,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
         @wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship_package(spark)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # the event log has no zone
             return function(spark, sf_dir)
 
         QUERIES[function.__name__] = run

@@ -144,3 +144,14 @@ def test_class_is_matched_as_a_token(spark):
     assert value(spark, text, h='<span class="price-old">1</span><span class="big price"> <b>2</b>&amp;3 </span>') == "2&3"
     assert value(spark, text, h='<span class="price"></span>') == ""
     assert value(spark, text, h="<span>1</span>") is None
+
+
+def test_links_in_any_quotes(spark):
+    html = """<a href="/1?a=1&amp;b=2">x</a><A class='q' HREF='/2'>y</A><a data-href="/no" href=/3>z</a><a name="n">w</a><abbr href="/4">"""
+    assert value(spark, H.hrefs(F.col("h")), h=html) == ["/1?a=1&b=2", "/2", "/3"]
+
+
+def test_attribute_and_text_in_any_quotes(spark):
+    assert value(spark, H.attribute(F.col("h"), "src"), h="<img data-src='a' src=b.png alt=c>") == "b.png"
+    assert value(spark, H.first_text(F.col("h"), "span", "p"), h="<span class='x p'>1</span>") == "1"
+    assert value(spark, H.first_text(F.col("h"), "span", "p"), h="<span class=p>1</span>") == "1"

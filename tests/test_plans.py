@@ -46,3 +46,25 @@ def test_large_lookup_shuffles_only_cold_keys(spark, monkeypatch):
 def test_top_links_prunes(spark):
     frame = spark.range(10).select(F.col("id").alias("page_id"), F.lit("u").alias("target"), F.lit(1.0).alias("score"))
     assert "WindowGroupLimit" in plan(links.top_links(frame, 2))
+
+
+def test_frontier_combines_before_its_only_shuffle(spark):
+    pages = registry.table(spark, SF, "pages")
+    found = links.resolve_links(links.extract_links(pages)).select("target")
+    text = plan(links.frontier(found, pages.select("url"), "target"))
+    assert text.count("Exchange") == 1 and text.count("HashAggregate") == 2 and "Join" not in text
+
+
+def test_links_are_matched_once(spark):
+    text = plan(links.extract_links(registry.table(spark, SF, "pages")))
+    assert text.count("regexp_extract_all(") == 1 and "size(" not in text
+
+
+def test_merge_uses_plain_keys(spark):
+    frame = spark.range(5).select(F.col("id").alias("page_id"), F.lit("t").alias("title"))
+    assert "coalesce(page_id" not in plan(records.merge_records(frame, frame, ["page_id"]))
+
+
+def test_filters_of_a_chain_are_one_predicate(spark):
+    text = plan(QUERIES["filter_chain"](spark, SF))
+    assert text.count("Filter") - text.count("Filters") == 1

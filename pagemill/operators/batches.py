@@ -133,17 +133,41 @@ def pack_batches(
     # The sizes are written once; counting and cutting them does not read the texts again.
     sizes = cut_lineage(kept.select(*group, order, F.col(tokens).cast("long").alias("_tokens")), "sizes")
     cuts = cut_points(sizes, order, piece_rows)
-    slim = with_pieces(sizes, order, cuts)
-    if cuts and group:
-        # Only groups larger than a piece are cut; there are at most as many of them as pieces.
-        large = sizes.groupBy(*group).count().filter(F.col("count") > piece_rows).drop("count")
-        large = cut_lineage(large.withColumn("_is_large", F.lit(True)), "large-groups")
-        large = F.broadcast(large) if plan_bytes(large) <= BROADCAST_BYTES else large
-        marked = null_safe_join(slim, large, group, "left")
-        slim = marked.withColumn(PIECE, F.when(F.col("_is_large"), F.col(PIECE)).otherwise(F.lit(0))).drop("_is_large")
-    keys = [slim.schema[g] for g in group]
+    keys = [sizes.schema[g] for g in group]
     names = [*group, PIECE]
 
+    def number(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(order)
+        opens = _number(rows["_tokens"].to_numpy(dtype=np.int64), limit, int(rows["_open_sum"].iloc[0]))
+        batch_no = rows["_batches"].to_numpy(dtype=np.int64) + np.cumsum(opens) - 1
+        return rows.assign(batch_no=batch_no)[[*group, order, "batch_no"]]
+
+    small, large = _by_group_size(sizes, group, piece_rows) if cuts else (sizes, None)
+    start = {PIECE: F.lit(0), "_open_sum": F.lit(-1).cast("long"), "_batches": F.lit(0).cast("long")}
+    entered = small.withColumns(start)
+    if large is not None:
+        pieces = with_pieces(large, order, cuts)
+        entered = entered.unionByName(null_safe_join(pieces, _entries(pieces, group, order, limit), names))
+    schema = T.StructType([*keys, sizes.schema[order], T.StructField("batch_no", T.LongType())])
+    numbered = entered.groupBy(*names).applyInPandas(number, schema)
+    rows = kept if set(df.columns) > {*group, order, tokens} else sizes.withColumnRenamed("_tokens", tokens)
+    return null_safe_join(rows, numbered, [*group, order])
+
+
+def _by_group_size(sizes: DataFrame, group: list[str], piece_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the groups that fit in a piece, and of the others; of those there are at most as many as pieces."""
+    if not group:
+        return sizes.limit(0), sizes
+    large = sizes.groupBy(*group).count().filter(F.col("count") > piece_rows).drop("count")
+    large = cut_lineage(large, "large-groups")
+    large = F.broadcast(large) if plan_bytes(large) <= BROADCAST_BYTES else large
+    return null_safe_join(sizes, large, group, "left_anti"), null_safe_join(sizes, large, group, "left_semi")
+
+
+def _entries(pieces: DataFrame, group: list[str], order: str, limit: int) -> DataFrame:
+    """Sum of the open batch and number of batches before each piece."""
+    keys = [pieces.schema[g] for g in group]
+
     def describe(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         sizes = rows.sort_values(order)["_tokens"].to_numpy(dtype=np.int64)
         found = _describe(sizes, limit)
@@ -151,7 +175,7 @@ def pack_batches(
             found[name] = key[position]
         return found.assign(piece=key[-1])[[*group, "piece", "least_sum", "opened", "end_sum"]]
 
-    described = slim.groupBy(*names).applyInPandas(describe, T.StructType([*keys, *_MAP.fields]))
+    described = pieces.groupBy(*group, PIECE).applyInPandas(describe, T.StructType([*keys, *_MAP.fields]))
 
     def chain(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out, open_sum, batches = [], -1, 0
@@ -163,21 +187,8 @@ def pack_batches(
             open_sum = int(course["end_sum"]) + (0 if course["opened"] else open_sum)
         return pd.DataFrame(out, columns=[*group, PIECE, "_open_sum", "_batches"])
 
-    entry = described.groupBy(*group).applyInPandas(
-        chain, T.StructType([*keys, *T._parse_datatype_string(f"{PIECE} int, _open_sum long, _batches long").fields])
-    )
-    entered = null_safe_join(slim, entry, names)
-
-    def number(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        opens = _number(rows["_tokens"].to_numpy(dtype=np.int64), limit, int(rows["_open_sum"].iloc[0]))
-        batch_no = rows["_batches"].to_numpy(dtype=np.int64) + np.cumsum(opens) - 1
-        return rows.assign(batch_no=batch_no)[[*group, order, "batch_no"]]
-
-    schema = T.StructType([*keys, slim.schema[order], T.StructField("batch_no", T.LongType())])
-    numbered = entered.groupBy(*names).applyInPandas(number, schema)
-    rows = kept if set(df.columns) > {*group, order, tokens} else sizes.withColumnRenamed("_tokens", tokens)
-    return null_safe_join(rows, numbered, [*group, order])
+    schema = T._parse_datatype_string(f"{PIECE} int, _open_sum long, _batches long")
+    return described.groupBy(*group).applyInPandas(chain, T.StructType([*keys, *schema.fields]))
 
 
 def build_prompts(

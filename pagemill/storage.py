@@ -35,8 +35,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark)}/pagemill/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the scratch root, in a folder of the application that can go when it has ended."""
+    return f"{scratch_root(spark)}/pagemill/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

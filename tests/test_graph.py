@@ -48,8 +48,7 @@ def vectors(spark, rows):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "id long, embedding array<float>")
 
 
-@pytest.mark.parametrize("threshold", [0.5, 0.85, 0.99])
-@pytest.mark.parametrize("block", [7, 4000])
+@pytest.mark.parametrize("threshold, block", [(0.5, 7), (0.85, 7), (0.99, 7), (0.85, 4000)])
 def test_near_duplicates_are_exact(spark, monkeypatch, threshold, block):
     monkeypatch.setattr(similarity, "BLOCK_ROWS", block)
     rng = np.random.default_rng(3)

@@ -17,6 +17,7 @@ from operator import and_
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill.storage import cut_lineage, plan_bytes
 
@@ -29,6 +30,8 @@ PIECE = "_piece"
 
 def cut_points(df: DataFrame, order: str, rows: int = ROWS_PER_PIECE) -> list[float]:
     """Quantiles of the numeric ``order`` column that cut it into pieces of about ``rows`` rows."""
+    if not isinstance(df.schema[order].dataType, T.NumericType):
+        raise ValueError(f"order column {order} must be numeric; of a timestamp take unix_micros")
     pieces = min(math.ceil(df.select(order).count() / rows), MAX_PIECES)
     if pieces <= 1:
         return []

@@ -165,3 +165,8 @@ def test_adaptive_stats_do_not_depend_on_pieces(spark, monkeypatch):
     monkeypatch.setattr(relevance, "cut_points", lambda df, order: real(df, order, 11))
     split = relevance.adaptive_stats(docs, ["w1", "w2"], "crawl", "id")
     assert one == sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in split.collect())
+
+
+def test_order_must_be_numeric(spark):
+    with pytest.raises(ValueError, match="numeric"):
+        ordering.with_index(spark.createDataFrame([("a",)], "id string"), "id")

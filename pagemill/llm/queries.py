@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe
+from pagemill.llm import bpe, quality, toxicity
+from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -20,3 +21,21 @@ def op1_bpe(spark, sf):
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op6_quality(spark, sf):
+    """Every text scored by the compression classifier."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.learn(docs, table(spark, sf, "labels")))
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.cast("int").alias("predicted"))
+
+
+@query()
+def op8_toxicity(spark, sf):
+    """Every text scored by the string-kernel machine."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf, "labels")))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.cast("int").alias("predicted"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, quality, toxicity
+from pagemill.llm import bpe, quality, simhash, toxicity
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -23,6 +23,14 @@ def op1_bpe(spark, sf):
     )
 
 
+@query()
+def op2_simhash(spark, sf):
+    """Fingerprint and group of every document."""
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query()
 def op6_quality(spark, sf):
     """Every text scored by the compression classifier."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, quality, simhash, toxicity
+from pagemill.llm import bpe, lines, quality, simhash, toxicity
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -31,6 +31,20 @@ def op2_simhash(spark, sf):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query()
+def op3_lines(spark, sf):
+    """Every line that takes part, with the first line of its class."""
+    found = lines.line_classes(table(spark, sf, "documents"))
+    first = F.coalesce("first", F.struct(*lines.PLACE))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "line_no",
+        first["key"].alias("class_doc_id"),
+        first["line_no"].alias("class_line_no"),
+        lines.removable().alias("removed"),
+    )
+
+
 @query()
 def op6_quality(spark, sf):
     """Every text scored by the compression classifier."""

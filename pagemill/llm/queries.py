@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, lines, quality, simhash, toxicity
+from pagemill.llm import bpe, lines, quality, simhash, toxicity, warc
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from pagemill.storage import scratch_path
 
 
 @query()
@@ -45,6 +46,33 @@ def op3_lines(spark, sf):
     )
 
 
+@query(
+    """
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+    digests AS (
+        SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha256(payload) AS payload_digest FROM payloads
+    ),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digests)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM firsts
+    """
+)
+def op5_warc(spark, sf):
+    """Pages written as web archives and read back; what the records say and hold."""
+    files = warc.write_pages(table(spark, sf, "pages"), scratch_path(spark, "warc"))
+    found = warc.read_records(spark, files)
+    digest = F.when(F.col("record_type") == "response", F.sha2("payload", 256)).otherwise(F.col("payload_digest"))
+    return found.select(
+        warc.key_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        digest.alias("payload_digest"),
+        "record_type",
+        warc.key_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 @query()
 def op6_quality(spark, sf):
     """Every text scored by the compression classifier."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, lines, quality, simhash, toxicity, warc
+from pagemill.llm import bpe, lines, quality, simhash, toxicity, vectors, warc
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from pagemill.storage import scratch_path
@@ -46,6 +46,29 @@ def op3_lines(spark, sf):
     )
 
 
+@query(
+    """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+        FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+    ),
+    ranked AS (
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """
+)
+def op4_vectors(spark, sf):
+    """The 20 best other vectors for every query vector, exactly."""
+    return vectors.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query(
     """
     WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),

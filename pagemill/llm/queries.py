@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, lines, quality, simhash, toxicity, vectors, warc
+from pagemill.llm import bpe, decontamination, lines, quality, simhash, toxicity, vectors, warc
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from pagemill.storage import scratch_path
@@ -112,3 +112,10 @@ def op8_toxicity(spark, sf):
     scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf, "labels")))
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.cast("int").alias("predicted"))
+
+
+@query()
+def op9_decontamination(spark, sf):
+    """Every benchmark item found in a document, changed numbers and names included."""
+    found = decontamination.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "matched", "windows", "share", "verbatim")

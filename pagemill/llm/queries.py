@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, decontamination, lines, quality, simhash, toxicity, vectors, warc
+from pagemill.llm import bpe, decontamination, lines, quality, simhash, substrings, toxicity, vectors, warc
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from pagemill.storage import scratch_path
@@ -119,3 +119,17 @@ def op9_decontamination(spark, sf):
     """Every benchmark item found in a document, changed numbers and names included."""
     found = decontamination.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "matched", "windows", "share", "verbatim")
+
+
+@query()
+def op10_substrings(spark, sf):
+    """Every document without the bytes that repeated strings of 400 bytes cover."""
+    done = substrings.remove_repeated(table(spark, sf, "documents").select("doc_id", "text"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        removed.cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

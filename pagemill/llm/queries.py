@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, decontamination, lines, quality, simhash, substrings, toxicity, vectors, warc
+from pagemill.llm import bpe, decontamination, lines, quality, shards, simhash, substrings, toxicity, vectors, warc
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from pagemill.storage import scratch_path
@@ -105,6 +105,16 @@ def op6_quality(spark, sf):
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.cast("int").alias("predicted"))
 
 
+@query()
+def op7_shards(spark, sf):
+    """All texts as token sequences in training order, written to binary files and read back."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    index = shards.write_shards(docs, scratch_path(spark, "shards"), ranks, public_tokenizers.PATTERN, seed=20)
+    tokens = shards.read_shards(spark, index).select("slot", F.sha2("tokens", 256).alias("tokens_sha256"))
+    return index.select("slot", "shard", "n_tokens", F.col("docs").alias("doc_ids")).join(tokens, "slot")
+
+
 @query()
 def op8_toxicity(spark, sf):
     """Every text scored by the string-kernel machine."""

@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pagemill.llm.batches import chunks, extended, values
+from pagemill.llm.batches import chunks, extended, free_name, values
 from pagemill.llm.components import components
+from pagemill.operators.ordering import null_safe_join
 from pagemill.session import ship_package
 from pagemill.storage import cut_lineage
 
@@ -126,6 +127,21 @@ def _single_bits() -> list[int]:
     return [1 << i if i < BITS - 1 else -(1 << i) for i in range(BITS)]
 
 
+OWNER = ["last", "key", "text_hash"]  # the order in a group; ``last`` is true for a null key
+
+
+def groups(docs: DataFrame, key: str, column: str, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """``last, key, text_hash, fingerprint`` of every row, and ``fingerprint, first``, the first row of its group."""
+    plain = docs.select(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(column).alias("text_hash"), F.col(column).alias("text"))
+    rows = cut_lineage(fingerprints(plain, "text", shingle=shingle), "fingerprints")
+    prints = cut_lineage(rows.groupBy("fingerprint").agg(F.min(F.struct(*OWNER)).alias("first")), "prints")
+    roots = components(links(prints.select("fingerprint"), bits=bits)).withColumnRenamed("node", "fingerprint")
+    rooted = prints.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    rooted = cut_lineage(rooted, "rooted")
+    least = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return rows, rooted.drop("first").join(least, "root").select("fingerprint", "first")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", column: str = "text", shingle: int = SHINGLE, bits: int = MAX_BITS
 ) -> DataFrame:
@@ -136,12 +152,23 @@ def near_duplicates(
     Null keys take part but are never the least one, unless all are null. A key
     that occurs twice is two rows. Other columns are left out.
     """
-    plain = docs.select(F.col(key).alias(key), F.col(column).alias("_text"))
-    rows = cut_lineage(fingerprints(plain, "_text", shingle=shingle), "fingerprints")
-    prints = cut_lineage(rows.groupBy("fingerprint").agg(F.min(key).alias("_first")), "prints")
-    roots = components(links(prints.select("fingerprint"), bits=bits)).withColumnRenamed("node", "fingerprint")
-    rooted = prints.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    rooted = cut_lineage(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
-    named = rooted.join(least, "root").select("fingerprint", "component_id")
-    return rows.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+    rows, named = groups(docs, key, column, shingle, bits)
+    return rows.join(named, "fingerprint").select(F.col("key").alias(key), "fingerprint", F.col("first.key").alias("component_id"))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", column: str = "text", shingle: int = SHINGLE, bits: int = MAX_BITS
+) -> DataFrame:
+    """The first document of every group, with all columns: the one with the least key, then the least hash of its text.
+
+    Of rows that share key and text one stays.
+    """
+    rows, named = groups(docs, key, column, shingle, bits)
+    firsts = cut_lineage(named.select("first.*").distinct(), "firsts")
+    number, digest = (free_name(docs.columns, c) for c in ("key", "text_hash"))
+    keyed = docs.withColumn(number, F.col(key)).withColumn(digest, F.xxhash64(column))
+    wanted = firsts.select(F.col("key").alias(number), F.col("text_hash").alias(digest))
+    kept = null_safe_join(keyed, wanted, [number, digest], "left_semi")
+    if null_safe_join(rows.select("key", "text_hash"), firsts.drop("last"), ["key", "text_hash"], "left_semi").count() > firsts.count():
+        kept = kept.dropDuplicates([number, digest])
+    return kept.drop(number, digest).select(*docs.columns)

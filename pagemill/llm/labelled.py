@@ -63,28 +63,31 @@ def sample_labelled(
     return Sample([r[0] for r in found], np.array([r[1] for r in found], int), halves, prior)
 
 
-def fit_sigmoid(raw: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and shift of Platt's scaling, with his smoothed targets; Newton steps.
+def fit_sigmoid(raw: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, float]:
+    """Slopes and shift of Platt's scaling of one or more raw scores, with his smoothed targets; Newton steps.
 
-    The classes count as they occur in ``raw``; without both of them the slope
-    is 0 and the shift gives the class there is.
+    The classes count as they occur in ``raw``; without both of them the slopes
+    are 0 and the shift gives the class there is.
     """
+    raw = np.asarray(raw, float).reshape(len(labels), -1)
     positive, negative = int((labels == 1).sum()), int((labels == 0).sum())
     target = np.where(labels == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
     if not positive or not negative:
-        return 0.0, float(np.log((positive + 1) / (negative + 1)))
-    centre, width = float(raw.mean()), float(raw.std()) or 1.0
+        return np.zeros(raw.shape[1]), float(np.log((positive + 1) / (negative + 1)))
+    centre, width = raw.mean(0), raw.std(0)
+    width[width == 0] = 1.0
     design = np.column_stack([(raw - centre) / width, np.ones(len(raw))])
-    weights = np.zeros(2)
+    weights = np.zeros(design.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(design @ weights, -35, 35)))
+        p = sigmoid(design @ weights)
         gradient = design.T @ (p - target) + 1e-3 * weights
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
+        hessian = (design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(len(weights))
         step = np.linalg.solve(hessian, gradient)
         weights -= step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-8:
             break
-    return float(weights[0] / width), float(weights[1] - weights[0] * centre / width)
+    slopes = weights[:-1] / width
+    return slopes, float(weights[-1] - slopes @ centre)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

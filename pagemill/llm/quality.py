@@ -96,7 +96,7 @@ def fit(sample: Sample) -> Quality:
     other = np.flatnonzero(sample.calibrate) if sample.calibrate.any() else np.arange(len(sample.texts))
     raw = np.array([model.raw(sample.texts[i]) for i in other])
     slope, shift = fit_sigmoid(raw, sample.labels[other])
-    return Quality(model.good, model.bad, slope, shift + sample.prior)
+    return Quality(model.good, model.bad, float(slope[0]), shift + sample.prior)
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Quality:

@@ -3,16 +3,17 @@
 Two words are alike by the subsequences of three letters that they share, where
 a subsequence that is spread over more letters counts less: ``DECAY`` to the
 power of its span, up to ``SPAN``. Inserted letters and gaps then take away
-only part of the likeness. The kernel is divided by the weight of all
-subsequences of either word, so that long words don't win by their length.
+only part of the likeness. The kernel is normalised by each word's kernel with
+itself, so that neither long nor monotonous words win.
 
 The machine is trained in the space of Nyström landmarks, words of toxic and of
 clean sentences. A labelled sentence is a bag of words: all words of a clean
 one are clean; of a toxic one a word that speaks most for toxicity is the toxic one,
 chosen anew in each round, and so are copies of it with a letter put in. Since the kernel is a sum over subsequences, the
 landmarks' weights collapse into one table of 32^3 numbers, and a word's score
-is a sum of look-ups. A text scores as its highest word, passed through a
-calibrated sigmoid.
+is a sum of look-ups. A text scores by its four most toxic words and its length,
+passed through a logistic curve that is fitted on texts the machine has not
+seen: the two halves of the sample judge each other.
 
 White space parts words; a run of single letters (``i d i o t``) is one word,
 and marks inside a word are skipped. Null and empty texts have no word and
@@ -27,6 +28,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nlargest
 from itertools import combinations
 
 import numpy as np
@@ -44,10 +46,11 @@ LETTERS = 32  # 0 is no letter, 1 to 26 are a to z, the rest stand for all other
 SPAN = 6
 DECAY = 0.65
 GAPS = [(a, b) for a, b in combinations(range(1, SPAN), 2)]
-LANDMARKS = 160
-PER_CLASS, MAX_CHARS = 1_500, 20_000  # bounds of the labelled sample
+LANDMARKS = 400
+PER_CLASS, MAX_CHARS = 800, 20_000  # bounds of the labelled sample
 LONGEST = 32  # letters; longer words are cut to overlapping pieces
 NEAR_ODDS = 0.7
+PART = 5
 CACHED_WORDS = 200_000
 NO_WORD = -1e9
 
@@ -97,19 +100,44 @@ def subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, fl
         yield (codes << 10) | (second << 5) | third, (codes > 0) & (second > 0) & (third > 0), DECAY ** (b + 1)
 
 
-def kernel_rows(words: list[str], columns: np.ndarray) -> np.ndarray:
-    """Normalised features of words, over the subsequences numbered in ``columns`` (-1: not used)."""
+@dataclass(frozen=True)
+class Features:
+    """Every subsequence of every word once: its word, its number and its summed weight, and the norm of each word."""
+
+    word: np.ndarray
+    number: np.ndarray
+    weight: np.ndarray
+    norm: np.ndarray
+
+
+def features(words: list[str]) -> Features:
     codes, starts = codes_of(words)
-    word = np.zeros(len(codes), int)
+    word = np.zeros(len(codes), np.int64)
     word[starts[1:]] = 1
-    word = np.cumsum(word)
-    rows = np.zeros((len(words), int(columns.max()) + 1))
-    mass = np.zeros(len(words))
+    word = np.cumsum(word) << 15
+    keys, weights = [], []
     for number, there, weight in subsequences(codes):
-        mass += np.bincount(word, there * weight**2, len(words))
-        at = np.flatnonzero(there & (columns[number] >= 0))
-        np.add.at(rows, (word[at], columns[number[at]]), weight)
-    return rows / np.sqrt(np.maximum(mass, 1e-12))[:, None]
+        at = np.flatnonzero(there)
+        keys.append(word[at] | number[at])
+        weights.append(np.full(len(at), weight, np.float32))
+    key, weight = np.concatenate(keys), np.concatenate(weights)
+    order = np.argsort(key)
+    key, weight = key[order], weight[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    key = key[first]
+    weight = np.add.reduceat(weight, first) if len(first) else weight
+    owner = key >> 15
+    norm = np.sqrt(np.bincount(owner, weight.astype(float) ** 2, len(words)))
+    return Features(owner, key & (LETTERS**3 - 1), weight, np.maximum(norm, 1e-6))
+
+
+def kernel_rows(words: list[str], columns: np.ndarray) -> np.ndarray:
+    """Normalised features of words, over the subsequences numbered in ``columns`` (-1: not used)."""
+    found = features(words)
+    rows = np.zeros((len(words), int(columns.max()) + 1))
+    kept = columns[found.number] >= 0
+    rows[found.word[kept], columns[found.number[kept]]] = found.weight[kept]
+    return rows / found.norm[:, None]
 
 
 @dataclass(frozen=True)
@@ -118,47 +146,62 @@ class Toxicity:
 
     weights: np.ndarray
     bias: float
-    slope: float
+    slopes: np.ndarray
     shift: float
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros(0)
-        codes, starts = codes_of(words)
-        total, mass = np.zeros(len(codes), np.float32), np.zeros(len(codes), np.float32)
-        for number, there, weight in subsequences(codes):
-            total += self.weights[number] * np.float32(weight)
-            mass += there * np.float32(weight**2)
-        summed, norm = np.add.reduceat(total, starts), np.add.reduceat(mass, starts)
-        return summed / np.sqrt(np.maximum(norm, 1e-12)) + self.bias
+        found = features(words)
+        total = np.bincount(found.word, self.weights[found.number] * found.weight, len(words))
+        return total / found.norm + self.bias
 
     def raw(self, texts: list[str | None], cache: dict[str, float]) -> np.ndarray:
-        """The highest word score of every text."""
-        split = [set(words_of(t)) for t in texts]
+        """Of every text the mean score of its two and of its four most toxic words, and the logarithm of its words."""
+        split = [words_of(t) for t in texts]
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        new = list(set().union(*split).difference(cache)) if split else []
+        new = list(set().union(*split).difference(cache))
         cache.update(zip(new, self.word_scores(new).tolist(), strict=True))
-        return np.array([max(map(cache.__getitem__, ws), default=self.bias) for ws in split])
+        worst = np.full((len(texts), 4), self.bias)
+        for row, words in zip(worst, split, strict=True):
+            found = nlargest(4, map(cache.__getitem__, words))
+            row[: len(found)] = found
+        worst = np.tanh(worst / 2)  # far beyond the margin a score says little more
+        counts = np.fromiter(map(len, split), float, len(split))
+        return np.column_stack([worst[:, :2].mean(1), worst.mean(1), np.log1p(counts)])
 
     def probability(self, raw: np.ndarray) -> np.ndarray:
-        return sigmoid(self.slope * squashed(raw) + self.shift)
+        return sigmoid(raw @ self.slopes + self.shift)
 
 
-CLEAN = Toxicity(np.zeros(LETTERS**3, np.float32), -1.0, 0.0, -35.0)
+CLEAN = Toxicity(np.zeros(LETTERS**3, np.float32), -1.0, np.zeros(3), -35.0)
 
 
-def squashed(raw: np.ndarray) -> np.ndarray:
-    """Far beyond the margin a score says little more."""
-    return np.tanh(raw / 2)
+def calibrated(model: Toxicity, raw: np.ndarray, labels: np.ndarray, prior: float) -> Toxicity:
+    """The model with a logistic curve; one half lies in the gap where the classes leave one."""
+    slopes, shift = fit_sigmoid(raw, labels)
+    put, shift = raw @ slopes, shift + prior
+    if (labels == 0).any() and (labels == 1).any():
+        low, high = np.quantile(put[labels == 0], 0.995), np.quantile(put[labels == 1], 0.01)
+        if high > low:
+            shift = -(low + high) / 2
+    return Toxicity(model.weights, model.bias, slopes, float(shift))
 
 
-def calibrated(model: Toxicity, raw: np.ndarray, labels: np.ndarray, prior: float) -> Toxicity:
-    """The model with Platt's slope; one half lies between the classes where nearly all texts leave a gap."""
-    slope, shift = fit_sigmoid(raw, labels)
-    low, high = (np.quantile(raw[labels == c], q) if (labels == c).any() else np.nan for c, q in ((0, 0.995), (1, 0.01)))
-    shift = -slope * (low + high) / 2 if high > low else shift + prior
-    return Toxicity(model.weights, model.bias, slope, float(shift))
+def parts_of(word: str) -> set[str]:
+    """The word with its ends marked, and all its parts of ``PART`` letters."""
+    marked = f"^{word}$"
+    return {marked, *(marked[i : i + PART] for i in range(len(marked) - PART + 1))}
+
+
+def part_odds(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]:
+    """For each word of the toxic texts the log-odds of its most telling part, by texts that have the part."""
+    parts = {w: parts_of(w) for w in set().union(*toxic, *clean)}
+    seen = Counter(p for bag in toxic for p in set().union(*(parts[w] for w in bag)))
+    other = Counter(p for bag in clean for p in set().union(*(parts[w] for w in bag)) if p in seen)
+    odds = {p: float(np.log(n + 0.5) - np.log(other[p] + 0.5)) for p, n in seen.items()}
+    return {w: max(odds[p] for p in parts[w]) for w in set().union(*toxic)}
 
 
 def witness(bag: set[str], odds: dict[str, float], turn: int) -> str:
@@ -173,41 +216,68 @@ def inserted(word: str) -> list[str]:
     return [f"{word[:i]}{chr(ord('a') + (7 * i + len(word)) % 26)}{word[i:]}" for i in range(1, len(word))]
 
 
-def train_machine(points: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Linear machine with squared hinge loss in the primal, by Newton steps on the violated margins."""
+def train_machine(points: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Linear machine with squared hinge loss in the primal: Newton steps on the violated margins, halved until they help."""
     design = np.column_stack([points, np.ones(len(points))])
+    penalty = np.full(design.shape[1], ridge)
+    penalty[-1] = 1e-6
+
+    def loss(solution: np.ndarray) -> float:
+        gap = np.maximum(0, 1 - labels * (design @ solution))
+        return float(penalty @ solution**2 + weights @ gap**2)
+
     solution = np.zeros(design.shape[1])
-    penalty = ridge * np.eye(len(solution))
-    penalty[-1, -1] = 1e-6
-    for _ in range(30):
+    now = loss(solution)
+    for _ in range(60):
         active = labels * (design @ solution) < 1
-        chosen, w = design[active], weights[active][:, None]
-        new = np.linalg.solve(penalty + chosen.T @ (chosen * w), chosen.T @ (labels[active] * w[:, 0]))
-        if np.abs(new - solution).max() < 1e-7:
+        chosen, w = design[active], weights[active]
+        step = np.linalg.solve(np.diag(penalty) + (chosen * w[:, None]).T @ chosen, chosen.T @ (labels[active] * w)) - solution
+        size = 1.0
+        while size > 1e-3 and loss(solution + size * step) > now:
+            size /= 2
+        solution = solution + size * step
+        last, now = now, loss(solution)
+        if last - now <= 1e-7 * last:
             break
-        solution = 0.5 * solution + 0.5 * new
     return solution
 
 
-def fit(sample: Sample, rounds: int = 3) -> Toxicity:
-    """Train on half of the sample and calibrate on the other half."""
-    bags = [words_of(t) for t in sample.texts]
-    learn = [i for i in range(len(bags)) if not sample.calibrate[i] and bags[i]]
-    toxic = [i for i in learn if sample.labels[i] == 1]
-    clean = Counter(w for i in learn if sample.labels[i] == 0 for w in set(bags[i]))
+def fit(sample: Sample) -> Toxicity:
+    """The machine of the whole sample, calibrated on what the machines of its halves say of the other half."""
+    bags, labels, half = [words_of(t) for t in sample.texts], sample.labels, sample.calibrate
+    model = train(bags, labels)
+    if model is CLEAN:
+        return CLEAN
+    rows, raws = [], []
+    for side in (half, ~half):
+        own, other = np.flatnonzero(~side), np.flatnonzero(side)
+        part = train([bags[i] for i in own], labels[own])
+        if part is not CLEAN and len(other):
+            raws.append(part.raw([sample.texts[i] for i in other], {}))
+            rows.append(other)
+    if not rows:
+        rows, raws = [np.arange(len(bags))], [model.raw(sample.texts, {})]
+    return calibrated(model, np.concatenate(raws), labels[np.concatenate(rows)], sample.prior)
+
+
+def train(bags: list[list[str]], marks: np.ndarray, rounds: int = 3) -> Toxicity:
+    """The machine without its calibration."""
+    toxic = [i for i in range(len(bags)) if marks[i] == 1 and bags[i]]
+    clean_bags = [set(b) for b, mark in zip(bags, marks, strict=True) if mark == 0]
+    clean = Counter(w for b in clean_bags for w in b)
     if not toxic or not clean:
         return CLEAN
     seen = Counter(w for i in toxic for w in set(bags[i]))
-    odds = {w: np.log(n + 0.5) - np.log(clean[w] + 0.5) for w, n in seen.items()}
     toxic_bags = [set(bags[i]) for i in toxic]
+    odds = part_odds(toxic_bags, clean_bags)
     chosen = Counter(witness(b, odds, i) for i, b in enumerate(toxic_bags))
     ordinary = sorted(clean, key=lambda w: (-clean[w], w))
-    negatives = dict.fromkeys(ordinary[: 8 * LANDMARKS])
+    negatives, hard = dict.fromkeys(ordinary[: 8 * LANDMARKS]), ordinary[LANDMARKS :]
     model = CLEAN
     for _ in range(rounds):
         half = LANDMARKS // 2
         landmarks = [w for w, _ in sorted(chosen.items(), key=lambda x: (-x[1], x[0]))[:half]]
-        landmarks = [*landmarks, *[w for w in ordinary if w not in chosen][:half]]
+        landmarks += [w for w in [*ordinary[: half // 2], *hard[:half]] if w not in chosen][:half]
         codes, _ = codes_of(landmarks)
         numbers = np.unique(np.concatenate([n[t] for n, t, _ in subsequences(codes)]))
         if not len(numbers):
@@ -229,10 +299,11 @@ def fit(sample: Sample, rounds: int = 3) -> Toxicity:
         solution = train_machine(points, labels, counts)
         table = np.zeros(LETTERS**3, np.float32)
         table[numbers] = basis.T @ (whiten @ solution[:-1])
-        model = Toxicity(table, float(solution[-1]), 1.0, 0.0)
+        model = Toxicity(table, float(solution[-1]), np.zeros(3), 0.0)
         # Next round: the worst clean words, and the word that now speaks most for each toxic text.
         scores = dict(zip(ordinary, model.word_scores(ordinary).tolist(), strict=True))
-        negatives |= dict.fromkeys(sorted(ordinary, key=lambda w: (-scores[w], w))[: 4 * LANDMARKS])
+        hard = sorted(ordinary, key=lambda w: (-scores[w], w))[: 4 * LANDMARKS]
+        negatives |= dict.fromkeys(hard)
         vocabulary = list(seen)
         scores |= zip(vocabulary, model.word_scores(vocabulary).tolist(), strict=True)
         last = chosen
@@ -241,9 +312,7 @@ def fit(sample: Sample, rounds: int = 3) -> Toxicity:
         chosen += Counter(max(sorted(b), key=scores.__getitem__) for b in toxic_bags if chosen.keys().isdisjoint(b))
         if chosen == last:
             break
-    other = np.flatnonzero(sample.calibrate) if sample.calibrate.any() else np.arange(len(bags))
-    raw = model.raw([sample.texts[i] for i in other], {})
-    return calibrated(model, squashed(raw), sample.labels[other], sample.prior)
+    return model
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Toxicity:

@@ -7,11 +7,11 @@ their line and their number, longer lines are probed at the starts that leave
 enough edits on either side, and every pair that meets is verified by its edit
 distance. Close lines are linked, and a class of lines is what links reach.
 
-Only keys that several lines share are kept for the join. A key with more than
-``CROWD`` lines is not joined: the segment is taken out of its lines and the
-rests, which still may differ by the same number of edits, are cut into
-segments again; after ``LEVELS`` rounds what is left is joined as it is. So no
-link is lost, and lines with a long common part don't meet pairwise.
+The keys are sorted, and lines that stand under one key meet there. Under a key
+with more than ``CROWD`` lines they don't: the segment is taken out of its
+lines and the rests, which still may differ by the same number of edits, are
+cut into segments again; after ``LEVELS`` rounds what is left is joined as it
+is. So no link is lost, and lines with a long common part don't meet pairwise.
 
 Lines are the parts of a text between line ends; white space around a line
 doesn't count, and a line of under ``LEAST_CHARS`` letters is always kept. Of a
@@ -25,14 +25,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from hashlib import md5
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ByteType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, ByteType, IntegerType, LongType, StringType, StructField, StructType
 
 from pagemill.llm.batches import chunks, free_name, values
 from pagemill.llm.components import components
@@ -43,12 +45,16 @@ from pagemill.storage import cut_lineage
 
 MOST = 2
 LEAST_CHARS = 16
-CROWD = 64
-LEVELS = 3
+CROWD = 32
+LEVELS = 4
+MOST_HASHES = 4_000_000  # lines whose hashes are sent to all tasks to find their texts: 32 MB
 BLANK = " \t\r\x0b\x0c"
 
 PLACE = ["last", "key", "text_hash", "line_no"]  # the order of first lines; ``last`` is true for a null key
+LINES = [StructField("last", BooleanType()), StructField("text_hash", LongType()), StructField("line_no", IntegerType()), StructField("line", BinaryType())]
 ENTRIES = StructType([StructField("key", LongType()), StructField("role", ByteType()), StructField("line", LongType())])
+MET = StructType([StructField("a", LongType()), StructField("b", LongType()), *ENTRIES, StructField("rest", StringType())])
+TEXTS = StructType([StructField("line", LongType()), StructField("text", StringType())])
 DEEPER = StructType([*ENTRIES, StructField("rest", StringType())])
 PAIRS = StructType([StructField("first", StringType()), StructField("second", StringType())])
 
@@ -125,22 +131,71 @@ def opened(rows: DataFrame, most: int = MOST) -> DataFrame:
     return rows.select("key", "role", "line", "text").mapInArrow(run, DEEPER)
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Two lines under one key, one of them as indexed and the other as probed."""
+def meetings(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """Pairs ``a, b`` of lines under one key, one of them as indexed and the other as probed.
+
+    The rows come sorted by key, so a task sees one key after the other and
+    holds at most ``crowd`` lines of it. The lines of a key with more are passed
+    on as they are, with ``key`` set and without a pair.
+    """
+    arrow = to_arrow_schema(MET)
+    rest = "rest" in rows.columns
+
+    def pairs(part: list[tuple[int, int]]) -> set[tuple[int, int]]:
+        probed = [line for line, role in part if role & PROBE]
+        return {(min(a, b), max(a, b)) for a, role in part if role & INDEX for b in probed if a != b}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, crowded = None, {}, False
+        out: list[tuple] = []
+
+        def close() -> None:
+            if len(held) > 1 and not crowded:
+                out.extend((a, b, None, None, None, None) for a, b in pairs([(line, role) for line, role, _ in held]))
+
+        for batch in batches:
+            keys_, lines_ = np.asarray(batch.column("key")), np.asarray(batch.column("line"))
+            if not len(keys_):
+                continue
+            # A key that stands alone needs nothing; the last one may go on in the next batch.
+            near = np.r_[False, keys_[1:] == keys_[:-1]]
+            keep = near | np.r_[near[1:], True]
+            keep[0] |= key is not None and keys_[0] == key
+            at = np.flatnonzero(keep)
+            roles = batch.column("role").take(pa.array(at)).to_pylist()
+            rests = batch.column("rest").take(pa.array(at)).to_pylist() if rest else [None] * len(at)
+            for k, line, role, left in zip(keys_[at].tolist(), lines_[at].tolist(), roles, rests, strict=True):
+                if k != key:
+                    close()
+                    key, held, crowded = k, {}, False
+                if (line, role, left) in held:
+                    continue
+                if crowded:
+                    out.append((None, None, k, role, line, left))
+                    continue
+                held[(line, role, left)] = None
+                if len(held) > crowd:
+                    crowded = True
+                    out.extend((None, None, k, r, n, t) for n, r, t in held)
+            if len(out) > 20_000:
+                yield _batch(arrow, [list(c) for c in zip(*out, strict=True)])
+                out.clear()
+        close()
+        if out:
+            yield _batch(arrow, [list(c) for c in zip(*out, strict=True)])
+
+    dealt = rows.repartition("key").sortWithinPartitions("key", "line")
+    return dealt.select("key", "role", "line", *(["rest"] if rest else [])).mapInArrow(run, MET)
+
+
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """The same for keys of any number of lines, by a join."""
     indexed = rows.filter(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).select("key", F.col("line").alias("a"))
     probed = rows.filter(F.col("role").bitwiseAND(F.lit(PROBE)) > 0).select("key", F.col("line").alias("b"))
     met = indexed.join(probed, "key").filter(F.col("a") != F.col("b"))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _shared(rows: DataFrame, label: str) -> DataFrame:
-    """The rows whose key several lines have, each row once, with the number of lines of the key as ``n``."""
-    several = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    kept = cut_lineage(rows.join(several, "key").distinct(), label)  # copies of a line in other tasks go here
-    sizes = kept.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    return kept.join(sizes, "key")
-
-
 def close_lines(docs: DataFrame, column: str = "text", most: int = MOST, least: int = LEAST_CHARS, crowd: int = CROWD) -> DataFrame:
     """Links ``a, b`` between the MD5 of lines at most ``most`` edits apart.
 
@@ -149,18 +204,20 @@ def close_lines(docs: DataFrame, column: str = "text", most: int = MOST, least:
     """
     ship_package(docs.sparkSession)
     texts = docs.select(F.col(column).alias("text")).filter(F.col("text").isNotNull())
-    shared = cut_lineage(_shared(entries(texts, most, least), "entries"), "entries")
-    pairs = [_pairs(shared.filter(F.col("n") <= crowd))]
-    crowded = shared.filter(F.col("n") > crowd)
+    met = cut_lineage(meetings(entries(texts, most, least), crowd), "meetings")
+    pairs = [met.filter("a IS NOT NULL").select("a", "b")]
+    crowded = met.filter("key IS NOT NULL").select("key", "role", "line")
     if not crowded.isEmpty():
+        crowded = cut_lineage(crowded.distinct(), "crowded")
         rows = opened(crowded.join(_texts(texts, crowded.select("line").distinct(), least), "line"), most)
         for level in range(LEVELS):
-            rows = cut_lineage(_shared(deeper(rows, most), "deeper"), "deeper")
-            if level == LEVELS - 1 or (full := rows.filter(F.col("n") > crowd)).isEmpty():
-                pairs.append(_pairs(rows))
+            met = cut_lineage(meetings(deeper(rows, most), crowd), "meetings")
+            pairs.append(met.filter("a IS NOT NULL").select("a", "b"))
+            rows = met.filter("key IS NOT NULL").select("key", "role", "line", "rest")
+            if rows.isEmpty():
                 break
-            pairs.append(_pairs(rows.filter(F.col("n") <= crowd)))
-            rows = full.drop("n")
+            if level == LEVELS - 1:
+                pairs.append(_all_pairs(rows))
     met = cut_lineage(reduce(DataFrame.unionByName, pairs).distinct(), "pairs")
     named = cut_lineage(_texts(texts, met.select(F.col("a").alias("line")).union(met.select("b")).distinct(), least), "texts")
     left = named.select(F.col("line").alias("a"), F.col("text").alias("first"))
@@ -171,12 +228,32 @@ def close_lines(docs: DataFrame, column: str = "text", most: int = MOST, least:
 
 
 def _texts(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """``line, text`` of the lines with a hash in ``wanted``, each different text once."""
-    line = F.explode(F.split("text", "\n")).alias("raw")
-    bare = F.regexp_replace("raw", r"^[ \t\r\x0B\f]+|[ \t\r\x0B\f]+$", "")
-    lines = texts.select(line).select(bare.alias("text")).filter(F.length("text") >= least)
-    lines = lines.withColumn("line", F.xxhash64("text"))
-    return lines.join(wanted, "line").select("line", "text").distinct()
+    """``line, text`` of the lines with a hash in ``wanted``, each different text once.
+
+    Up to ``MOST_HASHES`` hashes are sent to the tasks, which then pass on only
+    those lines; more are joined.
+    """
+    wanted = cut_lineage(wanted, "wanted")
+    known = None
+    if wanted.count() <= MOST_HASHES:
+        known = np.sort(np.array([r["line"] for r in wanted.collect()], np.int64))
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+    arrow = to_arrow_schema(TEXTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                found = list({s for t in values(part, "text") for s in lines_of(t, least)})
+                hashes = np.array([line_hash(s) for s in found], np.int64)
+                if shared.value is not None and len(found):
+                    place = np.minimum(np.searchsorted(shared.value, hashes), max(0, len(shared.value) - 1))
+                    at = np.flatnonzero(shared.value[place] == hashes) if len(shared.value) else np.zeros(0, int)
+                    found, hashes = [found[i] for i in at], hashes[at]
+                if found:
+                    yield _batch(arrow, [hashes, found])
+
+    lines = texts.select("text").mapInArrow(run, TEXTS)
+    return (lines if known is not None else lines.join(wanted, "line")).distinct()
 
 
 def _verified(pairs: DataFrame, most: int) -> DataFrame:
@@ -187,7 +264,32 @@ def _verified(pairs: DataFrame, most: int) -> DataFrame:
                 yield part.filter(close)
 
     kept = pairs.mapInArrow(run, PAIRS)
-    return kept.select(F.md5(F.col("first").cast("binary")).alias("a"), F.md5(F.col("second").cast("binary")).alias("b"))
+    return kept.select(F.unhex(F.md5(F.col("first").cast("binary"))).alias("a"), F.unhex(F.md5(F.col("second").cast("binary"))).alias("b"))
+
+
+def line_places(docs: DataFrame, key: str, column: str, least: int) -> DataFrame:
+    """``last, key, text_hash, line_no`` and the MD5 of every line that takes part."""
+    rows = docs.select(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(column).alias("text_hash"), F.col(column).alias("text"))
+    schema = StructType([LINES[0], rows.schema["key"], *LINES[1:]])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                row, number, digest = [], [], []
+                for i, text in enumerate(values(part, "text")):
+                    for k, raw in enumerate((text or "").split("\n")):
+                        line = raw.strip(BLANK)
+                        if len(line) >= least:
+                            row.append(i)
+                            number.append(k)
+                            digest.append(md5(line.encode("utf-8", "replace")).digest())
+                if row:
+                    owner = [part.column(c).take(pa.array(row)) for c in ("last", "key", "text_hash")]
+                    columns = [*owner, pa.array(number, pa.int32()), pa.array(digest, pa.binary())]
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    return rows.mapInArrow(run, schema)
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", column: str = "text", most: int = MOST, least: int = LEAST_CHARS) -> DataFrame:
@@ -197,19 +299,17 @@ def line_classes(docs: DataFrame, key: str = "doc_id", column: str = "text", mos
     for a null key), ``first`` holds the same four of the first line, null for
     a line that is alone.
     """
-    text = F.col(column)
-    rows = docs.select(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
-    bare = F.regexp_replace("raw", r"^[ \t\r\x0B\f]+|[ \t\r\x0B\f]+$", "")
-    rows = rows.select(*PLACE, bare.alias("bare")).filter(F.length("bare") >= least)
-    rows = rows.select(*PLACE, F.md5(F.col("bare").cast("binary")).alias("line"))
-    exact = cut_lineage(rows.groupBy("line").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n")), "lines")
+    ship_package(docs.sparkSession)
+    rows = cut_lineage(line_places(docs, key, column, least), "lines")
+    exact = rows.groupBy("line").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"))
+    exact = cut_lineage(exact, "exact")
     roots = cut_lineage(components(close_lines(docs, column, most, least)), "roots").withColumnRenamed("node", "line")
-    linked = exact.join(roots, "line")
+    linked = cut_lineage(exact.join(roots, "line").select("line", "root", "first"), "linked")
     least_of = linked.groupBy("root").agg(F.min("first").alias("first"))
     near = linked.select("line", "root").join(least_of, "root").select("line", F.col("first").alias("near"))
-    several = exact.join(near, "line", "left").filter((F.col("n") > 1) | F.col("near").isNotNull())
-    several = several.select("line", F.coalesce("near", "first").alias("first"))
-    return rows.join(several, "line", "left").select(*PLACE, "first")
+    copies = exact.filter("n > 1").select("line", "first")
+    several = copies.join(near, "line", "full").select("line", F.coalesce("near", "first").alias("first"))
+    return rows.join(cut_lineage(several, "several"), "line", "left").select(*PLACE, "first")
 
 
 def removable() -> Column:

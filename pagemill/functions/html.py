@@ -15,7 +15,10 @@ CODE_TAGS = ("script", "style", "svg", "noscript")
 FRAME_TAGS = ("header", "nav", "footer", "aside", "form")
 
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
-HREF = rf"(?i)<a\s(?:[^>]*?\s)?href\s*=\s*{_VALUE}"
+# Attributes before the one that is wanted; a quoted value may hold ``>``.
+_BEFORE = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
+HREF = rf"(?i)<a\s(?:{_BEFORE}\s)?href\s*=\s*{_VALUE}"
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
 IMG = r"(?i)(<img\b[^>]*>)"
 FLAT_TABLE = r"(?is)(<table.*?>.*?</table>)"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
@@ -24,7 +27,7 @@ JSON_LD = r'(?s)<script type="application/ld\+json">(.*?)</script>'
 
 def strip_tags(html: Column, tags: Sequence[str] = CODE_TAGS, comments: bool = False) -> Column:
     """Remove each tag with its content, in one pass. For tags that cannot contain themselves."""
-    patterns = [rf"<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in tags] + ["<!--.*?-->"] * comments
+    patterns = [rf"<{tag}(?=[\s/>])[^>]*>.*?</{tag}\s*>" for tag in tags] + ["<!--.*?-->"] * comments
     return F.regexp_replace(html, "(?is)" + "|".join(patterns), "")
 
 
@@ -52,8 +55,8 @@ def _unquote(value: Column) -> Column:
 
 
 def hrefs(html: Column) -> Column:
-    """Addresses of the links, quoted in any way or not at all."""
-    return F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), _unquote)
+    """Addresses of the links outside code and comments, quoted in any way or not at all."""
+    return F.transform(F.regexp_extract_all(F.regexp_replace(html, HIDDEN, ""), F.lit(HREF), F.lit(1)), _unquote)
 
 
 def image_tags(html: Column) -> Column:

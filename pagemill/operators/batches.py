@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.functions.text import estimate_tokens, nonempty, words
 from pagemill.operators.exploding import number_items
-from pagemill.operators.ordering import BROADCAST_BYTES, PIECE, cut_points, null_safe_join, with_index, with_pieces
+from pagemill.operators.ordering import BROADCAST_BYTES, PIECE, ROWS_PER_PIECE, cut_points, null_safe_join, with_index, with_pieces
 from pagemill.storage import cut_lineage, plan_bytes
 
 # Batch size, separators and token limits.
@@ -36,12 +36,18 @@ def joined_text(df: DataFrame, by: Sequence[str], text: str, order: str, separat
 
 
 def fixed_batches(
-    df: DataFrame, text: str, order: str, size: int = BATCH_SIZE, separator: str = PRODUCT_SEPARATOR
+    df: DataFrame,
+    text: str,
+    order: str | Sequence[str],
+    size: int = BATCH_SIZE,
+    separator: str = PRODUCT_SEPARATOR,
+    piece_rows: int = ROWS_PER_PIECE,
 ) -> DataFrame:
-    """Batches of ``size`` records in order, joined by a separator line."""
-    numbered = with_index(df.select(order, text), order, name="_index")
+    """Batches of ``size`` records in order, joined by a separator line; records that tie are all kept."""
+    order = [order] if isinstance(order, str) else list(order)
+    numbered = with_index(df.select(*dict.fromkeys([*order, text])), order, name="_index", rows=piece_rows)
     numbered = numbered.withColumn("batch_no", F.floor(F.col("_index") / F.lit(size)))
-    return joined_text(numbered, ["batch_no"], text, order, separator)
+    return joined_text(numbered, ["batch_no"], text, "_index", separator)
 
 
 # Packing. Whether an item opens a batch depends on all items before it, but
@@ -127,20 +133,24 @@ def pack_batches(
 
     A group is worked on in pieces of about ``piece_rows`` rows, so that a
     group with a third of all items spreads over as many tasks as its share.
+    Items that tie in ``order`` follow each other by size.
     """
     group = list(group)
-    kept = df.filter(F.col(tokens) <= limit)
+    # Items alike in group, order and size can stand for each other; their number among themselves tells them apart.
+    alike = Window.partitionBy(*group, order, "_tokens").orderBy("_tokens")
+    kept = df.filter(F.col(tokens) <= limit).withColumn("_tokens", F.col(tokens).cast("long"))
+    kept = kept.withColumn("_tie", F.row_number().over(alike))
     # The sizes are written once; counting and cutting them does not read the texts again.
-    sizes = cut_lineage(kept.select(*group, order, F.col(tokens).cast("long").alias("_tokens")), "sizes")
+    sizes = cut_lineage(kept.select(*group, order, "_tokens", "_tie"), "sizes")
     cuts = cut_points(sizes, order, piece_rows)
     keys = [sizes.schema[g] for g in group]
     names = [*group, PIECE]
 
     def number(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
+        rows = rows.sort_values([order, "_tokens", "_tie"])
         opens = _number(rows["_tokens"].to_numpy(dtype=np.int64), limit, int(rows["_open_sum"].iloc[0]))
         batch_no = rows["_batches"].to_numpy(dtype=np.int64) + np.cumsum(opens) - 1
-        return rows.assign(batch_no=batch_no)[[*group, order, "batch_no"]]
+        return rows.assign(batch_no=batch_no)[[*group, order, "_tokens", "_tie", "batch_no"]]
 
     small, large = _by_group_size(sizes, group, piece_rows) if cuts else (sizes, None)
     start = {PIECE: F.lit(0), "_open_sum": F.lit(-1).cast("long"), "_batches": F.lit(0).cast("long")}
@@ -148,10 +158,12 @@ def pack_batches(
     if large is not None:
         pieces = with_pieces(large, order, cuts)
         entered = entered.unionByName(null_safe_join(pieces, _entries(pieces, group, order, limit), names))
-    schema = T.StructType([*keys, sizes.schema[order], T.StructField("batch_no", T.LongType())])
+    items = [sizes.schema[c] for c in (order, "_tokens", "_tie")]
+    schema = T.StructType([*keys, *items, T.StructField("batch_no", T.LongType())])
     numbered = entered.groupBy(*names).applyInPandas(number, schema)
-    rows = kept if set(df.columns) > {*group, order, tokens} else sizes.withColumnRenamed("_tokens", tokens)
-    return null_safe_join(rows, numbered, [*group, order])
+    if set(df.columns) == {*group, order, tokens}:
+        return numbered.withColumn(tokens, F.col("_tokens").cast(df.schema[tokens].dataType)).select(*df.columns, "batch_no")
+    return null_safe_join(kept, numbered, [*group, order, "_tokens", "_tie"]).select(*df.columns, "batch_no")
 
 
 def _by_group_size(sizes: DataFrame, group: list[str], piece_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -169,7 +181,7 @@ def _entries(pieces: DataFrame, group: list[str], order: str, limit: int) -> Dat
     keys = [pieces.schema[g] for g in group]
 
     def describe(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        sizes = rows.sort_values(order)["_tokens"].to_numpy(dtype=np.int64)
+        sizes = rows.sort_values([order, "_tokens", "_tie"])["_tokens"].to_numpy(dtype=np.int64)
         found = _describe(sizes, limit)
         for position, name in enumerate(group):
             found[name] = key[position]

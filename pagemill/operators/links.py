@@ -25,9 +25,9 @@ def resolve_links(links: DataFrame, href: str = "href", base: str = "url", into:
 
 
 def link_class(src: Column, dst: Column, social: Sequence[str] = ()) -> Column:
-    """``internal`` (same host), ``social`` or ``external``."""
+    """``internal`` (same host), ``social``, ``external``, or ``other`` for an address without a host (mail, scripts)."""
     here, there = urls.host(src), urls.host(dst)
-    kind = F.when(here.eqNullSafe(there), F.lit("internal"))
+    kind = F.when(F.coalesce(there, F.lit("")) == "", F.lit("other")).when(here == there, F.lit("internal"))
     if social:
         kind = kind.when(urls.in_domain(there, social), F.lit("social"))
     return kind.otherwise(F.lit("external"))
@@ -38,11 +38,11 @@ def classify_links(
     src: str = "src",
     dst: str = "dst",
     social: Sequence[str] = (),
-    keep: Sequence[str] = ("internal", "external", "social"),
+    keep: Sequence[str] = ("internal", "external", "social", "other"),
 ) -> DataFrame:
     """Add the link class and keep the classes asked for."""
     classed = edges.withColumn("link_class", link_class(F.col(src), F.col(dst), social))
-    return classed if len(set(keep)) == 3 else classed.filter(F.col("link_class").isin(list(keep)))
+    return classed if len(set(keep)) == 4 else classed.filter(F.col("link_class").isin(list(keep)))
 
 
 def frontier(links: DataFrame, fetched: DataFrame, link: str = "url", page: str = "url") -> DataFrame:

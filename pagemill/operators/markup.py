@@ -78,14 +78,18 @@ def elements(text: str) -> list[Element]:
     inner_ends: list[int] = []
     ends: list[int] = []
     stack: list[int] = []
+    open_now: dict[str, int] = {}  # a stray end tag then costs no walk over the stack
 
     def close(depth: int, inner_end: int, end: int) -> None:
         for at in stack[depth:]:
             inner_ends[at] = ends[at] = inner_end
+            open_now[started[at][0]] -= 1
         ends[stack[depth]] = end
         del stack[depth:]
 
     for name, is_end, attrs, start, end in tags(text):
+        if is_end and not open_now.get(name):
+            continue
         if is_end:
             for depth in range(len(stack) - 1, -1, -1):
                 if started[stack[depth]][0] == name:
@@ -104,8 +108,9 @@ def elements(text: str) -> list[Element]:
         started.append((name, attrs, stack[-1] if stack else -1, start, end))
         inner_ends.append(end)
         ends.append(end)
-        if name not in VOID_TAGS and not attrs.endswith("/"):
+        if name not in VOID_TAGS:  # a slash at the end means nothing elsewhere
             stack.append(len(started) - 1)
+            open_now[name] = open_now.get(name, 0) + 1
     if stack:
         close(0, len(text), len(text))
     return [Element(*head, inner_end, end) for head, inner_end, end in zip(started, inner_ends, ends)]

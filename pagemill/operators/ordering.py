@@ -75,7 +75,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str = "_n"
 
 def with_running_sums(
     df: DataFrame,
-    order: str,
+    order: str | Sequence[str],
     sums: dict[str, Column],
     group: Sequence[str] = (),
     rows: int = ROWS_PER_PIECE,
@@ -83,22 +83,24 @@ def with_running_sums(
 ) -> DataFrame:
     """Add inclusive running sums by ``order`` within ``group``.
 
-    ``order`` is numeric and unique within a group. ``cuts`` saves finding the
+    ``order`` is one column or several, unique together within a group; the
+    first is numeric, and the pieces are cut by it. ``cuts`` saves finding the
     cut points again.
     """
-    cuts = cut_points(df, order, rows) if cuts is None else cuts
+    order = [order] if isinstance(order, str) else list(order)
+    cuts = cut_points(df, order[0], rows) if cuts is None else cuts
     kept = [c for c in df.columns if c not in sums]
     if not cuts:
-        whole = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(value).over(whole) for name, value in sums.items()}).select(*kept, *sums)
-    pieced = with_pieces(df.withColumns({f"_v_{n}": v for n, v in sums.items()}), order, cuts)
+    pieced = with_pieces(df.withColumns({f"_v_{n}": v for n, v in sums.items()}), order[0], cuts)
     # One struct as the key of window and join alike: a single shuffle serves both, and null groups meet.
     keyed = pieced.withColumn("_key", F.struct(*group, PIECE))
     totals = keyed.groupBy("_key").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     earlier = Window.partitionBy(*[F.col("_key")[g] for g in group]).orderBy(F.col("_key")[PIECE])
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("_key", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums])
-    within = Window.partitionBy("_key").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = keyed.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(within) for n in sums})
     full = [(F.col(f"_b_{n}") + F.col(f"_l_{n}")).alias(n) for n in sums]
     return local.join(before, "_key").select(*kept, *full)
@@ -106,23 +108,30 @@ def with_running_sums(
 
 def with_index(
     df: DataFrame,
-    order: str,
+    order: str | Sequence[str],
     group: Sequence[str] = (),
     name: str = "index",
     rows: int = ROWS_PER_PIECE,
     cuts: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Add the position by ``order`` within ``group``, from 0.
+    """Add the position by ``order`` within ``group``, from 0; rows that tie are numbered in any order.
 
-    Where the sequence is cut into pieces only the keys are numbered, and the
-    rows, which may hold whole texts, are joined to their numbers: a piece of
-    many rows then stays small.
+    ``order`` is one column or several, of which the first is numeric. Only the
+    distinct keys are counted and summed up, piece by piece. The rows, which
+    may hold whole texts, are joined to the number of rows before their key and
+    counted on within it, so each row meets one number however many tie.
     """
-    cuts = cut_points(df, order, rows) if cuts is None else cuts
-    keys = [*group, order]
-    numbers = with_running_sums(df.select(*keys) if cuts else df, order, {name: F.lit(1).cast("long")}, group, cuts=cuts)
-    numbers = numbers.withColumn(name, F.col(name) - 1)
-    return null_safe_join(df, numbers, keys) if cuts and set(df.columns) != set(keys) else numbers
+    order = [order] if isinstance(order, str) else list(order)
+    keys = [*group, *order]
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = cut_lineage(counts, "order-keys")
+    cuts = cut_points(counts, order[0], rows) if cuts is None else cuts
+    ends = with_running_sums(counts, order, {"_end": F.col("_n")}, group, cuts=cuts)
+    # One struct as the key of join and window alike: a single shuffle serves both, and null groups meet.
+    before = ends.select(F.struct(*keys).alias("_key"), (F.col("_end") - F.col("_n")).alias("_before"))
+    keyed = df.withColumn("_key", F.struct(*keys)).join(before, "_key")
+    within = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    return keyed.withColumn(name, F.col("_before") + within - 1).select(*[c for c in df.columns if c != name], name)
 
 
 def with_previous(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -26,6 +27,11 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), SEPARATORS), "")
 
 
+def query_terms(query: Sequence[str]) -> list[str]:
+    """The terms of a query, cut and lower-cased as those of a text."""
+    return list(dict.fromkeys(t for part in query for t in re.split(SEPARATORS, part.lower()) if t))
+
+
 def _sum(columns: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
@@ -39,7 +45,7 @@ def rank_pages(
     the few query terms; their statistics are one combinable row of it, read
     back as a scalar. No word is ever shuffled.
     """
-    query = list(dict.fromkeys(query))
+    query = query_terms(query)
 
     def frequency(term: str) -> Column:
         return F.size(F.filter("_hits", lambda word: word == term))
@@ -95,7 +101,7 @@ def adaptive_stats(
     New words come from the first page of each word, a combinable minimum; the
     texts are read once for it and for the size of the pages. The rest are running sums over the crawl, taken piece by piece.
     """
-    query = list(dict.fromkeys(query))
+    query = query_terms(query)
     pages = docs.select(crawl, order, F.array_distinct(terms(F.col(text))).alias("_words"))
     held = F.size(F.filter("_words", lambda word: word.isin(query)))
     # Measured before the explode: after it, the whole array would be measured again for each of its words.

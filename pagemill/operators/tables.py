@@ -9,9 +9,14 @@ from pagemill.operators import markup
 HEADER_CLASS = "headerCell"  # fixed value: the class of header cells made of ``td``
 
 
+# Fixed values of the HTML standard: the most columns and rows a cell can span.
+MOST_SPANNED = {"colspan": 1_000, "rowspan": 65_534}
+
+
 def _span(attrs: dict[str, str], name: str) -> int:
-    value = attrs.get(name, "")
-    return max(int(value), 1) if value.isdigit() else 1
+    value = attrs.get(name, "").strip()
+    known = value.isascii() and value.isdigit()
+    return min(max(int(value[-9:]) if len(value) < 10 else MOST_SPANNED[name], 1), MOST_SPANNED[name]) if known else 1
 
 
 def grid(found: list[markup.Element], text: str, table: int) -> list[dict[int, tuple[str, bool]]]:
@@ -52,13 +57,15 @@ def headers(rows: list[dict[int, tuple[str, bool]]]) -> tuple[list[str], int]:
 
     The leading all-header rows name the columns, levels joined by a blank; a
     value repeated by a span is used once. Without header rows, or where a
-    name is blank, it is ``column_<n>``. Equal names get ``_2``, ``_3`` …
+    name is blank, it is ``column_<n>``. Equal names get ``_2``, ``_3`` …, the
+    first that no column before has.
     """
     depth = 0
     while depth < len(rows) and rows[depth] and all(is_header for _, is_header in rows[depth].values()):
         depth += 1
     names: list[str] = []
     seen: dict[str, int] = {}
+    taken: set[str] = set()
     for col in range(max((max(r) + 1 for r in rows if r), default=0)):
         levels: list[str] = []
         for row in rows[:depth]:
@@ -66,8 +73,12 @@ def headers(rows: list[dict[int, tuple[str, bool]]]) -> tuple[list[str], int]:
             if value and value not in levels[-1:]:
                 levels.append(value)
         name = " ".join(levels) or f"column_{col + 1}"
-        seen[name] = seen.get(name, 0) + 1
-        names.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+        free, seen[name] = name, seen.get(name, 0) + 1
+        while free in taken or (free == name and seen[name] > 1):
+            seen[name] += free != name
+            free = f"{name}_{max(seen[name], 2)}"
+        taken.add(free)
+        names.append(free)
     return names, depth
 
 

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from pagemill.storage import LOCAL_SCRATCH
+
 
 def local_session(cpus: int | str = 8, app: str = "pagemill", **conf: str) -> SparkSession:
     """A local session for tests and bench; a cluster brings its own."""
@@ -18,6 +20,7 @@ def local_session(cpus: int | str = 8, app: str = "pagemill", **conf: str) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.checkpoint.dir", LOCAL_SCRATCH)  # one machine: it is shared
         .config("spark.driver.memory", os.environ.get("PAGEMILL_DRIVER_MEMORY", "12g"))
     )
     for key, value in conf.items():

@@ -28,8 +28,8 @@ def write_csv(df: DataFrame, path: str, schema: T.StructType, mode: str = "error
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
-    """Append the records as JSON lines in UTF-8."""
-    df.write.mode("append").json(path)
+    """Append the records as JSON lines in UTF-8, fields without a value as null."""
+    df.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
 def json_arrays(df: DataFrame, record: Column, group: Sequence[str], order: str, size: int = 1000) -> DataFrame:
@@ -85,9 +85,11 @@ def write_tables(cells: DataFrame, path: str, by: Sequence[str] = (), mode: str
     Tables have different headers, so a wide file a table would need a job a
     table, and a folder a page would be millions of small files. The long form
     keeps the page, so tables of different pages cannot overwrite each other.
-    ``by`` names coarse folder columns such as a site or a crawl date.
+    ``by`` names coarse folder columns such as a site or a crawl date, and any
+    other column, such as the page's address, is kept. Cells that come from
+    ``table_cells`` stand together already, so nothing is shuffled.
     """
-    ordered = cells.repartition("page_id", "table_no").sortWithinPartitions(*by, "page_id", "table_no", "row_no", "col_no")
+    ordered = cells.sortWithinPartitions(*by, "page_id", "table_no", "row_no", "col_no")
     ordered.write.mode(mode).partitionBy(*by).option("escape", '"').csv(path, header=True)
 
 

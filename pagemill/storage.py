@@ -7,18 +7,20 @@ give the planner a measured size for the next join.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FALLBACK: dict[str, str] = {}
+LOCAL_SCRATCH = f"file://{tempfile.gettempdir()}/pagemill-scratch"
 
 
 def scratch_root(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Only a local session with neither gets a temporary folder of its own.
+    A session of one process with neither gets a folder of its own machine,
+    which is all of its cluster; any other session has to name one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -26,12 +28,9 @@ def scratch_root(spark: SparkSession) -> str:
     active = spark.sparkContext.getCheckpointDir()
     if active:
         return active.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="pagemill-")
-    return _LOCAL_FALLBACK[app]
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return LOCAL_SCRATCH
+    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

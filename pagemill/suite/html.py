@@ -27,7 +27,7 @@ def sql_decode(expr: str) -> str:
 
 
 def sql_strip(expr: str, tags, comments: bool = False) -> str:
-    patterns = [f"<{tag}\\b[^>]*>.*?</{tag}\\s*>" for tag in tags] + ["<!--.*?-->"] * comments
+    patterns = [f"<{tag}(?:[\\s/][^>]*)?>.*?</{tag}\\s*>" for tag in tags] + ["<!--.*?-->"] * comments
     return f"regexp_replace({expr}, '(?is){'|'.join(patterns)}', '', 'g')"
 
 

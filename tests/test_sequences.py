@@ -96,16 +96,45 @@ def test_pack_courses_cover_every_entry():
             assert (int(course["opened"]), end) == (opened, total)
 
 
-def test_fixed_batches_with_many_pieces(spark, monkeypatch):
+@pytest.mark.parametrize("rows", [10, 10**6])
+def test_fixed_batches_in_pieces(spark, rows):
     frame = spark.createDataFrame([(i * 7, f"t{i}") for i in range(95)], "id long, text string")
-    monkeypatch.setattr(ordering, "ROWS_PER_PIECE", 10)
-    numbered = ordering.with_index(frame, "id", rows=10)
+    numbered = ordering.with_index(frame, "id", rows=rows)
     assert sorted(r["index"] for r in numbered.collect()) == list(range(95))
-    made = batches.fixed_batches(frame, "text", "id", 10, "|").orderBy("batch_no").collect()
+    made = batches.fixed_batches(frame, "text", "id", 10, "|", rows).orderBy("batch_no").collect()
     assert [r["n"] for r in made] == [10] * 9 + [5]
     assert made[1]["batch_text"] == "|".join(f"t{i}" for i in range(10, 20))
 
 
+@pytest.mark.parametrize("rows", [7, 100, 10**6])
+def test_ties_keep_every_row(spark, rows):
+    items = [("g" if i % 3 else None, i // 4, f"t{i}") for i in range(300)]
+    frame = spark.createDataFrame(items, "g string, o long, text string")
+    whole = ordering.with_index(frame, "o", rows=rows).collect()
+    assert sorted(r["index"] for r in whole) == list(range(300))
+    assert all(a["o"] <= b["o"] for a, b in zip(*[iter(sorted(whole, key=lambda r: r["index"]))] * 2))
+    grouped = ordering.with_index(frame, ["o", "text"], ["g"], rows=rows).collect()
+    for group in ("g", None):
+        mine = sorted((r["index"], r["o"], r["text"]) for r in grouped if r["g"] == group)
+        expected = sorted((o, t) for g, o, t in items if g == group)
+        assert mine == [(i, *e) for i, e in enumerate(expected)]
+    made = batches.fixed_batches(frame, "text", "o", 7, "|", rows).collect()
+    assert sum(r["n"] for r in made) == 300
+    assert sorted(t for r in made for t in r["batch_text"].split("|")) == sorted(t for _, _, t in items)
+
+
+@pytest.mark.parametrize("piece_rows", [20, 10**6])
+def test_packing_keeps_ties(spark, piece_rows):
+    rows = [("a", i // 5, [3, 3, 9, 1, 40][i % 5], f"t{i}") for i in range(200)]
+    frame = spark.createDataFrame(rows, "g string, id long, tokens long, text string")
+    got = batches.pack_batches(frame, ["g"], "id", 50, piece_rows=piece_rows)
+    assert got.columns == ["g", "id", "tokens", "text", "batch_no"]
+    packed = got.collect()
+    assert sorted(r["text"] for r in packed) == sorted(t for _, _, _, t in rows)
+    plain = greedy([((i, s), s) for _, i, s, _ in sorted(rows)], 50)
+    assert sorted(((r["id"], r["tokens"]), r["batch_no"]) for r in packed) == sorted(plain)
+
+
 @pytest.mark.parametrize("limit_bytes, hot_keys", [(0, 1), (0, 3), (8 << 20, 3)])
 def test_lookup_join_split(spark, monkeypatch, limit_bytes, hot_keys):
     monkeypatch.setattr(ordering, "BROADCAST_BYTES", limit_bytes)

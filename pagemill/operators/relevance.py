@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.operators.ordering import cut_points, null_safe_join, with_previous, with_running_sums
+from pagemill.operators.ordering import cut_points, null_safe_join, top_per_key, with_previous, with_running_sums
 from pagemill.operators.records import until_stop
 from pagemill.storage import cut_lineage
 
@@ -151,6 +151,11 @@ def adaptive_stats(
     ).drop("_previous")
 
 
+def first_pages(docs: DataFrame, crawl: str, order: str, max_pages: int = MAX_PAGES) -> DataFrame:
+    """The first ``max_pages`` pages of each crawl, cut before any text is read: a crawl always stops by then."""
+    return top_per_key(docs, [crawl], [order], max_pages, "_page").drop("_page")
+
+
 def visited_pages(stats: DataFrame, crawl: str, order: str) -> DataFrame:
     """The pages of each crawl up to the first at which a rule says stop."""
     return until_stop(cut_lineage(stats, "crawl-stats"), crawl, order, F.col("stop"), with_stop=True)

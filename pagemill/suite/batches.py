@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagemill.operators import batches as B
 from pagemill.operators import html as H
+from pagemill.operators import ordering
 from pagemill.plans import catalogue, spec_tables
 from pagemill.suite import fixtures as X
 from pagemill.suite.registry import query, spread_table, table
@@ -39,6 +40,30 @@ def fixed_batches_small(spark, sf):
     return made.select("batch_no", "n", F.md5("batch_text").alias("digest"))
 
 
+@query(
+    """SELECT batch_no, count(*) AS n, CAST(sum(l_orderkey * 10 + l_linenumber) AS BIGINT) AS total
+    FROM (SELECT *, (row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1) // 500 AS batch_no FROM lineitem) GROUP BY batch_no"""
+)
+def numbered_lines(spark, sf):
+    """Order lines by keys that are not unique, numbered in many pieces."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    numbered = ordering.with_index(lines, ["l_orderkey", "l_linenumber"], name="place", rows=5_000)
+    total = F.sum(F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("total")
+    return numbered.groupBy(F.floor(F.col("place") / 500).alias("batch_no")).agg(F.count("*").alias("n"), total)
+
+
+@query(
+    """SELECT g, batch_no, count(*) AS n, CAST(sum(o) AS BIGINT) AS total FROM (SELECT l_returnflag AS g, l_suppkey AS o,
+      row_number() OVER (PARTITION BY l_returnflag ORDER BY l_suppkey) - 1 AS i FROM lineitem), (SELECT 300 AS size),
+      LATERAL (SELECT i // size AS batch_no) GROUP BY g, batch_no"""
+)
+def packed_lines(spark, sf):
+    """Order lines of one token each, packed in pieces by a supplier that many lines share: batches of 300."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("g"), F.col("l_suppkey").alias("o"), F.lit(1).cast("long").alias("tokens"))
+    packed = B.pack_batches(lines, ["g"], "o", 301, piece_rows=2_000)
+    return packed.groupBy("g", "batch_no").agg(F.count("*").alias("n"), F.sum("o").cast("long").alias("total"))
+
+
 @query("SELECT doc_id, length(text) // 4 AS tokens FROM documents")
 def estimate_tokens(spark, sf):
     return B.with_tokens(documents(spark, sf, "doc_id", "text")).drop("text")

@@ -8,9 +8,9 @@ from pagemill.operators import relevance as R
 from pagemill.operators import similarity as S
 from pagemill.suite.registry import query, spread_table, table
 
-QUERY = ["the", "tion", "worthless", "étion", "schung"]
+QUERY = ["The tion", "worthless", "Étion", "schung"]  # cut and lower-cased as texts are
 SQL_TERMS = "list_filter(regexp_split_to_array(lower(text), '[\\s.,;:!?]+'), lambda w: w <> '')"
-IN_QUERY = ", ".join(f"'{q}'" for q in QUERY)
+IN_QUERY = ", ".join(f"'{q}'" for q in ("the", "tion", "worthless", "étion", "schung"))
 
 BM25_SQL = f"""WITH d AS (SELECT doc_id, {SQL_TERMS} AS t FROM documents),
     s AS (SELECT count(*) AS n, avg(len(t)) AS avg_len FROM d),
@@ -68,7 +68,8 @@ def adaptive_stats(spark, sf):
     SELECT a.source, doc_id, page_no, band FROM all_stats a LEFT JOIN first_stop f ON a.source = f.source WHERE last IS NULL OR doc_id <= last"""
 )
 def visited_pages(spark, sf):
-    stats = R.adaptive_stats(documents(spark, sf), QUERY, "source", "doc_id")
+    docs = R.first_pages(table(spark, sf, "documents").select("doc_id", "source", "text"), "source", "doc_id")
+    stats = R.adaptive_stats(docs, QUERY, "source", "doc_id")
     return R.visited_pages(stats, "source", "doc_id").select("source", "doc_id", "page_no", "band")
 
 

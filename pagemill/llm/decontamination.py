@@ -173,7 +173,7 @@ def leaks(
     if hashes.count() <= MOST_HASHES:
         wanted = np.sort(np.array([r["hash"] for r in hashes.collect()], np.int64))
     texts = docs.select(F.col(key).alias("key"), F.xxhash64(column).alias("text_hash"), F.col(column).alias("_text"))
-    found = window_rows(texts, ["key", "text_hash"], "_text", wanted).distinct()
+    found = cut_lineage(window_rows(texts, ["key", "text_hash"], "_text", wanted), "windows").distinct()
     met = found.join(null_safe_join(known, sizes, ["item_id", "item_hash"]), "hash").filter(F.size("slots") == F.size("item_slots"))
     span = F.greatest("windows", F.lit(8))
     offset = F.col("at") - F.col("item_at")

@@ -131,18 +131,21 @@ class CardClasses:
 
 
 def extract_cards(blocks: DataFrame, classes: CardClasses = CardClasses(), html: str = "html") -> DataFrame:
-    """Product fields of a card; null where the card has no such part."""
-    card = F.col(html)
-    href = H.attribute(H.first_tag(card, "a", "href"), "href")
-    return blocks.withColumns(
-        {
-            "url": F.when(href.startswith("//"), F.concat(F.lit("https:"), href)).otherwise(href),
-            "photo": H.attribute(H.first_tag(card, "img"), "src"),
-            "title": H.attribute(H.first_tag(card, "a", "title"), "title"),
-            "price": H.first_text(card, "span", classes.price),
-            "location": H.first_text(card, "span", classes.location),
-        }
-    ).drop(html)
+    """Product fields of a card; null where the card has no such part. A part's text is all of its text, nested tags too."""
+    steps = [markup.selector(f"span.{c}") for c in (classes.price, classes.location)]
+
+    def rows(text: str) -> Iterator[tuple]:
+        found = markup.elements(text)
+        attrs = {tag: [markup.attributes(e.attrs) for e in found if e.tag == tag] for tag in ("a", "img")}
+        href, title = (next((a[n] for a in attrs["a"] if n in a), None) for n in ("href", "title"))
+        source = next((a.get("src") for a in attrs["img"]), None)
+        parts = [markup.select(found, s)[:1] for s in steps]
+        price, place = (markup.inner_text(text[found[p[0]].inner : found[p[0]].inner_end]) if p else None for p in parts)
+        address = f"https:{href}" if href and href.startswith("//") else href
+        yield address or None, source or None, title or None, price, place
+
+    schema = "url string, photo string, title string, price string, location string"
+    return map_pages(blocks, rows, schema, html, [c for c in blocks.columns if c != html])
 
 
 @dataclass(frozen=True)

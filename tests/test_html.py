@@ -113,6 +113,13 @@ def test_links_as_a_parser_sees_them(spark):
     assert [r[0] for r in frame.select(link_class(F.col("s"), F.col("t"))).collect()] == ["internal", "other", "other", "external"]
 
 
+def test_cards_with_nested_spans(spark):
+    html = '<div><a href="//h.example/1" title="T &amp; t"></a><img src="i.png"><span class="x ooOxS"><span>Rs.</span> 100</span></div>'
+    got = H.extract_cards(pages(spark, html, None)).orderBy("page_id").collect()
+    assert tuple(got[0]) == (0, "https://h.example/1", "i.png", "T & t", "Rs. 100", None)
+    assert tuple(got[1]) == (1, None, None, None, None, None)
+
+
 def test_names_that_only_start_alike(spark):
     html = "<nav-bar>keep</nav-bar><p>body</p><nav>x</nav>"
     assert rows(H.strip_tags(pages(spark, html), ["nav"]), "page_id") == [(0, "<nav-bar>keep</nav-bar><p>body</p>")]

@@ -57,9 +57,10 @@ def normalize_urls(df: DataFrame, url: str = "url", into: str = "canonical_url",
     return df.withColumn(into, urls.canonical(F.col(url), **options))
 
 
-def dedupe_urls(df: DataFrame, seq: str, url: str = "url", **options) -> DataFrame:
-    """The first original URL of every canonical URL, by ``seq``."""
-    return first_per_key(normalize_urls(df, url, "canonical_url", **options), ["canonical_url"], [seq])
+def dedupe_urls(df: DataFrame, seq: str | Sequence[str], url: str = "url", **options) -> DataFrame:
+    """The first original URL of every canonical URL, by one or more columns ``seq``."""
+    order = [seq] if isinstance(seq, str) else list(seq)
+    return first_per_key(normalize_urls(df, url, "canonical_url", **options), ["canonical_url"], order)
 
 
 def pick_links(df: DataFrame, regex: str = urls.PRODUCT_LINK, n: int = 10, url: str = "url") -> DataFrame:

@@ -18,16 +18,30 @@ def load_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE) -> D
     return spark.read.schema(schema).parquet(path)
 
 
-def load_url_list(spark: SparkSession, path: str) -> DataFrame:
-    """URLs of a text file, one a line, trimmed, blank lines dropped."""
-    lines = spark.read.text(path)
-    return lines.select(strip(F.col("value")).alias("url")).filter(F.col("url") != "")
+# Where a line or record of a text file stands: ``file``, then the others in this order.
+TEXT_PLACE = ("file", "block_start", "line_no")
 
 
-def load_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Records separated by a blank line. The file is split by the reader, so it may be large."""
-    blocks = spark.read.option("lineSep", "\n\n").text(path)
-    return blocks.select(strip(F.col("value")).alias("block")).filter(F.col("block") != "")
+def _texts(lines: DataFrame, name: str, place: bool) -> DataFrame:
+    text = strip(F.col("value")).alias(name)
+    if not place:
+        return lines.select(text).filter(F.col(name) != "")
+    # A task reads the part of a file in order; the part's start and a number that grows in the task order its lines.
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start")]
+    return lines.select(*where, F.monotonically_increasing_id().alias("line_no"), text).filter(F.col(name) != "")
+
+
+def load_url_list(spark: SparkSession, path: str, place: bool = False) -> DataFrame:
+    """URLs of a text file, one a line, trimmed, blank lines dropped; with ``place`` the columns of ``TEXT_PLACE`` too.
+
+    The place orders lines within one reading; it is no line number.
+    """
+    return _texts(spark.read.text(path), "url", place)
+
+
+def load_blocks(spark: SparkSession, path: str, place: bool = False) -> DataFrame:
+    """Records separated by a blank line, with ``place`` as in :func:`load_url_list`. A large file is split by the reader."""
+    return _texts(spark.read.option("lineSep", "\n\n").text(path), "block", place)
 
 
 def split_blocks(df: DataFrame, text: Column | str, *keys: str, separator: str = r"\n\n") -> DataFrame:

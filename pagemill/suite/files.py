@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.functions import variants
+from pagemill.operators import batches, urls
 from pagemill.plans import network_log
 from pagemill.sources import readers, writers
 from pagemill.storage import scratch_path
@@ -48,6 +49,34 @@ def block_split(spark, sf):
     return readers.split_blocks(table(spark, sf, "documents").select("doc_id", spread.alias("text")), "text", "doc_id")
 
 
+@query(
+    """SELECT url, c AS canonical_url FROM (SELECT url, c, row_number() OVER (PARTITION BY c ORDER BY page_id) AS rn FROM (
+      SELECT page_id, url, regexp_replace(regexp_replace(url, '#.*$', ''), '\\?[^#]*', '') AS c FROM pages)) WHERE rn = 1"""
+)
+def first_listed_urls(spark, sf):
+    """The first spelling of every address in a stored list, in the order of its lines."""
+    path = scratch_path(spark, "urls")
+    writers.write_url_list(table(spark, sf, "pages").select("page_id", "url").repartitionByRange("page_id").sortWithinPartitions("page_id"), path)
+    listed = readers.load_url_list(spark, path, place=True)
+    found = urls.dedupe_urls(listed, readers.TEXT_PLACE, drop_query=True, drop_fragment=True)
+    return found.select("url", "canonical_url")
+
+
+@query(
+    """SELECT batch_no, count(*) AS n, md5(string_agg(b, chr(10)||chr(10)||'---PRODUCT-SEPARATOR---'||chr(10)||chr(10) ORDER BY doc_id)) AS digest
+    FROM (SELECT doc_id, trim(text, {blanks}) AS b, (row_number() OVER (ORDER BY doc_id) - 1) // 60 AS batch_no FROM documents
+      WHERE trim(text, {blanks}) <> '') GROUP BY batch_no"""
+)
+def batched_blocks(spark, sf):
+    """Records of a stored text file in batches of 60, in the order of the file."""
+    path = scratch_path(spark, "blocks")
+    docs = table(spark, sf, "documents").select("doc_id", F.concat("text", F.lit("\n")).alias("value"))
+    docs.coalesce(1).sortWithinPartitions("doc_id").select("value").write.text(path)
+    placed = readers.load_blocks(spark, path, place=True)
+    made = batches.fixed_batches(placed, "block", ["block_start", "line_no"], 60, piece_rows=300)
+    return made.select("batch_no", "n", F.md5("batch_text").alias("digest"))
+
+
 @query("SELECT trim(text, {blanks}) AS block FROM documents WHERE trim(text, {blanks}) <> ''")
 def load_blocks(spark, sf):
     path = scratch_path(spark, "blocks")

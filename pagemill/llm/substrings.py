@@ -14,10 +14,11 @@ one more symbol before every string, in the order of the suffixes so far (that
 column of symbols is the strings' Burrows-Wheeler transform), sorts stably by
 it and updates the common prefixes of neighbours. A window repeats if its common
 prefix with a neighbour reaches ``LENGTH``. A task does this for many anchors at
-once, in memory that is bounded: it takes ``ROUND_STRINGS`` strings together,
-and an anchor with more than ``CROWD`` different contexts takes another way:
-its windows are hashed one by one and counted by hash, which no large group can
-stop.
+once, in memory that is bounded: it takes ``ROUND_STRINGS`` strings together.
+An anchor with more than ``CROWD`` different contexts is split first: windows
+that start near each other have a long core in common, and only contexts with
+the same core are compared, for those windows alone; a group that stays large
+is split on until its windows are equal. Only hashes are moved for that.
 
 Null texts are empty. Texts shorter than ``LENGTH`` lose nothing. Rows with the
 same key and text are two documents, so such a text of ``LENGTH`` bytes or more
@@ -27,6 +28,7 @@ is removed as a whole from both.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +44,10 @@ from pagemill.session import ship_package
 from pagemill.storage import cut_lineage
 
 LENGTH = 400
-GRAM = 64
+GRAM = 100
 CROWD = 256
 ROUND_STRINGS = 8_192
+PARTS = 8
 PIECE = 1 << 20  # window starts looked at together
 BASE = 0x9E3779B97F4A7C15  # odd: the multiplier of the rolling hash
 PAD = 256  # a symbol that is no byte
@@ -159,6 +162,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 PLACE = [StructField("pos", IntegerType()), StructField("left", IntegerType()), StructField("right", IntegerType())]
 HASHES = [StructField("anchor", LongType()), StructField("context", LongType())]
+RANGE = [StructField("low", IntegerType()), StructField("high", IntegerType())]
 SPAN = [StructField("start", IntegerType()), StructField("stop", IntegerType())]
 OWNER = ["key", "text_hash"]
 
@@ -218,10 +222,14 @@ def context_strings(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def compared(strings: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Spans ``key, text_hash, start, stop`` of the contexts that are alone, by the column-wise order."""
+    """Spans ``key, text_hash, start, stop`` of the contexts that are alone, by the column-wise order.
+
+    Strings of a ``group`` are compared, at the windows that start ``low`` to
+    ``high`` bytes before the anchor.
+    """
     schema = StructType([*[strings.schema[c] for c in OWNER], *SPAN])
     arrow = to_arrow_schema(schema)
-    columns = [*OWNER, "anchor", "alone", "pos", "left", "string"]
+    columns = [*OWNER, "group", "alone", "pos", "left", "string", "low", "high"]
 
     def spans(rows: list[tuple]) -> pa.RecordBatch | None:
         group = np.unique([r[2] for r in rows], return_inverse=True)[1]
@@ -230,9 +238,11 @@ def compared(strings: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         lefts = np.array([r[5] for r in rows])
         found = repeated_windows([r[6] for r in rows], lefts, group[by_group], length, gram)
         out = []
-        for (key, digest, _, alone, pos, left, string), row in zip(rows, found, strict=True):
+        for (key, digest, _, alone, pos, left, string, low, high), row in zip(rows, found, strict=True):
             if alone and row.any():
                 start = pos - (length - gram)
+                row[: length - gram - high] = False
+                row[length - gram - low + 1 :] = False
                 row[: length - gram - left] = False
                 row[max(0, length - gram - left + len(string) - length + 1) :] = False  # the last window ends with the string
                 out += [(key, digest, start + a, start + b + length) for a, b in runs(row)]
@@ -250,31 +260,60 @@ def compared(strings: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         if held and (done := spans(held)) is not None:
             yield done
 
-    dealt = strings.repartition("anchor").sortWithinPartitions("anchor")
+    dealt = strings.repartition("group").sortWithinPartitions("group")
     return dealt.select(*columns).mapInArrow(run, schema)
 
 
-def counted(strings: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """The same for crowded anchors, by counting the hashes of single windows."""
-    window = StructType([StructField("anchor", LongType()), StructField("context", LongType()), StructField("offset", IntegerType()), StructField("window", LongType())])
-    arrow = to_arrow_schema(window)
+def ranges(low: int, high: int) -> list[tuple[int, int]]:
+    """Up to ``PARTS`` ranges of offsets that make up the range from ``low`` to ``high``."""
+    size = -(-(high - low + 1) // PARTS)
+    return [(a, min(high, a + size - 1)) for a in range(low, high + 1, size)]
+
+
+def split_crowds(strings: DataFrame, current: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``current(anchor, context, low, high)`` to the same for parts of the range, with a ``group``.
+
+    Windows that start ``low`` to ``high`` bytes before the anchor have a core
+    in common; only contexts with the same core, the group, can share one.
+    """
+    schema = StructType([StructField("group", LongType()), *HASHES, *RANGE])
+    arrow = to_arrow_schema(schema)
+    columns = ["anchor", "context", "left", "string", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for anchor, context, left, string in zip(*(values(batch, c) for c in ("anchor", "context", "left", "string")), strict=True):
-                count = min(left, len(string) - length) + 1
-                if count > 0:
-                    hashes = [xxhash.xxh64_intdigest(string[i : i + length], 7) for i in range(count)]
-                    offsets = np.arange(count) - left
-                    yield _rows(arrow, [[anchor] * count, [context] * count, offsets, np.array(hashes, np.uint64).view(np.int64)])
-
-    spread = strings.repartition("context").select("anchor", "context", "left", "string")
-    found = spread.mapInArrow(run, window)
-    several = found.groupBy("anchor", "offset", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    repeated = found.join(cut_lineage(several, "windows"), ["anchor", "offset", "window"]).select("anchor", "context", "offset")
-    placed = strings.filter("alone").select(*OWNER, "anchor", "context", "pos").join(repeated, ["anchor", "context"])
-    start = F.col("pos") + F.col("offset")
-    return placed.select(*OWNER, start.cast("int").alias("start"), (start + length).cast("int").alias("stop"))
+            for part in chunks(batch, "string", PIECE):
+                rows = []
+                for anchor, context, left, string, low, high in zip(*(values(part, c) for c in columns), strict=True):
+                    for a, b in ranges(low, high):
+                        if left >= a and len(string) - left >= length - b:
+                            core = xxhash.xxh64_intdigest(string[left - a : left + length - b], (a << 16) | b)
+                            rows.append((core - (1 << 64) if core >> 63 else core, anchor, context, a, b))
+                if rows:
+                    yield _rows(arrow, list(zip(*rows, strict=True)))
+
+    joined = strings.join(current, ["anchor", "context"])
+    return joined.select(*columns).mapInArrow(run, schema)
+
+
+def crowded_groups(strings: DataFrame, crowd: int, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """Contexts of crowded anchors as groups of at most ``crowd``, and the single windows that repeat in larger ones.
+
+    Ranges are split until a group is small enough or holds one window only,
+    which then repeats. Only hashes are moved on the way.
+    """
+    current = strings.select("anchor", "context", F.lit(0).alias("low"), F.lit(length - gram).alias("high"))
+    few, windows = [], []
+    while True:
+        parts = cut_lineage(split_crowds(strings, current, length), "parts")
+        sizes = cut_lineage(parts.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1"), "part-sizes")
+        shared = cut_lineage(parts.join(sizes, "group"), "shared")
+        single = F.col("low") == F.col("high")
+        windows.append(shared.filter(single).select("anchor", "context", F.col("low").alias("offset")))
+        few.append(shared.filter(~single & (F.col("n") <= crowd)).drop("n"))
+        current = shared.filter(~single & (F.col("n") > crowd)).select("anchor", "context", "low", "high")
+        if current.isEmpty():
+            return reduce(DataFrame.unionByName, few), reduce(DataFrame.unionByName, windows)
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", column: str = "text", length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
@@ -296,9 +335,16 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", column: str = "text", l
     sizes = cut_lineage(contexts.groupBy("anchor").agg(F.count("*").alias("n_contexts")).filter(F.col("n_contexts") > crowd), "crowds")
     wanted = contexts.select("first.*", "anchor", "context", (F.col("n") == 1).alias("alone"))
     strings = cut_lineage(context_strings(texts, wanted), "strings").dropDuplicates(["anchor", "context"])
-    few = compared(strings.join(sizes, "anchor", "left_anti"), length, gram)
-    many = counted(cut_lineage(strings.join(sizes.select("anchor"), "anchor", "left_semi"), "crowded"), length, gram)
-    return alike.unionByName(copies).unionByName(few).unionByName(many)
+    few = strings.join(sizes, "anchor", "left_anti").withColumns({"group": F.col("anchor"), "low": F.lit(0), "high": F.lit(length - gram)})
+    found = alike.unionByName(copies)
+    if not sizes.isEmpty():
+        crowded = cut_lineage(strings.join(sizes.select("anchor"), "anchor", "left_semi"), "crowded")
+        groups, windows = crowded_groups(crowded, crowd, length, gram)
+        few = few.unionByName(crowded.join(groups, ["anchor", "context"]))
+        start = F.col("pos") - F.col("offset")
+        single = crowded.filter("alone").join(windows, ["anchor", "context"])
+        found = found.unionByName(single.select(*OWNER, start.cast("int").alias("start"), (start + length).cast("int").alias("stop")))
+    return found.unionByName(compared(few, length, gram))
 
 
 def remove_repeated(docs: DataFrame, key: str = "doc_id", column: str = "text", length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:

@@ -47,7 +47,7 @@ SPAN = 6
 DECAY = 0.65
 GAPS = [(a, b) for a, b in combinations(range(1, SPAN), 2)]
 LANDMARKS = 400
-PER_CLASS, MAX_CHARS = 800, 20_000  # bounds of the labelled sample
+PER_CLASS, MAX_CHARS = 1_600, 20_000  # bounds of the labelled sample
 LONGEST = 32  # letters; longer words are cut to overlapping pieces
 NEAR_ODDS = 0.7
 PART = 5
@@ -156,13 +156,17 @@ class Toxicity:
         total = np.bincount(found.word, self.weights[found.number] * found.weight, len(words))
         return total / found.norm + self.bias
 
+    def all_scores(self, words: list[str], at_once: int = 20_000) -> list[float]:
+        """The scores of any number of words, in bounded memory."""
+        return [s for i in range(0, len(words), at_once) for s in self.word_scores(words[i : i + at_once]).tolist()]
+
     def raw(self, texts: list[str | None], cache: dict[str, float]) -> np.ndarray:
         """Of every text the mean score of its two and of its four most toxic words, and the logarithm of its words."""
         split = [words_of(t) for t in texts]
         if len(cache) > CACHED_WORDS:
             cache.clear()
         new = list(set().union(*split).difference(cache))
-        cache.update(zip(new, self.word_scores(new).tolist(), strict=True))
+        cache.update(zip(new, self.all_scores(new), strict=True))
         worst = np.full((len(texts), 4), self.bias)
         for row, words in zip(worst, split, strict=True):
             found = nlargest(4, map(cache.__getitem__, words))
@@ -197,11 +201,10 @@ def parts_of(word: str) -> set[str]:
 
 def part_odds(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]:
     """For each word of the toxic texts the log-odds of its most telling part, by texts that have the part."""
-    parts = {w: parts_of(w) for w in set().union(*toxic, *clean)}
-    seen = Counter(p for bag in toxic for p in set().union(*(parts[w] for w in bag)))
-    other = Counter(p for bag in clean for p in set().union(*(parts[w] for w in bag)) if p in seen)
+    seen = Counter(p for bag in toxic for p in {q for w in bag for q in parts_of(w)})
+    other = Counter(p for bag in clean for p in {q for w in bag for q in parts_of(w)} if p in seen)
     odds = {p: float(np.log(n + 0.5) - np.log(other[p] + 0.5)) for p, n in seen.items()}
-    return {w: max(odds[p] for p in parts[w]) for w in set().union(*toxic)}
+    return {w: max(odds[p] for p in parts_of(w)) for w in set().union(*toxic)}
 
 
 def witness(bag: set[str], odds: dict[str, float], turn: int) -> str:
@@ -293,7 +296,8 @@ def train(bags: list[list[str]], marks: np.ndarray, rounds: int = 3) -> Toxicity
         for w, n in chosen.most_common(LANDMARKS):
             positives |= {v: min(n, 20) / len(w) for v in inserted(w) if v not in clean and v not in positives}
         words = [*positives, *[w for w in negatives if w not in positives]]
-        points = kernel_rows(words, columns) @ basis.T @ whiten
+        to_points = basis.T @ whiten
+        points = np.vstack([kernel_rows(words[i : i + 500], columns) @ to_points for i in range(0, len(words), 500)])
         labels = np.r_[np.ones(len(positives)), -np.ones(len(words) - len(positives))]
         counts = np.r_[[*positives.values()], np.ones(len(words) - len(positives))]
         solution = train_machine(points, labels, counts)
@@ -301,11 +305,11 @@ def train(bags: list[list[str]], marks: np.ndarray, rounds: int = 3) -> Toxicity
         table[numbers] = basis.T @ (whiten @ solution[:-1])
         model = Toxicity(table, float(solution[-1]), np.zeros(3), 0.0)
         # Next round: the worst clean words, and the word that now speaks most for each toxic text.
-        scores = dict(zip(ordinary, model.word_scores(ordinary).tolist(), strict=True))
+        scores = dict(zip(ordinary, model.all_scores(ordinary), strict=True))
         hard = sorted(ordinary, key=lambda w: (-scores[w], w))[: 4 * LANDMARKS]
         negatives |= dict.fromkeys(hard)
         vocabulary = list(seen)
-        scores |= zip(vocabulary, model.word_scores(vocabulary).tolist(), strict=True)
+        scores |= zip(vocabulary, model.all_scores(vocabulary), strict=True)
         last = chosen
         chosen = Counter(witness(b, odds, i) for i, b in enumerate(toxic_bags))
         chosen = Counter({w: n for w, n in chosen.items() if n > 1 or scores[w] > 0})

@@ -8,10 +8,12 @@ enough edits on either side, and every pair that meets is verified by its edit
 distance. Close lines are linked, and a class of lines is what links reach.
 
 The keys are sorted, and lines that stand under one key meet there. Under a key
-with more than ``CROWD`` lines they don't: the segment is taken out of its
-lines and the rests, which still may differ by the same number of edits, are
-cut into segments again; after ``LEVELS`` rounds what is left is joined as it
-is. So no link is lost, and lines with a long common part don't meet pairwise.
+with more than ``CROWD`` lines they don't: up to ``GROUP`` lines are compared in
+the task, by letter counts first, and only close ones are passed on. Of more
+lines the segment is taken out, and the rests, which still may differ by the
+same number of edits, are cut into segments again; after ``LEVELS`` rounds what
+is left is joined as it is. So no link is lost, and lines with a long common
+part don't meet pairwise.
 
 Lines are the parts of a text between line ends; white space around a line
 doesn't count, and a line of under ``LEAST_CHARS`` letters is always kept. Of a
@@ -46,6 +48,7 @@ from pagemill.storage import cut_lineage
 MOST = 2
 LEAST_CHARS = 16
 CROWD = 32
+GROUP = 1_024
 LEVELS = 4
 MOST_HASHES = 4_000_000  # lines whose hashes are sent to all tasks to find their texts: 32 MB
 BLANK = " \t\r\x0b\x0c"
@@ -54,6 +57,7 @@ PLACE = ["last", "key", "text_hash", "line_no"]  # the order of first lines; ``l
 LINES = [StructField("last", BooleanType()), StructField("text_hash", LongType()), StructField("line_no", IntegerType()), StructField("line", BinaryType())]
 ENTRIES = StructType([StructField("key", LongType()), StructField("role", ByteType()), StructField("line", LongType())])
 MET = StructType([StructField("a", LongType()), StructField("b", LongType()), *ENTRIES, StructField("rest", StringType())])
+PAIR = StructType([StructField("a", LongType()), StructField("b", LongType())])
 TEXTS = StructType([StructField("line", LongType()), StructField("text", StringType())])
 DEEPER = StructType([*ENTRIES, StructField("rest", StringType())])
 PAIRS = StructType([StructField("first", StringType()), StructField("second", StringType())])
@@ -188,6 +192,46 @@ def meetings(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     return dealt.select("key", "role", "line", *(["rest"] if rest else [])).mapInArrow(run, MET)
 
 
+def grouped_pairs(rows: DataFrame, most: int = MOST) -> DataFrame:
+    """Pairs ``a, b`` of lines under one key whose rests are close; a key has at most ``GROUP`` lines.
+
+    An edit changes the counts of two letters at most, so only lines whose
+    letter counts differ by twice the edits are compared.
+    """
+    arrow = to_arrow_schema(PAIR)
+
+    def close(held: dict[int, str]) -> list[tuple[int, int]]:
+        names, texts = list(held), list(held.values())
+        counts = np.zeros((len(texts), 64), np.int32)
+        for row, text in zip(counts, texts, strict=True):
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+            row += np.bincount(points % 64, minlength=64).astype(np.int32)
+        first, second = [], []
+        for i in range(len(texts) - 1):
+            near = np.flatnonzero(np.abs(counts[i + 1 :] - counts[i]).sum(1) <= 2 * most) + i + 1
+            first += [i] * len(near)
+            second += near.tolist()
+        found = distances([texts[i] for i in first], [texts[j] for j in second], most) <= most
+        return [(min(names[i], names[j]), max(names[i], names[j])) for i, j, ok in zip(first, second, found, strict=True) if ok]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
+        for batch in batches:
+            out = []
+            for k, line, rest in zip(*(values(batch, c) for c in ("key", "line", "rest")), strict=True):
+                if k != key:
+                    out += close(held)
+                    key, held = k, {}
+                held[line] = rest
+            if out:
+                yield _batch(arrow, [list(c) for c in zip(*out, strict=True)])
+        if out := close(held):
+            yield _batch(arrow, [list(c) for c in zip(*out, strict=True)])
+
+    dealt = rows.select("key", "line", "rest").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, PAIR)
+
+
 def _all_pairs(rows: DataFrame) -> DataFrame:
     """The same for keys of any number of lines, by a join."""
     indexed = rows.filter(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).select("key", F.col("line").alias("a"))
@@ -196,7 +240,9 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def close_lines(docs: DataFrame, column: str = "text", most: int = MOST, least: int = LEAST_CHARS, crowd: int = CROWD) -> DataFrame:
+def close_lines(
+    docs: DataFrame, column: str = "text", most: int = MOST, least: int = LEAST_CHARS, crowd: int = CROWD, group: int = GROUP
+) -> DataFrame:
     """Links ``a, b`` between the MD5 of lines at most ``most`` edits apart.
 
     Lines that are close are connected through links, though not every close
@@ -209,15 +255,22 @@ def close_lines(docs: DataFrame, column: str = "text", most: int = MOST, least:
     crowded = met.filter("key IS NOT NULL").select("key", "role", "line")
     if not crowded.isEmpty():
         crowded = cut_lineage(crowded.distinct(), "crowded")
-        rows = opened(crowded.join(_texts(texts, crowded.select("line").distinct(), least), "line"), most)
+        rows = crowded.join(_texts(texts, crowded.select("line").distinct(), least), "line").withColumnRenamed("text", "rest")
         for level in range(LEVELS):
-            met = cut_lineage(meetings(deeper(rows, most), crowd), "meetings")
-            pairs.append(met.filter("a IS NOT NULL").select("a", "b"))
-            rows = met.filter("key IS NOT NULL").select("key", "role", "line", "rest")
-            if rows.isEmpty():
+            rows = cut_lineage(rows, "crowds")
+            sizes = rows.groupBy("key").agg(F.countDistinct("line").alias("n"))
+            sized = cut_lineage(rows.join(sizes, "key"), "sized-crowds")
+            pairs.append(grouped_pairs(sized.filter(F.col("n") <= group), most))
+            large = sized.filter(F.col("n") > group).drop("n")
+            if large.isEmpty():
                 break
             if level == LEVELS - 1:
-                pairs.append(_all_pairs(rows))
+                pairs.append(_all_pairs(large))
+                break
+            cut = opened(large.withColumnRenamed("rest", "text"), most) if level == 0 else large
+            met = cut_lineage(meetings(deeper(cut, most), crowd), "meetings")
+            pairs.append(met.filter("a IS NOT NULL").select("a", "b"))
+            rows = met.filter("key IS NOT NULL").select("key", "role", "line", "rest")
     met = cut_lineage(reduce(DataFrame.unionByName, pairs).distinct(), "pairs")
     named = cut_lineage(_texts(texts, met.select(F.col("a").alias("line")).union(met.select("b")).distinct(), least), "texts")
     left = named.select(F.col("line").alias("a"), F.col("text").alias("first"))

@@ -78,14 +78,14 @@ def test_query(spark):
     assert got == expected_classes(rows)
 
 
-@pytest.mark.parametrize("crowd", [1, 64])
-def test_crowded_keys_lose_no_link(spark, crowd):
+@pytest.mark.parametrize("crowd, group", [(1, 5), (1, 1000), (64, 1000)])
+def test_crowded_keys_lose_no_link(spark, crowd, group):
     rng = random.Random(3)
     base = "the common part of many lines is long and "
     texts = ["\n".join(changed(rng, base + rng.choice(["one", "two", "three thousand and four", "none"]) * 2, 3) for _ in range(8)) for _ in range(25)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     expected = expected_classes(list(enumerate(texts)))
-    links = {(r.a.hex(), r.b.hex()) for r in lines.close_lines(docs, crowd=crowd).collect()}
+    links = {(r.a.hex(), r.b.hex()) for r in lines.close_lines(docs, crowd=crowd, group=group).collect()}
     assert links
     whole = lines.line_classes(docs).collect()
     got = {(r.key, r.line_no): (r.first.key, r.first.line_no) if r.first else (r.key, r.line_no) for r in whole}

@@ -209,14 +209,19 @@ def context_strings(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text", PIECE):
-                for key, digest, text, places in zip(*(values(part, c) for c in [*OWNER, "text", "places"]), strict=True):
-                    raw = text.encode("utf-8", "replace")
-                    found = [[p[f] for f in fields] for p in places]
-                    strings = [raw[p["pos"] - p["left"] : p["pos"] + p["right"]] for p in places]
-                    for at in range(0, len(found), ROUND_STRINGS):
-                        own = found[at : at + ROUND_STRINGS]
-                        yield _rows(arrow, [[key] * len(own), [digest] * len(own), *zip(*own, strict=True), strings[at : at + ROUND_STRINGS]])
+            for row in range(batch.num_rows):
+                # One text at a time, its places as arrays: a monotonous text has very many of them.
+                raw = batch.column("text")[row].as_py().encode("utf-8", "replace")
+                places = batch.column("places")[row].values
+                for at in range(0, len(places), 1024):
+                    part = places.slice(at, 1024)
+                    found = dict(zip(fields, part.flatten(), strict=True))
+                    start = np.asarray(found["pos"]) - np.asarray(found["left"])
+                    stop = np.asarray(found["pos"]) + np.asarray(found["right"])
+                    strings = [raw[x:y] for x, y in zip(start.tolist(), stop.tolist(), strict=True)]
+                    owner = [batch.column(c).take(pa.array([row] * len(part), pa.int32())) for c in OWNER]
+                    columns = [*owner, *found.values(), pa.array(strings, pa.binary())]
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     return joined.select(*OWNER, "text", "places").mapInArrow(run, schema)
 

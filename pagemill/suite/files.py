@@ -171,3 +171,30 @@ def load_model_output(spark, sf):
     read = readers.load_model_output(spark, path, T.StructType([T.StructField("doc_id", T.LongType())]))
     marked = read.select("doc_id", F.col("_corrupt_record").isNull().alias("is_json"))
     return marked.groupBy("is_json").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
+
+
+@query(
+    """SELECT line, count(*) AS n FROM (SELECT unnest(string_split(concat('# https://docs.example/', doc_id, chr(10), chr(10), text, chr(10), chr(10),
+      '---', chr(10)), chr(10))) AS line FROM documents WHERE doc_id % 10 <> 0 AND text <> '') GROUP BY line"""
+)
+def markdown_files(spark, sf):
+    """The lines of the Markdown files; a page without a body has none."""
+    path = scratch_path(spark, "markdown")
+    docs = table(spark, sf, "documents").select(
+        F.concat(F.lit("https://docs.example/"), F.col("doc_id")).alias("url"),
+        F.when(F.col("doc_id") % 10 != 0, F.col("text")).alias("body"),
+    )
+    writers.write_markdown(docs, path)
+    lines = spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
+    return lines.groupBy("line").agg(F.count("*").alias("n"))
+
+
+@query("SELECT url, CAST(length(html) AS DOUBLE) AS score, CAST(page_id % 3 AS INTEGER) AS depth FROM pages")
+def saved_state(spark, sf):
+    """The results of an earlier run, and of one that has never been."""
+    path = scratch_path(spark, "state")
+    saved = table(spark, sf, "pages").select(
+        "url", F.length("html").cast("double").alias("score"), (F.col("page_id") % 3).cast("int").alias("depth")
+    )
+    saved.write.parquet(path)
+    return readers.load_state(spark, path).unionByName(readers.load_state(spark, scratch_path(spark, "none")))

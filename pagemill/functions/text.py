@@ -48,8 +48,23 @@ def estimate_tokens(col: Column) -> Column:
     return F.floor(F.length(col) / F.lit(4))
 
 
+def decode_numeric(col: Column) -> Column:
+    """Decode decimal and hexadecimal entities once; numbers that are no letter stay."""
+    found = F.array_distinct(F.regexp_extract_all(col, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1)))
+
+    def one(text: Column, digits: Column) -> Column:
+        hexadecimal = F.lower(F.substring(digits, 1, 1)) == "x"
+        number = F.when(hexadecimal, F.conv(F.substring(digits, 2, 7), 16, 10)).otherwise(digits).cast("int")
+        letter = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        known = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        return F.when(known, F.replace(text, F.concat(F.lit("&#"), digits, F.lit(";")), letter)).otherwise(text)
+
+    return F.when(col.contains("&#"), F.aggregate(found, col, one)).otherwise(col)
+
+
 def decode_entities(col: Column) -> Column:
-    """Decode the entities of :data:`ENTITIES` once."""
+    """Decode numeric entities and those of :data:`ENTITIES` once."""
+    col = decode_numeric(col)
     for entity, char in ENTITIES:
         col = F.replace(col, F.lit(entity), F.lit(char))
     return col

@@ -93,6 +93,11 @@ def test_keyword_score_matches_the_known_results(spark):
     assert value(spark, score, u="https://farm.example/en/prices/list.html") == 0.0
 
 
+def test_entities_are_decoded_once(spark):
+    text = "&#8217;&#x1F642;&#X41; &#39;&amp;#65;&amp;lt; &#0;&#xD800;&#9999999; &#65"
+    assert value(spark, X.decode_entities(F.col("t")), t=text) == "’🙂A '&#65;&lt; &#0;&#xD800;&#9999999; &#65"
+
+
 def test_strip_takes_all_white_space(spark):
     assert value(spark, X.strip(F.col("t")), t=" \n\t x y \x0b　") == "x y"
 

@@ -51,6 +51,7 @@ PER_CLASS, MAX_CHARS = 1_600, 20_000  # bounds of the labelled sample
 LONGEST = 32  # letters; longer words are cut to overlapping pieces
 NEAR_ODDS = 0.7
 PART = 5
+PARAGRAPH = 64  # words
 CACHED_WORDS = 200_000
 NO_WORD = -1e9
 
@@ -161,7 +162,7 @@ class Toxicity:
         return [s for i in range(0, len(words), at_once) for s in self.word_scores(words[i : i + at_once]).tolist()]
 
     def raw(self, texts: list[str | None], cache: dict[str, float]) -> np.ndarray:
-        """Of every text the mean score of its two and of its four most toxic words, and the logarithm of its words."""
+        """Of every text the mean score of its two and of its four most toxic words, and how much longer than a paragraph it is."""
         split = [words_of(t) for t in texts]
         if len(cache) > CACHED_WORDS:
             cache.clear()
@@ -173,7 +174,8 @@ class Toxicity:
             row[: len(found)] = found
         worst = np.tanh(worst / 2)  # far beyond the margin a score says little more
         counts = np.fromiter(map(len, split), float, len(split))
-        return np.column_stack([worst[:, :2].mean(1), worst.mean(1), np.log1p(counts)])
+        # The longer a text beyond a paragraph, the higher its highest scores by chance; a short one gains nothing.
+        return np.column_stack([worst[:, :2].mean(1), worst.mean(1), np.log(np.maximum(counts, PARAGRAPH) / PARAGRAPH)])
 
     def probability(self, raw: np.ndarray) -> np.ndarray:
         return sigmoid(raw @ self.slopes + self.shift)

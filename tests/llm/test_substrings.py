@@ -73,7 +73,7 @@ def test_column_order_by_comparing_pairs():
         core = "".join(rng.choice("ab") for _ in range(8)).encode()
         for _ in range(12):
             left = "".join(rng.choice("ab") for _ in range(rng.randrange(4))).encode()
-            right = "".join(rng.choice("ab") for _ in range(rng.randrange(5))).encode()
+            right = "".join(rng.choice("ab") for _ in range(rng.randrange(4))).encode()
             strings.append(left + core + right)
             lefts.append(len(left))
             groups.append(group)

@@ -14,11 +14,19 @@ A name is a capitalised word that doesn't begin a sentence; a unit is a word of
 empty texts hold nothing. Two documents with the same key and text give one
 row; items with the same id and text count once. A place is a stretch of the
 document about as long as the item, in two overlapping divisions.
+
+A template window that an item repeats also meets the other places of its
+copies there. So slots are judged along one alignment at a time: every window
+takes the match nearest to a common offset, if that keeps the order of the
+windows; those must agree. Windows left over count if one of their matches
+agrees as well. Every offset at a place is tried.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import chain
 
@@ -28,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from pagemill.llm.batches import chunks, free_name, values
 from pagemill.operators.ordering import null_safe_join
@@ -154,6 +162,69 @@ def window_rows(df: DataFrame, keys: list[str], column: str, wanted: np.ndarray
     return df.select(*keys, column).mapInArrow(run, schema)
 
 
+def _agrees(now: dict[str, str], pairs: list[tuple[str, str]]) -> bool:
+    """Adds ``pairs`` to ``now``, unless one of them contradicts it or another one."""
+    new: dict[str, str] = {}
+    if any(now.get(was, new.setdefault(was, value)) != value or new[was] != value for was, value in pairs):
+        return False
+    now.update(new)
+    return True
+
+
+def aligned(matches: list[tuple[int, int, list[tuple[str, str]]]], least: float) -> tuple[int, bool] | None:
+    """The windows found along the best alignment of a place, and whether one is verbatim; none if fewer than ``least`` agree.
+
+    A match is the number of the item's window, its offset in the document and
+    the pairs of slots, what was there and is there now.
+    """
+    found: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
+    for window, offset, pairs in matches:
+        found[window][offset] += pairs
+    most, verbatim = 0, False
+    for base, _ in Counter(o for offsets in found.values() for o in offsets).most_common():
+        near = {w: sorted(offsets, key=lambda o: (abs(o - base), o)) for w, offsets in found.items()}
+        line: list[tuple[int, int]] = []  # windows and their places, both rising
+        rest = []
+        for w in sorted(near, key=lambda w: (abs(near[w][0] - base), w)):
+            entry = (w, w + near[w][0])
+            i = bisect(line, entry)
+            if (i and line[i - 1][1] >= entry[1]) or (i < len(line) and line[i][1] <= entry[1]):
+                rest.append(w)
+            else:
+                line.insert(i, entry)
+        now: dict[str, str] = {}
+        if not all(_agrees(now, found[w][place - w]) for w, place in line):
+            continue
+        same = len(line) >= least and all(was == value for was, value in now.items())
+        count = len(line) + sum(any(_agrees(now, found[w][o]) for o in near[w]) for w in rest)
+        if count >= least:
+            most, verbatim = max(most, count), verbatim or same or all(was == value for was, value in now.items())
+        if verbatim and most == len(found):
+            break
+    return (most, verbatim) if most else None
+
+
+def judged(places: DataFrame, share: float) -> DataFrame:
+    """``matched`` and ``verbatim`` of the places whose windows agree along an alignment, instead of ``matches``."""
+    schema = StructType([f for f in places.schema.fields if f.name != "matches"] + [StructField("matched", LongType()), StructField("verbatim", BooleanType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, matched, verbatim = [], [], []
+            for i, (of, matches) in enumerate(zip(values(batch, "windows"), batch.column("matches"), strict=True)):
+                listed = [(m["item_at"], m["offset"], list(zip(m["was"], m["now"], strict=True))) for m in matches.as_py()]
+                if best := aligned(listed, share * of):
+                    row.append(i)
+                    matched.append(best[0])
+                    verbatim.append(best[1])
+            if row:
+                taken = [batch.column(f.name).take(pa.array(row)).cast(f.type) for f in list(arrow)[:-2]]
+                yield pa.RecordBatch.from_arrays([*taken, pa.array(matched, pa.int64()), pa.array(verbatim)], schema=arrow)
+
+    return places.mapInArrow(run, schema)
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", column: str = "text", item: str = "item_id", item_text: str = "text", share: float = SHARE
 ) -> DataFrame:
@@ -178,15 +249,13 @@ def leaks(
     span = F.greatest("windows", F.lit(8))
     offset = F.col("at") - F.col("item_at")
     cells = F.array(F.struct(F.lit(0), F.floor(offset / span)), F.struct(F.lit(1), F.floor((offset + span / 2) / span)))
-    pairs = F.arrays_zip(F.col("item_slots").alias("was"), F.col("slots").alias("now"))
-    placed = met.select("key", "text_hash", "item_id", "item_hash", "windows", "item_at", pairs.alias("pairs"), F.explode(cells).alias("cell"))
-    near = placed.groupBy("key", "text_hash", "item_id", "item_hash", "windows", "cell").agg(
-        F.countDistinct("item_at").alias("matched"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
-    )
-    same = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["was"])))
-    verbatim = F.forall("pairs", lambda p: p["was"] == p["now"])
-    good = near.filter((F.col("matched") >= share * F.col("windows")) & same).withColumn("verbatim", verbatim)
-    best = good.groupBy("key", "text_hash", "item_id", "item_hash", "windows").agg(F.max("matched").alias("matched"), F.max("verbatim").alias("verbatim"))
+    match = F.struct("item_at", offset.alias("offset"), F.col("item_slots").alias("was"), F.col("slots").alias("now"))
+    owner = ["key", "text_hash", "item_id", "item_hash", "windows"]
+    placed = met.select(*owner, match.alias("match"), F.explode(cells).alias("cell"))
+    near = placed.groupBy(*owner, "cell").agg(F.collect_list("match").alias("matches"))
+    enough = F.size(F.array_distinct(F.col("matches.item_at"))) >= share * F.col("windows")
+    good = judged(near.filter(enough).drop("cell"), share)
+    best = good.groupBy(*owner).agg(F.max("matched").alias("matched"), F.max("verbatim").alias("verbatim"))
     part = F.col("matched") / F.col("windows")
     return best.select(F.col("key").alias(key), "text_hash", "item_id", "matched", "windows", part.alias("share"), "verbatim")
 

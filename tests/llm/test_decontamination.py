@@ -62,3 +62,40 @@ def test_corners(spark):
     assert D.leaks(no_docs(spark), bench).count() == 0 and D.leaks(docs, bench.limit(0)).count() == 0
     assert D.drop_leaks(docs, bench.limit(0)).count() == len(TEXTS)
     assert D.drop_leaks(docs.union(spark.createDataFrame([(None, QUESTION)], "d long, t string").select("d", "t", *docs.columns[2:]) if False else no_docs(spark)), bench).count() == 9
+
+
+REPEATS = {
+    1: ("which number comes next in the sequence 2 4 8 16 32 64 128 256 of powers", "which number comes next in the sequence 3 9 27 81 243 729 2187 6561 of powers"),
+    2: (
+        "on monday we saw that Anna, Ben, Carl, Dora, Emil, Fred and the teacher left the room early",
+        "on monday we saw that Gina, Hugo, Ida, Jan, Kim, Lars and the teacher left the room early",
+    ),
+    3: ("the man sells 3 boxes of red pens for anna 5 boxes of red pens for ben", "the man sells 7 boxes of red pens for anna 9 boxes of red pens for ben"),
+}
+
+
+def test_windows_that_an_item_repeats(spark):
+    bench = [(i, text) for i, (text, _) in REPEATS.items()]
+    docs, expected = [], []
+    for i, texts in REPEATS.items():
+        for verbatim, text in zip((True, False), texts, strict=True):
+            for before in range(0, 30, 3):
+                docs.append((len(docs), f"{'filler ' * before}{text} and so on"))
+                expected.append((len(docs) - 1, i, verbatim))
+    assert found(spark, docs, bench) == expected
+
+
+def test_edited_copies_of_repeating_items(spark):
+    sequence = REPEATS[1][0]
+    mixed = "which number comes next in the sequence 3 9 27 81 243 729 2187 6561 of powers if the first number is 2 and the last is 256"
+    docs = [
+        (1, sequence.replace("in the", "in the long")),  # the numbers stand one place further on
+        (2, sequence.replace("256 of powers", "and more powers")),  # the last windows are found at the place of others only
+        (3, mixed.replace("is 2 and", "is 5 and")),  # 2 became 3 and 5
+        (4, mixed),
+    ]
+    item = sequence + " if the first number is 2 and the last is 256"
+    long = " ".join(["please tell me as soon as you can what you think about it:", sequence, "and then say why you think that it must be so"])
+    texts = [(d, long.replace(sequence, t)) for d, t in docs[:2]]
+    assert found(spark, texts, [(1, long)]) == [(1, 1, True), (2, 1, True)]
+    assert found(spark, docs[2:], [(1, item)]) == []

@@ -11,9 +11,11 @@ The keys are sorted, and lines that stand under one key meet there. Under a key
 with more than ``CROWD`` lines they don't: up to ``GROUP`` lines are compared in
 the task, by letter counts first, and only close ones are passed on. Of more
 lines the segment is taken out, and the rests, which still may differ by the
-same number of edits, are cut into segments again; after ``LEVELS`` rounds what
-is left is joined as it is. So no link is lost, and lines with a long common
-part don't meet pairwise.
+same number of edits, are cut into segments again, at places that give every
+segment a like part of what differs between the lines of the key. This goes on
+until no key is large or its indexed rests differ in no more letters than there may
+be edits; those are all close, and a star links them. So no link is lost, and
+lines with a long common part don't meet pairwise.
 
 Lines are the parts of a text between line ends; white space around a line
 doesn't count, and a line of under ``LEAST_CHARS`` letters is always kept. Of a
@@ -25,9 +27,10 @@ both copies of a first line stay.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from hashlib import md5
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BinaryType, BooleanType, ByteType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, ByteType, IntegerType, LongType, StringType, StructField, StructType
 
 from pagemill.llm.batches import chunks, free_name, values
 from pagemill.llm.components import components
@@ -49,7 +52,7 @@ MOST = 2
 LEAST_CHARS = 16
 CROWD = 32
 GROUP = 1_024
-LEVELS = 4
+SAMPLE = 256  # rests of a large key by which the places to cut are chosen
 MOST_HASHES = 4_000_000  # lines whose hashes are sent to all tasks to find their texts: 32 MB
 BLANK = " \t\r\x0b\x0c"
 
@@ -96,24 +99,120 @@ def entries(texts: DataFrame, most: int = MOST, least: int = LEAST_CHARS) -> Dat
     return texts.select("text").mapInArrow(run, ENTRIES)
 
 
+def cuts(rests: list[str], varied: list[int], most: int = MOST) -> list[int]:
+    """Where rests of one length are cut: every segment has a column of ``varied``, and the letters differ about as much."""
+    points = np.array([np.frombuffer(r.encode("utf-32-le", "surrogatepass"), np.uint32)[varied] for r in rests])
+    alike = np.array([(np.unique(column, return_counts=True)[1] ** 2).sum() for column in points.T]) / len(rests) ** 2
+    weight = np.cumsum(1e-3 - np.log(alike))
+    ends = [int(np.searchsorted(weight, weight[-1] * i / (most + 1))) + 1 for i in range(1, most + 1)]
+    for i in range(most):
+        ends[i] = max(ends[i], ends[i - 1] + 1 if i else 1)
+    for i in reversed(range(most)):
+        ends[i] = min(ends[i], len(varied) - (most - i))
+    return [0, *(varied[e] for e in ends), len(rests[0])]
+
+
 def deeper(rows: DataFrame, most: int = MOST) -> DataFrame:
-    """Keys of the rests below their old key, with what is left when the new segment is taken out as well."""
+    """Keys of the rests below their old key, with what is left when the new segment is taken out as well.
+
+    ``cuts`` has the segments of the indexed rests of the key, which have all
+    the same length; rests that probe have up to ``most`` letters more.
+    """
     arrow = to_arrow_schema(DEEPER)
 
+    def below(parent: int, role: int, line: int, rest: str, ends: list[int]) -> Iterator[tuple[int, int, int, str]]:
+        shift = len(rest) - ends[-1]
+        for i, (start, stop) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            for move in range(max(-i, shift - (most - i), -start), min(i, shift + (most - i), len(rest) - stop) + 1):
+                own = role if shift == 0 and move == 0 else role & PROBE
+                if own:
+                    a, b = start + move, stop + move
+                    digest = xxhash.xxh64_intdigest(rest[a:b].encode("utf-8", "replace"), (parent * 31 + i) & 0xFFFFFFFFFFFFFFFF)
+                    yield signed(digest), own, line, rest[:a] + rest[b:]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "rest", 1 << 20):
-                names = ("key", "role", "line", "rest")
+                names = ("key", "role", "line", "rest", "cuts")
+                found = [new for row in zip(*(values(part, c) for c in names), strict=True) for new in below(*row)]
+                if found:
+                    yield _batch(arrow, [list(c) for c in zip(*found, strict=True)])
+
+    return rows.select("key", "role", "line", "rest", "cuts").mapInArrow(run, DEEPER)
+
+
+def varied_columns(large: DataFrame) -> DataFrame:
+    """``key, varied``: in which letters the indexed rests of a key differ."""
+    schema = StructType([ENTRIES["key"], StructField("column", IntegerType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(values(batch, c) for c in ("key", "rest", "least")), strict=True)
+            found = {(key, i) for key, rest, least in rows for i in range(len(rest)) if rest[i] != least[i]}
+            if found:
+                yield _batch(arrow, [list(c) for c in zip(*found, strict=True)])
+
+    indexed = large.filter(_indexed()).select("key", "rest")
+    least = indexed.groupBy("key").agg(F.min("rest").alias("least"))
+    columns = indexed.join(least, "key").mapInArrow(run, schema).groupBy("key").agg(F.sort_array(F.collect_set("column")).alias("varied"))
+    none = F.array().cast(ArrayType(IntegerType()))
+    return least.select("key").join(columns, "key", "left").select("key", F.coalesce("varied", none).alias("varied"))
+
+
+def chosen_cuts(large: DataFrame, most: int = MOST) -> DataFrame:
+    """``key, cuts`` by a few of the indexed rests of every key."""
+    schema = StructType([ENTRIES["key"], StructField("cuts", ArrayType(IntegerType()))])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = zip(batch.column("rests"), values(batch, "varied"), strict=True)
+                yield _batch(arrow, [values(batch, "key"), [cuts(r.as_py(), v, most) for r, v in found]])
+
+    indexed = large.filter(_indexed())
+    few = indexed.filter(F.pmod(F.xxhash64("line"), F.ceil(F.col("indexed") / SAMPLE)) == 0).select("key", "varied", "rest")
+    one = indexed.groupBy("key", "varied").agg(F.min("rest").alias("rest"))
+    return few.unionByName(one).groupBy("key", "varied").agg(F.collect_list("rest").alias("rests")).mapInArrow(run, schema)
+
+
+def _indexed() -> Column:
+    return F.col("role").bitwiseAND(F.lit(INDEX)) > 0
+
+
+def alike_pairs(rows: DataFrame, most: int = MOST) -> DataFrame:
+    """Pairs ``a, b`` under keys whose indexed rests differ in at most ``most`` letters, ``varied``.
+
+    Those stand at the same places of their lines, so all these lines are close
+    and the least is linked with each. Any other line under the key meets one
+    indexed line for every way in which its letters can stand at those places;
+    where an edit falls on such a place, the letter there doesn't matter.
+    """
+    schema = StructType([ENTRIES["key"], StructField("part", StringType()), StructField("line", LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def parts(moves: range) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
                 found = [
-                    (key, part_role & role, line, rest[:a] + rest[b:])
-                    for parent, role, line, rest in zip(*(values(part, c) for c in names), strict=True)
-                    for key, part_role, a, b in keys(rest, most, parent)
-                    if part_role & role
+                    (key, "".join(part), line)
+                    for key, line, rest, varied in zip(*(values(batch, c) for c in ("key", "line", "rest", "varied")), strict=True)
+                    for part in product(*({"", *(f"{i}{rest[v + m]}" for m in moves if 0 <= v + m < len(rest))} for i, v in enumerate(varied)))
                 ]
                 if found:
                     yield _batch(arrow, [list(c) for c in zip(*found, strict=True)])
 
-    return rows.select("key", "role", "line", "rest").mapInArrow(run, DEEPER)
+        return run
+
+    indexed = rows.filter(_indexed()).select("key", "line", "rest", "varied")
+    least = indexed.groupBy("key").agg(F.min("line").alias("a"))
+    star = indexed.join(least, "key").select("a", F.col("line").alias("b")).filter("a <> b")
+    others = rows.select("key", "line", "rest", "varied").join(indexed.select("key", "line"), ["key", "line"], "left_anti")
+    one = indexed.mapInArrow(parts(range(1)), schema).groupBy("key", "part").agg(F.min("line").alias("a"))
+    met = others.mapInArrow(parts(range(-most, most + 1)), schema).join(one, ["key", "part"])
+    pairs = star.unionByName(met.select("a", F.col("line").alias("b")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def opened(rows: DataFrame, most: int = MOST) -> DataFrame:
@@ -196,12 +295,14 @@ def grouped_pairs(rows: DataFrame, most: int = MOST) -> DataFrame:
     """Pairs ``a, b`` of lines under one key whose rests are close; a key has at most ``GROUP`` lines.
 
     An edit changes the counts of two letters at most, so only lines whose
-    letter counts differ by twice the edits are compared.
+    letter counts differ by twice the edits are compared. Rests that are indexed
+    stand at the same places of their lines, so if they are close, their lines
+    are; of those pairs only the ones that connect something new are passed on.
     """
     arrow = to_arrow_schema(PAIR)
 
-    def close(held: dict[int, str]) -> list[tuple[int, int]]:
-        names, texts = list(held), list(held.values())
+    def close(held: dict[tuple[int, str], int]) -> list[tuple[int, int]]:
+        names, texts, roles = [n for n, _ in held], [t for _, t in held], list(held.values())
         counts = np.zeros((len(texts), 64), np.int32)
         for row, text in zip(counts, texts, strict=True):
             points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -212,34 +313,43 @@ def grouped_pairs(rows: DataFrame, most: int = MOST) -> DataFrame:
             first += [i] * len(near)
             second += near.tolist()
         found = distances([texts[i] for i in first], [texts[j] for j in second], most) <= most
-        return [(min(names[i], names[j]), max(names[i], names[j])) for i, j, ok in zip(first, second, found, strict=True) if ok]
+        root = list(range(len(names)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        pairs = []
+        for k in np.flatnonzero(found).tolist():
+            i, j = first[k], second[k]
+            if roles[i] & roles[j] & INDEX:
+                one, other = find(i), find(j)
+                if one == other:
+                    continue
+                root[other] = one
+            if names[i] != names[j]:
+                pairs.append((min(names[i], names[j]), max(names[i], names[j])))
+        return pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, {}
         for batch in batches:
             out = []
-            for k, line, rest in zip(*(values(batch, c) for c in ("key", "line", "rest")), strict=True):
+            for k, role, line, rest in zip(*(values(batch, c) for c in ("key", "role", "line", "rest")), strict=True):
                 if k != key:
                     out += close(held)
                     key, held = k, {}
-                held[line] = rest
+                held[line, rest] = held.get((line, rest), 0) | role
             if out:
                 yield _batch(arrow, [list(c) for c in zip(*out, strict=True)])
         if out := close(held):
             yield _batch(arrow, [list(c) for c in zip(*out, strict=True)])
 
-    dealt = rows.select("key", "line", "rest").repartition("key").sortWithinPartitions("key")
+    dealt = rows.select("key", "role", "line", "rest").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, PAIR)
 
 
-def _all_pairs(rows: DataFrame) -> DataFrame:
-    """The same for keys of any number of lines, by a join."""
-    indexed = rows.filter(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).select("key", F.col("line").alias("a"))
-    probed = rows.filter(F.col("role").bitwiseAND(F.lit(PROBE)) > 0).select("key", F.col("line").alias("b"))
-    met = indexed.join(probed, "key").filter(F.col("a") != F.col("b"))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
 def close_lines(
     docs: DataFrame, column: str = "text", most: int = MOST, least: int = LEAST_CHARS, crowd: int = CROWD, group: int = GROUP
 ) -> DataFrame:
@@ -256,18 +366,26 @@ def close_lines(
     if not crowded.isEmpty():
         crowded = cut_lineage(crowded.distinct(), "crowded")
         rows = crowded.join(_texts(texts, crowded.select("line").distinct(), least), "line").withColumnRenamed("text", "rest")
-        for level in range(LEVELS):
+        whole = True
+        while True:
             rows = cut_lineage(rows, "crowds")
-            sizes = rows.groupBy("key").agg(F.countDistinct("line").alias("n"))
+            # Without an indexed line no two meet under a key.
+            indexed = F.count(F.when(_indexed(), True)).alias("indexed")
+            sizes = rows.groupBy("key").agg(F.countDistinct("line").alias("n"), indexed).filter("indexed > 0")
             sized = cut_lineage(rows.join(sizes, "key"), "sized-crowds")
             pairs.append(grouped_pairs(sized.filter(F.col("n") <= group), most))
-            large = sized.filter(F.col("n") > group).drop("n")
+            large = sized.filter(F.col("n") > group)
+            if whole:
+                # The first key is left standing in the line; it is taken out before anything is cut.
+                rest = opened(large.withColumnRenamed("rest", "text"), most).distinct()
+                indexed = rest.filter(_indexed()).groupBy("key").agg(F.count("*").alias("indexed"))
+                large, whole = cut_lineage(rest.join(indexed, "key"), "opened-crowds"), False
+            large = cut_lineage(large.join(cut_lineage(varied_columns(large), "columns"), "key"), "large-crowds")
+            pairs.append(alike_pairs(large.filter(F.size("varied") <= most), most))
+            large = large.filter(F.size("varied") > most)
             if large.isEmpty():
                 break
-            if level == LEVELS - 1:
-                pairs.append(_all_pairs(large))
-                break
-            cut = opened(large.withColumnRenamed("rest", "text"), most) if level == 0 else large
+            cut = large.join(cut_lineage(chosen_cuts(large, most), "cuts"), "key")
             met = cut_lineage(meetings(deeper(cut, most), crowd), "meetings")
             pairs.append(met.filter("a IS NOT NULL").select("a", "b"))
             rows = met.filter("key IS NOT NULL").select("key", "role", "line", "rest")

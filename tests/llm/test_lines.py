@@ -107,6 +107,33 @@ def test_crowded_keys_lose_no_link(spark, crowd, group):
     assert len(classes) == len(set(expected.values()))
 
 
+def test_numbered_lines_meet_in_few_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [f"Order {n:07d} was shipped to the customer at the address given below, thank you for it" for n in rng.sample(range(10**7), 2500)]
+    texts += [f"Ticket {n} was closed by the team after all the questions in it had been answered" for n in range(600)]
+    texts += [f"Room {a}{b} of the large building is free on all days of the next week" for a in "abcdefghijk" for b in "lmnopqrst12"]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    met, verified = [], lines._verified
+    monkeypatch.setattr(lines, "_verified", lambda pairs, most: met.append(pairs.count()) or verified(pairs, most))
+    links = lines.close_lines(docs, crowd=8, group=64)
+    assert met[0] < 20 * len(texts)
+    import hashlib
+
+    number = {hashlib.md5(t.encode()).digest(): i for i, t in enumerate(texts)}
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for r in links.collect():
+        i, j = sorted((find(number[bytes(r.a)]), find(number[bytes(r.b)])))
+        root[j] = i
+    assert {(i, 0): (find(i), 0) for i in range(len(texts))} == expected_classes(list(enumerate(texts)))
+
+
 def test_corners(spark):
     docs = corner_docs(spark)
     kept = lines.drop_repeated_lines(docs)

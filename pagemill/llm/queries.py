@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, decontamination, lines, quality, shards, simhash, substrings, toxicity, vectors, warc
+from pagemill.llm import audit, bpe, decontamination, lines, quality, shards, simhash, substrings, toxicity, vectors, warc
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from pagemill.storage import scratch_path
@@ -143,3 +143,54 @@ def op10_substrings(spark, sf):
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query(
+    r"""
+    WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    worded AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM texts),
+    firsts AS (SELECT t, min(doc_id) AS first FROM texts GROUP BY t),
+    marks AS (
+        SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id
+    ),
+    failing AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+            CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+            || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+            || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+            || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+            || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails
+        FROM worded JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)
+    ),
+    counts AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, fails),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+    orders AS (
+        SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE b.l <> a.l AND c.l NOT IN (a.l, b.l) AND d.l NOT IN (a.l, b.l, c.l) AND e.l NOT IN (a.l, b.l, c.l, d.l)
+    ),
+    gone AS (
+        SELECT part, filter_order, fails, n, good, toxic,
+            CASE WHEN fails = '' THEN 6 ELSE list_min(list_transform(string_split(fails, ''), lambda f: strpos(filter_order, f))) END AS gone_at
+        FROM counts, orders
+    ),
+    steps AS (SELECT unnest([1, 2, 3, 4, 5]) AS step),
+    audit AS (
+        SELECT part, filter_order, step, substr(filter_order, step, 1) AS letter,
+            sum(CASE WHEN gone_at > step THEN n ELSE 0 END) AS kept,
+            sum(CASE WHEN gone_at = step THEN n ELSE 0 END) AS removed,
+            sum(CASE WHEN gone_at < step AND contains(fails, substr(filter_order, step, 1)) THEN n ELSE 0 END) AS redundant,
+            sum(CASE WHEN fails = substr(filter_order, step, 1) THEN n ELSE 0 END) AS unique_fails,
+            sum(CASE WHEN gone_at = step THEN good ELSE 0 END) AS good_lost,
+            sum(CASE WHEN gone_at = step THEN toxic ELSE 0 END) AS toxic_lost
+        FROM gone, steps GROUP BY part, filter_order, step
+    )
+    SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+        unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+        (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+    FROM audit
+    """
+)
+def op11_filters(spark, sf):
+    """What five filters remove in each of their orders, by language."""
+    return audit.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))

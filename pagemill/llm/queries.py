@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import audit, bpe, decontamination, lines, quality, shards, simhash, substrings, toxicity, vectors, warc
+from pagemill.llm import audit, bpe, decontamination, lines, quality, repair, shards, simhash, substrings, toxicity, vectors, warc
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from pagemill.operators.ordering import null_safe_join
 from pagemill.storage import scratch_path
 
 
@@ -194,3 +195,16 @@ def op10_substrings(spark, sf):
 def op11_filters(spark, sf):
     """What five filters remove in each of their orders, by language."""
     return audit.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query()
+def op12_repair(spark, sf):
+    """Conversations damaged by a hash and repaired by the cheapest edits."""
+    rows = table(spark, sf, "conversations")
+    fixed = repair.repair(repair.damaged(rows), copies="copies")
+    digests = repair.transcript_digests(fixed.parts)
+    found = null_safe_join(fixed.audits, digests, ["conv"])
+    every = null_safe_join(rows.select(F.col("conv_id").alias("conv")).distinct(), found, ["conv"], "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return every.select(F.col("conv").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pagemill.llm import audit, bpe, decontamination, lines, quality, repair, shards, simhash, substrings, toxicity, vectors, warc
+from pagemill.llm import audit, bpe, decontamination, lines, multi_index, quality, repair, shards, simhash, substrings, toxicity, vectors, warc
 from pagemill.llm.labelled import held_out
 from pagemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from pagemill.operators.ordering import null_safe_join
@@ -208,3 +208,9 @@ def op12_repair(spark, sf):
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     digest = F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
     return every.select(F.col("conv").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
+@query()
+def op13_embeddings(spark, sf):
+    """Links of near copies, their groups and the vector that stays."""
+    return multi_index.near_copies(table(spark, sf, "embeddings"))

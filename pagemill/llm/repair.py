@@ -61,6 +61,7 @@ AFTER = {(START, "s"): SYSTEM, (START, "u"): USER, (SYSTEM, "u"): USER, (USER, "
 LEGAL = ("su", "ua", "au")
 PIECE_ROWS = 1_024
 PIECE_BYTES = 8 << 20
+RECORDS = 512  # conversations in a batch that a task hands on
 FAN = 32
 PREFIX = 100  # letters of a text that cut ranges; rows are in the order of the whole text within them
 SPACES = b" \t\n\x0b\x0c\r"
@@ -266,28 +267,40 @@ def pieces(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, current, seq, first = TaskContext.get().partitionId(), None, 0, True
+        ready, size = [], 0
 
-        def closed(piece: Piece, whole: bool) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([piece_record(piece, whole, place, seq)], schema=arrow)
+        def close(piece: Piece, whole: bool) -> None:
+            nonlocal size
+            ready.append(piece_record(piece, whole, place, seq))
+            size += piece.size
+
+        def sent(least: int) -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            if len(ready) >= least or ready and size >= PIECE_BYTES:
+                yield pa.RecordBatch.from_pylist(ready, schema=arrow)
+                ready.clear()
+                size = 0
 
         for batch in batches:
             for conv, turn, role, text, copies, repeat in zip(*[values(batch, c) for c in batch.schema.names], strict=True):
                 if current is not None and conv != current.conv:
                     # The first and the last conversation of a task can go on in others.
-                    yield closed(current, not first and seq == 0)
+                    close(current, not first and seq == 0)
                     current, seq, first = None, 0, False
                 if current is not None and (len(current.rows) >= PIECE_ROWS or current.size >= PIECE_BYTES):
-                    yield closed(current, False)
+                    close(current, False)
                     current, seq = None, seq + 1
+                yield from sent(RECORDS)
                 current = Piece(conv) if current is None else current
                 current.add(turn, role, text, copies, repeat)
         if current is not None:
-            yield closed(current, False)
+            close(current, False)
+        yield from sent(1)
 
     prefix = F.substring("text", 1, PREFIX)
     spread = rows.repartitionByRange("conv", "turn", "role", prefix).sortWithinPartitions("conv", "turn", "role", "text")
-    sent = spread.select("conv", "turn", F.col("role").cast("binary").alias("role"), F.col("text").cast("binary").alias("text"), "copies", "repeat")
-    return sent.mapInArrow(run, schema)
+    plain = spread.select("conv", "turn", F.col("role").cast("binary").alias("role"), F.col("text").cast("binary").alias("text"), "copies", "repeat")
+    return plain.mapInArrow(run, schema)
 
 
 def _combine(group: pd.DataFrame, columns: Sequence[str]) -> pd.DataFrame:

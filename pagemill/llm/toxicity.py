@@ -42,7 +42,9 @@ from pagemill.llm.batches import chunks, extended, values
 from pagemill.llm.labelled import Sample, fit_sigmoid, sample_labelled, sigmoid
 from pagemill.session import ship_package
 
-LETTERS = 32  # 0 is no letter, 1 to 26 are a to z, the rest stand for all others
+BITS = 6
+LETTERS = 1 << BITS  # 0 is no letter, 1 to 26 are a to z, then come the start of a word, accents, digits and all others
+START, ACCENTS, DIGITS, OTHERS = 27, 28, 32, 42
 SPAN = 6
 DECAY = 0.65
 GAPS = [(a, b) for a, b in combinations(range(1, SPAN), 2)]
@@ -51,12 +53,15 @@ PER_CLASS, MAX_CHARS = 1_600, 20_000  # bounds of the labelled sample
 LONGEST = 32  # letters; longer words are cut to overlapping pieces
 NEAR_ODDS = 0.7
 PART = 5
+ROUNDS = 9
+PARTS = 3  # of the clean words, one is read in each round
+MARGIN = -0.5  # a clean word that scores more is learnt from in the next round
 PARAGRAPH = 64  # words
 CACHED_WORDS = 200_000
 NO_WORD = -1e9
 
 SPACED = re.compile(r" [^\W\d_](?: [^\W\d_](?= )){2,}")
-MARKS = regex.compile(r"\p{M}+")
+MARKS = regex.compile(r"[\p{M}\0]")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -72,10 +77,17 @@ def words_of(text: str | None) -> list[str]:
 
 
 def codes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Letter codes of all words, each followed by ``SPAN`` zeros, and where each word starts."""
-    plain = MARKS.sub("", unicodedata.normalize("NFKD", "\n".join(w.replace("\n", "") for w in words) + "\n"))
+    """Codes of all words, each after a sign of its start and followed by ``SPAN`` zeros, and where each word starts.
+
+    An accent is a letter of its own after the one that it stands on, so a word
+    without it is the word with a letter left out.
+    """
+    plain = unicodedata.normalize("NFKD", "".join(f"\r{w.translate(_NO_ENDS)}\n" for w in words))
     points = np.frombuffer(plain.encode("utf-32-le", "replace"), np.uint32)
-    codes = np.where(points < 128, _ASCII[np.minimum(points, 127)], 27 + points % 5)
+    codes = np.where(points < 128, _ASCII[np.minimum(points, 127)], OTHERS + points % (LETTERS - OTHERS))
+    if not plain.isascii():
+        accents = np.frombuffer(MARKS.sub("\0", plain).encode("utf-32-le", "replace"), np.uint32) == 0
+        codes = np.where(accents, ACCENTS + points % (DIGITS - ACCENTS), codes)
     ends = points == 10
     kept = ends | (codes > 0)
     codes, ends = codes[kept], ends[kept]
@@ -88,8 +100,11 @@ def codes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat.astype(np.int32), np.r_[0, stops[:-1]]
 
 
+_NO_ENDS = {10: None, 13: None}
 _ASCII = np.zeros(128, np.int64)
 _ASCII[ord("a") : ord("z") + 1] = np.arange(1, 27)
+_ASCII[ord("0") : ord("9") + 1] = np.arange(DIGITS, OTHERS)
+_ASCII[13] = START
 
 
 def subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -98,7 +113,7 @@ def subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, fl
     n = len(codes)
     for a, b in GAPS:
         second, third = padded[a : a + n], padded[b : b + n]
-        yield (codes << 10) | (second << 5) | third, (codes > 0) & (second > 0) & (third > 0), DECAY ** (b + 1)
+        yield (codes << 2 * BITS) | (second << BITS) | third, (codes > 0) & (second > 0) & (third > 0), DECAY ** (b + 1)
 
 
 @dataclass(frozen=True)
@@ -115,7 +130,7 @@ def features(words: list[str]) -> Features:
     codes, starts = codes_of(words)
     word = np.zeros(len(codes), np.int64)
     word[starts[1:]] = 1
-    word = np.cumsum(word) << 15
+    word = np.cumsum(word) << 3 * BITS
     keys, weights = [], []
     for number, there, weight in subsequences(codes):
         at = np.flatnonzero(there)
@@ -127,7 +142,7 @@ def features(words: list[str]) -> Features:
     first = np.flatnonzero(np.diff(key, prepend=-1))
     key = key[first]
     weight = np.add.reduceat(weight, first) if len(first) else weight
-    owner = key >> 15
+    owner = key >> 3 * BITS
     norm = np.sqrt(np.bincount(owner, weight.astype(float) ** 2, len(words)))
     return Features(owner, key & (LETTERS**3 - 1), weight, np.maximum(norm, 1e-6))
 
@@ -141,6 +156,20 @@ def kernel_rows(words: list[str], columns: np.ndarray) -> np.ndarray:
     return rows / found.norm[:, None]
 
 
+def embedded(words: list[str], columns: np.ndarray, to_points: np.ndarray, at_once: int = 200) -> np.ndarray:
+    """The words' places in the space of the landmarks."""
+    points = np.zeros((len(words), to_points.shape[1]))
+    for start in range(0, len(words), at_once):
+        found = features(words[start : start + at_once])
+        at = np.flatnonzero(columns[found.number] >= 0)
+        if len(at):
+            first = np.flatnonzero(np.diff(found.word[at], prepend=-1))
+            owner = found.word[at][first]
+            sums = np.add.reduceat(to_points[columns[found.number[at]]] * found.weight[at, None], first)
+            points[start + owner] = sums / found.norm[owner, None]
+    return points
+
+
 @dataclass(frozen=True)
 class Toxicity:
     """The collapsed machine: a weight for every subsequence, the bias, and the calibration."""
@@ -203,10 +232,12 @@ def parts_of(word: str) -> set[str]:
 
 def part_odds(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]:
     """For each word of the toxic texts the log-odds of its most telling part, by texts that have the part."""
-    seen = Counter(p for bag in toxic for p in {q for w in bag for q in parts_of(w)})
-    other = Counter(p for bag in clean for p in {q for w in bag for q in parts_of(w)} if p in seen)
+    parts = {w: parts_of(w) for w in set().union(*toxic)}
+    seen = Counter(p for bag in toxic for p in set().union(*map(parts.__getitem__, bag)))
+    shared = {w: parts_of(w) & seen.keys() for w in set().union(*clean)}
+    other = Counter(p for bag in clean for p in set().union(*map(shared.__getitem__, bag)))
     odds = {p: float(np.log(n + 0.5) - np.log(other[p] + 0.5)) for p, n in seen.items()}
-    return {w: max(odds[p] for p in parts_of(w)) for w in set().union(*toxic)}
+    return {w: max(odds[p] for p in found) for w, found in parts.items()}
 
 
 def witness(bag: set[str], odds: dict[str, float], turn: int) -> str:
@@ -265,7 +296,7 @@ def fit(sample: Sample) -> Toxicity:
     return calibrated(model, np.concatenate(raws), labels[np.concatenate(rows)], sample.prior)
 
 
-def train(bags: list[list[str]], marks: np.ndarray, rounds: int = 3) -> Toxicity:
+def train(bags: list[list[str]], marks: np.ndarray, rounds: int = ROUNDS) -> Toxicity:
     """The machine without its calibration."""
     toxic = [i for i in range(len(bags)) if marks[i] == 1 and bags[i]]
     clean_bags = [set(b) for b, mark in zip(bags, marks, strict=True) if mark == 0]
@@ -279,7 +310,7 @@ def train(bags: list[list[str]], marks: np.ndarray, rounds: int = 3) -> Toxicity
     ordinary = sorted(clean, key=lambda w: (-clean[w], w))
     negatives, hard = dict.fromkeys(ordinary[: 8 * LANDMARKS]), ordinary[LANDMARKS :]
     model = CLEAN
-    for _ in range(rounds):
+    for turn in range(rounds):
         half = LANDMARKS // 2
         landmarks = [w for w, _ in sorted(chosen.items(), key=lambda x: (-x[1], x[0]))[:half]]
         landmarks += [w for w in [*ordinary[: half // 2], *hard[:half]] if w not in chosen][:half]
@@ -299,7 +330,7 @@ def train(bags: list[list[str]], marks: np.ndarray, rounds: int = 3) -> Toxicity
             positives |= {v: min(n, 20) / len(w) for v in inserted(w) if v not in clean and v not in positives}
         words = [*positives, *[w for w in negatives if w not in positives]]
         to_points = basis.T @ whiten
-        points = np.vstack([kernel_rows(words[i : i + 500], columns) @ to_points for i in range(0, len(words), 500)])
+        points = embedded(words, columns, to_points)
         labels = np.r_[np.ones(len(positives)), -np.ones(len(words) - len(positives))]
         counts = np.r_[[*positives.values()], np.ones(len(words) - len(positives))]
         solution = train_machine(points, labels, counts)
@@ -307,8 +338,10 @@ def train(bags: list[list[str]], marks: np.ndarray, rounds: int = 3) -> Toxicity
         table[numbers] = basis.T @ (whiten @ solution[:-1])
         model = Toxicity(table, float(solution[-1]), np.zeros(3), 0.0)
         # Next round: the worst clean words, and the word that now speaks most for each toxic text.
-        scores = dict(zip(ordinary, model.all_scores(ordinary), strict=True))
-        hard = sorted(ordinary, key=lambda w: (-scores[w], w))[: 4 * LANDMARKS]
+        read = ordinary[turn % PARTS :: PARTS]
+        scores = dict(zip(read, model.all_scores(read), strict=True))
+        hard = sorted(read, key=lambda w: (-scores[w], w))[: 2 * LANDMARKS]
+        wrong = [w for w in hard if scores[w] > MARGIN and w not in negatives]
         negatives |= dict.fromkeys(hard)
         vocabulary = list(seen)
         scores |= zip(vocabulary, model.all_scores(vocabulary), strict=True)
@@ -316,7 +349,7 @@ def train(bags: list[list[str]], marks: np.ndarray, rounds: int = 3) -> Toxicity
         chosen = Counter(witness(b, odds, i) for i, b in enumerate(toxic_bags))
         chosen = Counter({w: n for w, n in chosen.items() if n > 1 or scores[w] > 0})
         chosen += Counter(max(sorted(b), key=scores.__getitem__) for b in toxic_bags if chosen.keys().isdisjoint(b))
-        if chosen == last:
+        if chosen == last and not wrong:
             break
     return model
 

@@ -46,6 +46,18 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete scratch tables of which everything that is still needed has been written elsewhere."""
+    for table in tables:
+        spark = table.sparkSession
+        root = scratch_root(spark).removeprefix("file:").lstrip("/")
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            if root not in folder:
+                raise ValueError(f"{folder} is not below the scratch root")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; for a plain scan, the bytes on disk."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

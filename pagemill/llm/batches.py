@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -27,6 +28,19 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
     yield batch.slice(start)
 
 
+BLANK = re.compile(r"\s")
+
+
+def pieces(text: str, size: int = CHUNK_BYTES, cut: re.Pattern[str] = BLANK) -> Iterator[str]:
+    """The text in pieces of about ``size`` letters that begin where ``cut`` matches; together they are the text."""
+    at = 0
+    while at < len(text):
+        found = cut.search(text, at + size) if at + size < len(text) else None
+        end = found.start() if found else len(text)
+        yield text[at:end]
+        at = end
+
+
 def values(batch: pa.RecordBatch, column: str) -> list:
     return batch.column(column).to_pylist()
 

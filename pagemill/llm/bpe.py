@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pagemill.llm.batches import chunks, extended, values
+from pagemill.llm.batches import CHUNK_BYTES, chunks, extended, pieces, values
 from pagemill.session import ship_package
 
 NO_RANK = np.iinfo(np.int32).max
 CACHED_UNITS = 200_000
+DECODED = 1 << 16  # ids at a time
 NOT_BLANK = "\x1c\x1d\x1e\x1f"  # white space for str.split, not for the pattern
 # Fixed value: how the files of byte-level vocabularies without a pattern of their own split a text.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -184,7 +185,21 @@ class Vocabulary:
         return split
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of every text as little-endian unsigned 32-bit integers."""
+        """The ids of every text as little-endian unsigned 32-bit integers.
+
+        Where white space parts the words, a long text is encoded in pieces.
+        """
+        if not any(map(self.is_long, texts)):
+            return self.encode_some(texts)
+        return [b"".join(self.encode_some([p])[0] for p in (pieces(t) if self.is_long(t) else [t])) for t in texts]
+
+    def is_long(self, text: str | None) -> bool:
+        """Should and can the text be cut at white space?"""
+        if text is None or len(text) <= CHUNK_BYTES or not self.by_blanks or any(c in text for c in NOT_BLANK):
+            return False
+        return not any(c.isspace() for s in self.specials for c in s)
+
+    def encode_some(self, texts: list[str | None]) -> list[bytes]:
         split = [self.units(t) if t else [] for t in texts]
         if len(self.cache) > CACHED_UNITS:
             self.cache.clear()
@@ -198,8 +213,9 @@ class Vocabulary:
         return [b"".join(map(self.cache.__getitem__, us)) for us in split]
 
     def decode(self, ids: bytes | None) -> str:
-        parts = map(self.texts.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())
-        return self.joiner.join(parts).decode("utf-8", "replace")
+        numbers = np.frombuffer(ids or b"", "<u4")
+        parts = (map(self.texts.__getitem__, numbers[i : i + DECODED].tolist()) for i in range(0, len(numbers), DECODED))
+        return self.joiner.join(map(self.joiner.join, parts)).decode("utf-8", "replace")
 
 
 def _parts(step: dict | None, name: str) -> list[dict]:

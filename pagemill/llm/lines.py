@@ -42,6 +42,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, ByteType, IntegerType, LongType, StringType, StructField, StructType
 
 from pagemill.llm.batches import chunks, free_name, values
+from pagemill.llm.bits import bit_filter, may_hold
 from pagemill.llm.components import components
 from pagemill.llm.edits import INDEX, PROBE, distances, keys
 from pagemill.operators.ordering import null_safe_join
@@ -53,7 +54,7 @@ LEAST_CHARS = 16
 CROWD = 32
 GROUP = 1_024
 SAMPLE = 256  # rests of a large key by which the places to cut are chosen
-MOST_HASHES = 4_000_000  # lines whose hashes are sent to all tasks to find their texts: 32 MB
+LINES_AT_ONCE = 4_096
 BLANK = " \t\r\x0b\x0c"
 
 PLACE = ["last", "key", "text_hash", "line_no"]  # the order of first lines; ``last`` is true for a null key
@@ -91,9 +92,9 @@ def entries(texts: DataFrame, most: int = MOST, least: int = LEAST_CHARS) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                found = {s for t in values(part, "text") for s in lines_of(t, least)}
-                rows = [(k, r, h) for s in found for h in (line_hash(s),) for k, r, _, _ in keys(s, most)]
-                if rows:
+                found = list({s for t in values(part, "text") for s in lines_of(t, least)})
+                for at in range(0, len(found), LINES_AT_ONCE):
+                    rows = [(k, r, h) for s in found[at : at + LINES_AT_ONCE] for h in (line_hash(s),) for k, r, _, _ in keys(s, most)]
                     yield _batch(arrow, [list(c) for c in zip(*rows, strict=True)])
 
     return texts.select("text").mapInArrow(run, ENTRIES)
@@ -401,14 +402,11 @@ def close_lines(
 def _texts(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """``line, text`` of the lines with a hash in ``wanted``, each different text once.
 
-    Up to ``MOST_HASHES`` hashes are sent to the tasks, which then pass on only
-    those lines; more are joined.
+    A filter of fixed size tells the tasks most of the lines that aren't wanted;
+    what passes is joined.
     """
     wanted = cut_lineage(wanted, "wanted")
-    known = None
-    if wanted.count() <= MOST_HASHES:
-        known = np.sort(np.array([r["line"] for r in wanted.collect()], np.int64))
-    shared = texts.sparkSession.sparkContext.broadcast(known)
+    shared = texts.sparkSession.sparkContext.broadcast(bit_filter(wanted, "line"))
     arrow = to_arrow_schema(TEXTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -416,15 +414,11 @@ def _texts(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
             for part in chunks(batch, "text"):
                 found = list({s for t in values(part, "text") for s in lines_of(t, least)})
                 hashes = np.array([line_hash(s) for s in found], np.int64)
-                if shared.value is not None and len(found):
-                    place = np.minimum(np.searchsorted(shared.value, hashes), max(0, len(shared.value) - 1))
-                    at = np.flatnonzero(shared.value[place] == hashes) if len(shared.value) else np.zeros(0, int)
-                    found, hashes = [found[i] for i in at], hashes[at]
-                if found:
-                    yield _batch(arrow, [hashes, found])
+                at = np.flatnonzero(may_hold(shared.value, hashes))
+                if len(at):
+                    yield _batch(arrow, [hashes[at], [found[i] for i in at]])
 
-    lines = texts.select("text").mapInArrow(run, TEXTS)
-    return (lines if known is not None else lines.join(wanted, "line")).distinct()
+    return texts.select("text").mapInArrow(run, TEXTS).distinct().join(wanted, "line")
 
 
 def _verified(pairs: DataFrame, most: int) -> DataFrame:

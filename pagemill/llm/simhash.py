@@ -12,12 +12,17 @@ square: its members are entered under all values one bit away from them and
 under themselves instead. Two values are at most two bits apart exactly if they
 share such an entry, and an entry has at most 65 different members, so the work
 stays in proportion. Both ways lose no link.
+
+A long text is read in pieces and its bits are summed up, so it needs little
+more memory than its own size. Null and empty texts have the fingerprint 0; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pagemill.llm.batches import chunks, extended, free_name, values
+from pagemill.llm.batches import CHUNK_BYTES, chunks, extended, free_name, pieces, values
 from pagemill.llm.components import components
 from pagemill.operators.ordering import null_safe_join
 from pagemill.session import ship_package
@@ -38,38 +43,62 @@ BLOCKS = 5
 MAX_BITS = 2
 SHINGLE = 3
 SEED = 42
+HASHES = 1 << 17  # whose bits are counted together
+ASCII_BLANK = re.compile(r"[\x20\x09-\x0D]")
 CROWD = 64  # members of a block beyond which it isn't joined with itself
 
 
-def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> list[int]:
-    """XXH64 of every run of ``shingle`` words, repeats included; of all words if there are fewer."""
-    words = (text or "").encode("utf-8", "replace").lower().split()  # of bytes: A-Z only, and ASCII white space
-    if not words:
-        return []
-    joined = b" ".join(words)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return [digest(joined, SEED)]
-    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.r_[0, stops[:-1] + 1]
-    last = len(words) - shingle + 1
-    return [digest(joined[a:b], SEED) for a, b in zip(starts[:last].tolist(), stops[shingle - 1 :].tolist(), strict=True)]
-
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, size: int = CHUNK_BYTES) -> Iterator[list[int]]:
+    """XXH64 of every run of ``shingle`` words, repeats included; of all words if there are fewer.
 
-def simhash(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
+    The hashes come in lists, one for each piece of about ``size`` letters.
+    """
+    digest = xxhash.xxh64_intdigest
+    held: list[bytes] = []
+    several = False
+    for part in pieces(text or "", size, ASCII_BLANK):
+        words = held + part.encode("utf-8", "replace").lower().split()  # of bytes: A-Z only, and ASCII white space
+        held = words[max(0, len(words) - shingle + 1) :]
+        if len(words) < shingle:
+            held = words
+            continue
+        several = True
+        joined = b" ".join(words)
+        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = np.r_[0, stops[:-1] + 1]
+        last = len(words) - shingle + 1
+        yield [digest(joined[a:b], SEED) for a, b in zip(starts[:last].tolist(), stops[shingle - 1 :].tolist(), strict=True)]
+    if held and not several:
+        yield [digest(b" ".join(held), SEED)]
+
+
+def simhash(texts: list[str | None], shingle: int = SHINGLE, size: int = CHUNK_BYTES) -> np.ndarray:
     """The fingerprint of every text, as signed 64-bit integers; of no words it is 0."""
-    result = np.zeros(len(texts), np.uint64)
-    hashes = [shingle_hashes(t, shingle) for t in texts]
-    counts = np.array([len(h) for h in hashes], np.int64)
-    filled = np.flatnonzero(counts)
-    if len(filled):
-        flat = np.fromiter((h for hs in hashes for h in hs), np.uint64, int(counts.sum()))
+    ones, counts = np.zeros((len(texts), BITS), np.int64), np.zeros(len(texts), np.int64)
+    owners: list[int] = []
+    lists: list[list[int]] = []
+
+    def add() -> None:
+        sizes = np.array([len(h) for h in lists], np.int64)
+        flat = np.fromiter(chain.from_iterable(lists), np.uint64, int(sizes.sum()))
         bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        starts = np.cumsum(counts[filled]) - counts[filled]
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-        packed = np.packbits(2 * ones > counts[filled][:, None], axis=1, bitorder="little")
-        result[filled] = packed.view(np.uint64)[:, 0]
-    return result.view(np.int64)
+        np.add.at(ones, owners, np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int32))
+        np.add.at(counts, owners, sizes)
+        owners.clear()
+        lists.clear()
+
+    held = 0
+    for i, text in enumerate(texts):
+        for hashes in shingle_hashes(text, shingle, size):
+            owners.append(i)
+            lists.append(hashes)
+            held += len(hashes)
+            if held >= HASHES:
+                add()
+                held = 0
+    if lists:
+        add()
+    return np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0].view(np.int64)
 
 
 def fingerprints(df: DataFrame, column: str = "text", name: str = "fingerprint", shingle: int = SHINGLE) -> DataFrame:

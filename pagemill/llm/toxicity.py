@@ -8,17 +8,21 @@ itself, so that neither long nor monotonous words win.
 
 The machine is trained in the space of Nyström landmarks, words of toxic and of
 clean sentences. A labelled sentence is a bag of words: all words of a clean
-one are clean; of a toxic one a word that speaks most for toxicity is the toxic one,
-chosen anew in each round, and so are copies of it with a letter put in. Since the kernel is a sum over subsequences, the
-landmarks' weights collapse into one table of 32^3 numbers, and a word's score
-is a sum of look-ups. A text scores by its four most toxic words and its length,
+one are clean; of a toxic one the toxic word is one that speaks most for
+toxicity, and so are copies of it with a letter put in. The machine is trained
+in rounds: each adds the clean words that the last one took for toxic, until
+there are none or ``ROUNDS`` are over. Accents, digits and the start of a word
+are letters of their own; other scripts share ``LETTERS - OTHERS`` codes. Since
+the kernel is a sum over subsequences, the landmarks' weights collapse into one
+table of ``LETTERS`` cubed numbers, and a word's score is a sum of look-ups. A text scores by its four most toxic words and its length,
 passed through a logistic curve that is fitted on texts the machine has not
 seen: the two halves of the sample judge each other.
 
 White space parts words; a run of single letters (``i d i o t``) is one word,
 and marks inside a word are skipped. Null and empty texts have no word and
 score as the bias alone, which is clean. Repeated rows score alike; an empty
-table gives an empty result. Without labels of both kinds every text scores 0.
+table gives an empty result; an existing column of the score's name is replaced.
+A long text is read in pieces. Without labels of both kinds every text scores 0.
 """
 
 from __future__ import annotations
@@ -26,10 +30,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from heapq import nlargest
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pagemill.llm.batches import chunks, extended, values
+from pagemill.llm.batches import CHUNK_BYTES, chunks, extended, pieces, values
 from pagemill.llm.labelled import Sample, fit_sigmoid, sample_labelled, sigmoid
 from pagemill.session import ship_package
 
@@ -60,6 +64,7 @@ PARAGRAPH = 64  # words
 CACHED_WORDS = 200_000
 NO_WORD = -1e9
 
+APART = re.compile(r"(?<=\w\w)\s+(?=\w\w)")  # a cut here parts no run of single letters
 SPACED = re.compile(r" [^\W\d_](?: [^\W\d_](?= )){2,}")
 MARKS = regex.compile(r"[\p{M}\0]")
 
@@ -192,20 +197,28 @@ class Toxicity:
 
     def raw(self, texts: list[str | None], cache: dict[str, float]) -> np.ndarray:
         """Of every text the mean score of its two and of its four most toxic words, and how much longer than a paragraph it is."""
-        split = [words_of(t) for t in texts]
+        worst, counts = np.full((len(texts), 4), self.bias), np.zeros(len(texts))
+        split = {i: words_of(t) for i, t in enumerate(texts) if len(t or "") <= CHUNK_BYTES}
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        new = list(set().union(*split).difference(cache))
-        cache.update(zip(new, self.all_scores(new), strict=True))
-        worst = np.full((len(texts), 4), self.bias)
-        for row, words in zip(worst, split, strict=True):
-            found = nlargest(4, map(cache.__getitem__, words))
-            row[: len(found)] = found
+        self._learn_words(split.values(), cache)
+        for i, text in enumerate(texts):
+            top: list[float] = []
+            for words in [split[i]] if i in split else map(words_of, pieces(text, cut=APART)):
+                if i not in split:
+                    self._learn_words([words], cache)
+                top = nlargest(4, chain(top, map(cache.__getitem__, words)))
+                counts[i] += len(words)
+            worst[i, : len(top)] = top
         worst = np.tanh(worst / 2)  # far beyond the margin a score says little more
-        counts = np.fromiter(map(len, split), float, len(split))
         # The longer a text beyond a paragraph, the higher its highest scores by chance; a short one gains nothing.
         return np.column_stack([worst[:, :2].mean(1), worst.mean(1), np.log(np.maximum(counts, PARAGRAPH) / PARAGRAPH)])
 
+    def _learn_words(self, split: Iterable[list[str]], cache: dict[str, float]) -> None:
+        """Score the words that the cache doesn't have."""
+        new = list(set().union(*split).difference(cache))
+        cache.update(zip(new, self.all_scores(new), strict=True))
+
     def probability(self, raw: np.ndarray) -> np.ndarray:
         return sigmoid(raw @ self.slopes + self.shift)
 

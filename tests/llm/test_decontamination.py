@@ -1,3 +1,8 @@
+import random
+import re
+import time
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from pagemill.llm import decontamination as D
@@ -47,11 +52,52 @@ def test_share_and_places(spark):
     assert found(spark, docs, [(9, item), (9, item), (10, None), (11, "too short")]) == [(1, 9, True), (2, 9, True), (5, 9, True), (6, 9, True)]
 
 
-def test_large_benchmarks_are_joined_alike(spark, monkeypatch):
-    docs = [(1, OTHER), (2, "nothing of it is in here at all"), (None, QUESTION)]
-    small = found(spark, [d for d in docs if d[0]], [(1, QUESTION)])
-    monkeypatch.setattr(D, "MOST_HASHES", 0)
-    assert found(spark, [d for d in docs if d[0]], [(1, QUESTION)]) == small == [(1, 1, False)]
+def test_a_full_filter_changes_nothing(spark):
+    frame, bench = spark.createDataFrame([(1, OTHER), (2, "nothing of it is in here at all")], "doc_id long, text string"), items(spark, [(1, QUESTION)])
+    for bits in (6, 25):
+        assert sorted((r.doc_id, r.item_id, r.verbatim) for r in D.leaks(frame, bench, bits=bits).collect()) == [(1, 1, False)]
+
+
+def test_short_items(spark):
+    bench = [(1, "Open Sesame!"), (2, "12 kg"), (3, "..."), (4, "word")]
+    docs = [(1, "he said open, sesame"), (2, "it is 12 kg now"), (3, "it is 13 kg, open it"), (4, "sesame open"), (5, "a Word")]
+    assert found(spark, docs, bench) == [(1, 1, True), (2, 2, True), (5, 4, True)]
+
+
+TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*")
+
+
+def test_words_are_those_of_a_pattern():
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choice("aB'’.,:1 29\tÉéß漢🙂Σ_-!\"”)…\n") for _ in range(rng.randrange(40)))
+        words = D.words_of(text)
+        found = [text[a:b] for a, b in zip(words.starts, words.ends)]
+        assert found == [t for t in TOKEN.findall(text.replace("🙂", "字"))] or "🙂" in text
+        kinds = [D.DIGITS if w[0].isdigit() else D.CAPITAL if w[0].isupper() and w[1:].islower() else D.PLAIN for w in found]
+        assert (words.codes & np.uint64(3)).tolist() == kinds or "'" in text or "’" in text or "ß" in text
+        ends = []
+        for unit in text.split():
+            own = TOKEN.findall(unit.replace("🙂", "字"))
+            ends += [False] * (len(own) - 1) + [unit.rstrip("\"'”’)").endswith((".", "!", "?", ":", "…"))] * bool(own)
+        assert [bool(c & np.uint64(D.ENDS)) for c in words.codes] == ends
+    a, b, c = D.words_of("Word WORD"), D.words_of("xx word"), D.words_of("wrod w'ord")
+    assert len({int(x) & D.CODE for x in (*a.codes, b.codes[1])}) == 1 and len({int(x) & D.CODE for x in (a.codes[0], *c.codes)}) == 3
+
+
+def test_texts_in_pieces():
+    text = " ".join([QUESTION, "... -- ?!", OTHER, "No. 12 kg 5 Ben", "x" * 90, QUESTION.upper()]) * 3
+    expected = sorted(map(repr, zip(*D.group_windows([D.Segment(0, text)], None, [2]), strict=True)))
+    for size in (1, 7, 50, 333, 1 << 20):
+        got = [w for group in D.segment_groups([text, None, ""], size) for w in zip(*D.group_windows(group, None, [2]), strict=True)]
+        assert sorted(map(repr, got)) == expected
+
+
+def test_a_long_list_of_numbers_takes_no_minutes():
+    start = time.perf_counter()
+    numbers = [(w, o - w, [("1", "1")]) for w in range(120) for o in range(120)]
+    assert D.aligned(numbers, 96) == (120, True)
+    assert time.perf_counter() - start < 5
 
 
 def test_corners(spark):

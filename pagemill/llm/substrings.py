@@ -17,8 +17,9 @@ prefix with a neighbour reaches ``LENGTH``. A task does this for many anchors at
 once, in memory that is bounded: it takes ``ROUND_STRINGS`` strings together.
 An anchor with more than ``CROWD`` different contexts is split first: windows
 that start near each other have a long core in common, and only contexts with
-the same core are compared, for those windows alone; a group that stays large
-is split on until its windows are equal. Only hashes are moved for that.
+the same core are compared, for those windows alone. Of contexts that are equal
+in all these windows one goes on, and a group that stays large is split on.
+Only hashes are moved for that.
 
 Null texts are empty. Texts shorter than ``LENGTH`` lose nothing. Rows with the
 same key and text are two documents, so such a text of ``LENGTH`` bytes or more
@@ -41,11 +42,11 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stru
 from pagemill.llm.batches import chunks, free_name, values
 from pagemill.operators.ordering import null_safe_join
 from pagemill.session import ship_package
-from pagemill.storage import cut_lineage
+from pagemill.storage import cut_lineage, drop_scratch
 
 LENGTH = 400
 GRAM = 100
-CROWD = 256
+CROWD = 1_024
 ROUND_STRINGS = 8_192
 PARTS = 8
 PIECE = 1 << 20  # window starts looked at together
@@ -276,24 +277,32 @@ def ranges(low: int, high: int) -> list[tuple[int, int]]:
 
 
 def split_crowds(strings: DataFrame, current: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``current(anchor, context, low, high)`` to the same for parts of the range, with a ``group``.
+    """``current(anchor, context, low, high)`` to the same for parts of the range, with a ``group`` and a ``whole``.
 
     Windows that start ``low`` to ``high`` bytes before the anchor have a core
     in common; only contexts with the same core, the group, can share one.
+    Contexts with the same ``whole`` have the same windows in the range.
     """
-    schema = StructType([StructField("group", LongType()), *HASHES, *RANGE])
+    schema = StructType([StructField("group", LongType()), StructField("whole", LongType()), *HASHES, *RANGE])
     arrow = to_arrow_schema(schema)
     columns = ["anchor", "context", "left", "string", "low", "high"]
 
+    def hashed(data: bytes, seed: int) -> int:
+        value = xxhash.xxh64_intdigest(data, seed)
+        return value - (1 << 64) if value >> 63 else value
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "string", PIECE):
                 rows = []
                 for anchor, context, left, string, low, high in zip(*(values(part, c) for c in columns), strict=True):
+                    right = len(string) - left
                     for a, b in ranges(low, high):
-                        if left >= a and len(string) - left >= length - b:
-                            core = xxhash.xxh64_intdigest(string[left - a : left + length - b], (a << 16) | b)
-                            rows.append((core - (1 << 64) if core >> 63 else core, anchor, context, a, b))
+                        if left >= a and right >= length - b:
+                            core = hashed(string[left - a : left + length - b], (a << 16) | b)
+                            first, last = min(left, b), min(right, length - a)
+                            whole = hashed(string[left - first : left + last], (a << 48) | (b << 32) | (first << 16) | last)
+                            rows.append((core, whole, anchor, context, a, b))
                 if rows:
                     yield _rows(arrow, list(zip(*rows, strict=True)))
 
@@ -302,21 +311,26 @@ def split_crowds(strings: DataFrame, current: DataFrame, length: int = LENGTH) -
 
 
 def crowded_groups(strings: DataFrame, crowd: int, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """Contexts of crowded anchors as groups of at most ``crowd``, and the single windows that repeat in larger ones.
+    """Contexts of crowded anchors as groups of at most ``crowd``, and ranges of windows that repeat.
 
-    Ranges are split until a group is small enough or holds one window only,
-    which then repeats. Only hashes are moved on the way.
+    Contexts that have all windows of a range in common are one from there on,
+    and those windows repeat. Ranges of the others are split until a group is
+    small enough; a range of one window leaves none. Only hashes are moved on
+    the way, and what a round has read is deleted when the next one has it.
     """
     current = strings.select("anchor", "context", F.lit(0).alias("low"), F.lit(length - gram).alias("high"))
     few, windows = [], []
     while True:
         parts = cut_lineage(split_crowds(strings, current, length), "parts")
-        sizes = cut_lineage(parts.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1"), "part-sizes")
-        shared = cut_lineage(parts.join(sizes, "group"), "shared")
-        single = F.col("low") == F.col("high")
-        windows.append(shared.filter(single).select("anchor", "context", F.col("low").alias("offset")))
-        few.append(shared.filter(~single & (F.col("n") <= crowd)).drop("n"))
-        current = shared.filter(~single & (F.col("n") > crowd)).select("anchor", "context", "low", "high")
+        place = F.struct("anchor", "context", "low", "high")
+        folded = cut_lineage(parts.groupBy("group", "whole").agg(F.count("*").alias("m"), F.min(place).alias("one")), "folded")
+        sizes = cut_lineage(folded.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1"), "part-sizes")
+        alike = parts.join(folded.filter("m > 1").select("group", "whole"), ["group", "whole"])
+        windows.append(cut_lineage(alike.select("anchor", "context", "low", "high"), "alike"))
+        left = cut_lineage(folded.join(sizes, "group").select("group", "m", "n", "one.*"), "left")
+        drop_scratch(parts, folded, sizes)
+        few.append(left.filter(F.col("n") <= crowd).select("group", "anchor", "context", "low", "high", (F.col("m") == 1).alias("single")))
+        current = left.filter(F.col("n") > crowd).select("anchor", "context", "low", "high")
         if current.isEmpty():
             return reduce(DataFrame.unionByName, few), reduce(DataFrame.unionByName, windows)
 
@@ -329,6 +343,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", column: str = "text", l
     groups = found.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("differ")).filter("n > 1")
     groups = cut_lineage(groups.drop("n"), "repeated")
     places = cut_lineage(found.join(groups, "anchor"), "places")
+    drop_scratch(found, groups)
     whole = [*OWNER, (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop")]
     long = F.col("left") + F.col("right") >= length
     alike = places.filter(~F.col("differ") & long).select(*whole)
@@ -345,10 +360,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", column: str = "text", l
     if not sizes.isEmpty():
         crowded = cut_lineage(strings.join(sizes.select("anchor"), "anchor", "left_semi"), "crowded")
         groups, windows = crowded_groups(crowded, crowd, length, gram)
-        few = few.unionByName(crowded.join(groups, ["anchor", "context"]))
-        start = F.col("pos") - F.col("offset")
-        single = crowded.filter("alone").join(windows, ["anchor", "context"])
-        found = found.unionByName(single.select(*OWNER, start.cast("int").alias("start"), (start + length).cast("int").alias("stop")))
+        shared = crowded.join(groups, ["anchor", "context"])
+        few = few.unionByName(shared.withColumn("alone", F.col("alone") & F.col("single")).drop("single"))
+        right = F.octet_length("string") - F.col("left")
+        start = F.col("pos") - F.least("high", "left")
+        stop = F.col("pos") - F.greatest(F.col("low"), length - right) + length
+        ranged = crowded.filter("alone").join(windows, ["anchor", "context"])
+        found = found.unionByName(ranged.select(*OWNER, start.cast("int").alias("start"), stop.cast("int").alias("stop")))
     return found.unionByName(compared(few, length, gram))
 
 

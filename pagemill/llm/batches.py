@@ -7,6 +7,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+
+from pagemill.storage import cut_lineage
 
 CHUNK_BYTES = 1 << 20
 
@@ -57,3 +60,12 @@ def free_name(taken: list[str], name: str) -> str:
     while name.lower() in lower:
         name = f"_{name}"
     return name
+
+
+MOST_TASKS = 100_000
+
+
+def dealt_ranges(ranges: DataFrame, *columns: str) -> DataFrame:
+    """A small table whose rows are much work each, neighbours in a task and a task for each row up to ``MOST_TASKS``."""
+    stored = cut_lineage(ranges, "ranges")
+    return stored.repartitionByRange(max(1, min(stored.count(), MOST_TASKS)), *columns)

@@ -113,7 +113,7 @@ def op7_shards(spark, sf):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     index = shards.write_shards(docs, scratch_path(spark, "shards"), ranks, public_tokenizers.PATTERN, seed=20)
     tokens = shards.read_shards(spark, index).select("slot", F.sha2("tokens", 256).alias("tokens_sha256"))
-    return index.select("slot", "shard", "n_tokens", F.col("docs").alias("doc_ids")).join(tokens, "slot")
+    return index.select("slot", "shard", "n_tokens", F.col("docs").alias("doc_ids")).join(tokens.hint("merge"), "slot")
 
 
 @query()

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from pagemill.llm.batches import chunks, values
+from pagemill.llm.batches import chunks, dealt_ranges, values
 from pagemill.session import ship_package
 from pagemill.storage import cut_lineage
 
@@ -257,7 +257,7 @@ def write_shards(
         if bundles:
             yield store(number, bundles)
 
-    dealt = pieces.repartition(max(1, -(-sequences // shard)), "shard").sortWithinPartitions("shard")
+    dealt = pieces.repartitionByRange(max(1, -(-sequences // shard)), "shard").sortWithinPartitions("shard")
     index = dealt.mapInArrow(run, INDEX)
     if "://" in folder:
         scheme, _, rest = folder.partition("://")
@@ -287,4 +287,4 @@ def read_shards(spark: SparkSession, index: DataFrame, first_slot: int = 0, run_
                 rows = [data[i : i + stride] for i in range(0, len(data), stride)]
                 yield pa.RecordBatch.from_arrays([pa.array(range(low, last + 1), pa.int64()), pa.array(rows, arrow.field(1).type)], schema=arrow)
 
-    return runs.repartition(F.col("path"), F.col("low")).mapInArrow(run, schema)
+    return dealt_ranges(runs, "path", "low").mapInArrow(run, schema)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from pagemill.llm.batches import chunks, values
+from pagemill.llm.batches import chunks, dealt_ranges, values
 from pagemill.session import ship_package
 from pagemill.storage import cut_lineage
 
@@ -252,7 +252,7 @@ def read_records(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE
     ship_package(spark)
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start")
     ranges = files.filter("bytes > 0").select("path", "bytes", start)
-    ranges = ranges.repartition(F.col("path"), F.col("start"))
+    ranges = dealt_ranges(ranges, "path", "start")
     arrow = to_arrow_schema(RECORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.llm import shards
 from pagemill.llm.queries import QUERIES
@@ -55,6 +56,8 @@ def test_reading_goes_on_from_a_slot(spark):
     start = random.Random(1).randrange(len(whole))
     rest = {r.slot: r.tokens for r in shards.read_shards(spark, index, start, 7).collect()}
     assert rest == {s: t for s, t in whole.items() if s >= start}
+    read = shards.read_shards(spark, index, run_slots=7)
+    assert read.rdd.getNumPartitions() > len(whole) // 7 and read.groupBy(F.spark_partition_id()).count().count() > 20
 
 
 def test_empty_and_query(spark):

@@ -51,6 +51,15 @@ def test_every_record_once_in_any_ranges(spark, range_bytes):
     assert {k for k, v in same.items() if v == ("revisit", "<urn:page:1>")} == set(same) - {"<urn:page:1>"}
 
 
+def test_reading_uses_a_task_a_range(spark):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 400) for i in range(40)], "page_id long, url string, html string")
+    files = warc.write_pages(pages, scratch_path(spark, "warc"), file_bytes=600)
+    ranges = sum(-(-r.bytes // 200) for r in files.collect())
+    found = warc.read_records(spark, files, 200)
+    assert found.rdd.getNumPartitions() == ranges > 20
+    assert found.groupBy(F.spark_partition_id()).count().count() > 10 and found.count() == 40
+
+
 def test_members_are_plain_gzip_and_damage_is_skipped(spark, tmp_path):
     records = [warc.page_record(i, "u", f"page {i}" * 50, "d", None, "2020-01-01T00:00:00Z") for i in range(5)]
     assert gzip.decompress(b"".join(records)).count(b"WARC/1.1") == 5

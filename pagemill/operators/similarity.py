@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from pagemill.operators.ordering import lookup_join, with_index
+from pagemill.operators.ordering import lookup_join
 from pagemill.storage import cut_lineage
 
 # Distance that covers a query, its decay, and the thresholds.
@@ -33,31 +34,49 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
 
+def _packed(rows: DataFrame, name: str, per_block: int) -> DataFrame:
+    """``ids`` and ``data`` of about ``per_block`` rows of ``id, v`` a block, as binary doubles; ``name`` numbers the blocks from 0."""
+    count = max(1, math.ceil(rows.count() / per_block))
+    schema = T.StructType([T.StructField(name, T.IntegerType()), T.StructField("ids", T.ArrayType(rows.schema["id"].dataType)), T.StructField("data", T.BinaryType())])
+
+    def pack(key: tuple, block: pa.Table) -> pa.Table:
+        data = _unit(block.column("v").to_pandas()).tobytes()
+        columns = [[key[0].as_py()], [block.column("id").to_pylist()], [data]]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, to_arrow_schema(schema), strict=True)], schema=to_arrow_schema(schema))
+
+    dealt = rows.withColumn(name, F.pmod(F.xxhash64("id", "v"), F.lit(count)).cast("int"))
+    return cut_lineage(dealt.groupBy(name).applyInArrow(pack, schema), "blocks")
+
+
 def best_matches(pages: DataFrame, queries: DataFrame, query_id: str, vector: str = "embedding") -> DataFrame:
     """The highest cosine any page reaches for each query.
 
-    Queries are the few variations of one question. They go to the tasks in
-    blocks of at most ``QUERY_BLOCK`` vectors, one pass over the pages for a
-    block; each batch of pages gives one row a query before anything is shuffled.
+    Queries and pages are packed into blocks by the tasks; pages are read once.
+    Every block of pages meets every block of queries, and such a pair gives one
+    row a query, so what is shuffled after that is small. Vectors without a
+    value are left out; without pages there are no rows.
     """
-    slim = pages.select(vector).filter(F.col(vector).isNotNull())
-    numbered = with_index(queries.select(query_id, vector), query_id, name="_index")
-    passes = [_matches(slim, numbered, first, query_id, vector) for first in range(0, queries.count(), QUERY_BLOCK)]
-    if not passes:
-        return slim.limit(0).select(F.lit(0).cast("long").alias(query_id), F.lit(0.0).alias("similarity"))
-    return reduce(DataFrame.unionByName, passes)
+    asked = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).alias("id"), F.col(vector).alias("v"))
+    held = pages.filter(F.col(vector).isNotNull()).select(F.lit(None).cast("long").alias("id"), F.col(vector).alias("v"))
+    asking, answering = _packed(asked, "query_block", QUERY_BLOCK), _packed(held, "page_block", BLOCK_ROWS).drop("ids")
+    blocks = asking.agg(F.max("query_block")).first()[0]
+    schema = T.StructType([queries.schema[query_id], T.StructField("similarity", T.DoubleType())])
+    arrow = to_arrow_schema(schema)
 
-
-def _matches(pages: DataFrame, queries: DataFrame, first: int, query_id: str, vector: str) -> DataFrame:
-    block = queries.filter((F.col("_index") >= first) & (F.col("_index") < first + QUERY_BLOCK)).toPandas()
-    ids, matrix = block[query_id].to_numpy(), _unit(block[vector])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({query_id: ids, "similarity": (_unit(batch[vector]) @ matrix.T).max(axis=0)})
+            for k in range(batch.num_rows):
+                ids = batch.column("ids")[k].as_py()
+                matrix = np.frombuffer(batch.column("data")[k].as_py()).reshape(len(ids), -1)
+                best = np.full(len(ids), -np.inf)
+                page = np.frombuffer(batch.column("pages")[k].as_py()).reshape(-1, matrix.shape[1])
+                for at in range(0, len(page), QUERY_BLOCK):
+                    best = np.maximum(best, (page[at : at + QUERY_BLOCK] @ matrix.T).max(axis=0))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, arrow[0].type), pa.array(best)], schema=arrow)
 
-    found = pages.mapInPandas(run, f"`{query_id}` long, similarity double")
+    numbers = F.sequence(F.lit(0), F.lit(blocks if blocks is not None else 0))
+    paired = answering.select(F.col("data").alias("pages"), F.explode(numbers).alias("query_block"))
+    found = paired.join(asking, "query_block").select("pages", "ids", "data").mapInArrow(run, schema)
     return found.groupBy(query_id).agg(F.max("similarity").alias("similarity"))
 
 
@@ -112,6 +131,52 @@ def near_duplicates(df: DataFrame, key: str, threshold: float = OVERLAP, vector:
     return joined.select(F.col("id").alias(key), copy.alias("duplicate_of")).filter(F.col("duplicate_of").isNotNull())
 
 
+def likely_duplicates(
+    df: DataFrame, key: str, threshold: float = OVERLAP, vector: str = "embedding", recall: float = 0.97, bits: int = 12, seed: int = 7
+) -> DataFrame:
+    """Like :func:`near_duplicates`, of about a share ``recall`` of the vectors that have a copy, for large tables.
+
+    Each of some bands gives a vector ``bits`` signs, those of its products with
+    seeded random hyperplanes; vectors with the same signs in a band are
+    compared. A pair at the threshold agrees in a sign with the probability
+    ``1 - angle / pi``; there are as many bands as make it meet with the
+    probability ``recall``, nearer pairs meet more surely. What meets is
+    verified, so no pair below the threshold is given. At 0.85, 12 bits and 0.97
+    that are 35 bands; of unrelated vectors one pair in 120 is compared.
+    """
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(agree**bits, 1 - 1e-12))))
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).filter(F.col("v").isNotNull())
+    folded = cut_lineage(rows.groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("_n")), "vectors")
+    placed = cut_lineage(_banded(folded.select(F.col("first").alias("id"), "v"), bands, bits, seed), "bands")
+    near = _earliest_in_cells(placed, threshold).withColumnRenamed("id", "first")
+    copies = folded.join(near, "first", "left")
+    copy = F.least(F.when(F.col("first") < F.col("id"), F.col("first")), F.col("near"))
+    joined = lookup_join(rows, copies, "v")
+    return joined.select(F.col("id").alias(key), copy.alias("duplicate_of")).filter(F.col("duplicate_of").isNotNull())
+
+
+def _banded(vectors: DataFrame, bands: int, bits: int, seed: int) -> DataFrame:
+    """``cell, is_home, id, v``: every vector once a band, the cell being the band and its signs."""
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        planes: dict[int, np.ndarray] = {}
+        weights = 1 << np.arange(bits, dtype=np.int64)
+        for batch in batches:
+            for at in range(0, len(batch), QUERY_BLOCK):
+                part = batch.iloc[at : at + QUERY_BLOCK]
+                unit = _unit(part["v"])
+                width = unit.shape[1]
+                if width not in planes:
+                    planes[width] = np.random.default_rng(seed).normal(size=(width, bands * bits))
+                signs = (unit @ planes[width] > 0).reshape(len(part), bands, bits)
+                cells = (signs @ weights) + (np.arange(bands, dtype=np.int64) << bits)
+                data = np.repeat(np.array([u.tobytes() for u in unit], object), bands)
+                yield pd.DataFrame({"cell": cells.ravel(), "is_home": True, "id": np.repeat(part["id"].to_numpy(), bands), "v": data})
+
+    return vectors.mapInPandas(place, "cell long, is_home boolean, id long, v binary")
+
+
 def _earliest_near(vectors: DataFrame, threshold: float) -> DataFrame:
     # A bounded, repeatable choice of pivots, one for each block of vectors: the lowest hashes.
     wanted = min(math.ceil(vectors.count() / BLOCK_ROWS), MAX_PIVOTS)
@@ -139,12 +204,17 @@ def _earliest_near(vectors: DataFrame, threshold: float) -> DataFrame:
 
     # At most one row for each pivot.
     placed = vectors.mapInPandas(place, "cell int, is_home boolean, id long, v binary")
-    placed = cut_lineage(placed, "cells")
+    return _earliest_in_cells(cut_lineage(placed, "cells"), threshold)
+
+
+def _earliest_in_cells(placed: DataFrame, threshold: float) -> DataFrame:
+    """The earliest near member of a cell for every visitor of it; ``placed`` has a row a cell that a vector visits."""
     sizes = placed.groupBy("cell").agg(
         F.ceil(F.count_if("is_home") / F.lit(BLOCK_ROWS)).cast("int").alias("member_blocks"),
         F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("visit_blocks"),
+        F.count("*").alias("n"),
     )
-    sized = placed.join(sizes.filter("member_blocks > 0"), "cell")
+    sized = placed.join(sizes.filter("member_blocks > 0 AND n > 1").drop("n"), "cell")
     spot = F.xxhash64("id")
     members = sized.filter("is_home").select(
         "cell",
@@ -163,19 +233,44 @@ def _earliest_near(vectors: DataFrame, threshold: float) -> DataFrame:
         "v",
     )
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        is_member = block["is_member"].to_numpy()
-        if is_member.all() or not is_member.any():
-            return pd.DataFrame({"id": [], "near": []}, dtype="int64")
-        unit = np.frombuffer(b"".join(block["v"]), dtype=np.float64).reshape(len(block), -1)
-        ids = block["id"].to_numpy()
-        order = np.argsort(ids[is_member])
-        member_ids, member_unit = ids[is_member][order], unit[is_member][order]
-        visit_ids = ids[~is_member]
-        close = unit[~is_member] @ member_unit.T >= threshold
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("near", T.LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def compare(ids: np.ndarray, member: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if member.all() or not member.any():
+            return ids[:0], ids[:0]
+        order = np.argsort(ids[member])
+        member_ids, visit_ids = ids[member][order], ids[~member]
+        close = unit[~member] @ unit[member][order].T >= threshold
         close &= member_ids[None, :] < visit_ids[:, None]
         hit = close.any(axis=1)
-        return pd.DataFrame({"id": visit_ids[hit], "near": member_ids[close.argmax(axis=1)[hit]]})
+        return visit_ids[hit], member_ids[close.argmax(axis=1)[hit]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The blocks of a task one after the other; there can be very many of a few vectors."""
+        held: list[pa.RecordBatch] = []
+
+        def done(table: pa.Table) -> pa.RecordBatch:
+            ids, member, first = table.column("id").to_numpy(), table.column("is_member").to_numpy(), edges(table)
+            unit = np.frombuffer(b"".join(table.column("v").to_pylist())).reshape(len(ids), -1)
+            found = [compare(ids[a:b], member[a:b], unit[a:b]) for a, b in zip(first, [*first[1:], len(ids)], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], schema=arrow)
+
+        def edges(table: pa.Table) -> np.ndarray:
+            keys = np.column_stack([table.column(c).to_numpy() for c in ("cell", "member_block", "visit_block")])
+            return np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                table = pa.Table.from_batches(held)
+                last = int(edges(table)[-1])  # the last block can go on in the next batch
+                if last:
+                    yield done(table.slice(0, last))
+                    held = table.slice(last).combine_chunks().to_batches()
+        if held:
+            yield done(pa.Table.from_batches(held))
 
-    found = members.unionByName(visits).groupBy("cell", "member_block", "visit_block").applyInPandas(compare, "id long, near long")
-    return found.groupBy("id").agg(F.min("near").alias("near"))
+    keys = ["cell", "member_block", "visit_block"]
+    dealt = members.unionByName(visits).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.select(*keys, "is_member", "id", "v").mapInArrow(run, schema).groupBy("id").agg(F.min("near").alias("near"))

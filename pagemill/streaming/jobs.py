@@ -18,6 +18,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from pagemill.functions import urls
 from pagemill.sources.schemas import PAGE
+from pagemill.streaming.state import run_to_state
 
 
 def read_stream(
@@ -131,8 +132,28 @@ def stream_idle(events: DataFrame, key: str, ts: str, gap: str, late: str) -> Da
     )
 
 
+def arrived_rows(query: StreamingQuery, name: str = "arrived") -> int:
+    """The rows that a query of :func:`window_counts` has read, late ones among them; no job of its own."""
+    seen = [p.observedMetrics[name]["rows"] for p in query.recentProgress if name in p.observedMetrics]
+    return sum(seen)
+
+
 def resume_crawl(
-    spark: SparkSession, folder: str, state: str, checkpoint: str, keywords: Sequence[str], weight: float = 1.0, files: int = 5
+    spark: SparkSession, folder: str, state: str, checkpoint: str, keywords: Sequence[str], weight: float = 1.0, files: int = 5, buckets: int = 16
 ) -> StreamingQuery:
-    """Save the results of new page files; run again, it goes on after the last saved batch."""
-    return run_to_versions(stream_scores(stream_pages(spark, folder, files=files), keywords, weight), state, checkpoint)
+    """Save the result of every page of new files by its key; run again, it goes on after the last saved batch."""
+    return run_to_state(stream_scores(stream_pages(spark, folder, files=files), keywords, weight), state, checkpoint, ["page_id"], buckets=buckets)
+
+
+def window_counts(events: DataFrame, ts: str, window: str, late: str, *by: str, name: str = "arrived") -> DataFrame:
+    """Counts of every window of event time, each given once, when the watermark has passed its end.
+
+    A row that arrives when its window has been given is left out; a window
+    stays open for ``late`` after its end. The progress of the query has the
+    number of rows that have arrived, see :func:`arrived_rows`, so what the
+    windows lack is known.
+    """
+    events = events.observe(name, F.count("*").alias("rows"))
+    slot = F.window(ts, window)
+    counts = events.withWatermark(ts, late).groupBy(slot, *by).agg(F.count("*").alias("n"))
+    return counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "n")

@@ -108,3 +108,16 @@ def coverage_summary(spark, sf):
 def near_duplicates(spark, sf):
     """At a threshold the given vectors reach; the default is 0.85."""
     return S.near_duplicates(table(spark, sf, "embeddings"), "vec_id", 0.4)
+
+
+@query(
+    """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    c AS (SELECT vec_id, e FROM v UNION ALL SELECT vec_id + 1000000, list_transform(e, lambda x, i: x + CASE WHEN i % 9 = vec_id % 9 THEN 0.02 ELSE 0 END) FROM v),
+    u AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM c)
+    SELECT a.vec_id, min(b.vec_id) AS duplicate_of FROM u a JOIN u b ON b.vec_id < a.vec_id AND list_dot_product(a.e, b.e) >= 0.85 GROUP BY a.vec_id"""
+)
+def likely_duplicates(spark, sf):
+    """The vectors and a slightly moved copy of each, by bands of random hyperplanes at the default threshold."""
+    plain = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    moved = F.transform("embedding", lambda x, i: x + F.when((i + 1) % 9 == F.col("vec_id") % 9, 0.02).otherwise(0.0))
+    return S.likely_duplicates(plain.unionByName(plain.select((F.col("vec_id") + 1_000_000).alias("vec_id"), moved.alias("embedding"))), "vec_id")

@@ -8,6 +8,7 @@ from pagemill.operators.html import extract_blocks
 from pagemill.operators.links import extract_links
 from pagemill.storage import scratch_path
 from pagemill.streaming import jobs as S
+from pagemill.streaming.state import read_state, run_to_state
 from pagemill.suite.registry import query, table
 from pagemill.suite.urls import KEYWORDS, SQL_SCORE
 
@@ -71,10 +72,50 @@ def stream_resume(spark, sf):
     pages = table(spark, sf, "pages")
     for lot in (0, 1):
         pages.filter(F.col("page_id") % 2 == lot).repartition(4, "page_id").write.mode("append").parquet(folder)
-        S.finish(S.resume_crawl(spark, folder, state, checkpoint, KEYWORDS, 0.8, files=3))
+        S.finish(S.resume_crawl(spark, folder, state, checkpoint, KEYWORDS, 0.8, files=3, buckets=4))
     schema = S.stream_scores(pages, KEYWORDS, 0.8).schema
-    saved = S.latest_versions(spark, state, ["page_id"], schema)
-    return saved.withColumn("score", F.round("score", 9))
+    return read_state(spark, state, schema).withColumn("score", F.round("score", 9))
+
+
+@query(
+    """WITH e AS (SELECT event_id, user_id, event_type, value FROM events),
+    r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS place FROM e)
+    SELECT user_id, event_type, event_id, value FROM r WHERE place = 1"""
+)
+def stream_upsert(spark, sf):
+    """The newest event of every user and type, kept by key while the events arrive in several batches."""
+    folder, state, checkpoint = (scratch_path(spark, name) for name in ("event-files", "newest", "newest-checkpoint"))
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    for lot in range(3):  # ids rise from lot to lot
+        part = low + (high - low + 1) * lot // 3, low + (high - low + 1) * (lot + 1) // 3
+        events.filter((F.col("event_id") >= part[0]) & (F.col("event_id") < part[1])).write.mode("append").parquet(folder)
+        arriving = S.read_stream(spark, folder, events.schema)
+        S.finish(run_to_state(arriving, state, checkpoint, ["user_id", "event_type"], F.col("event_id"), buckets=8))
+    return read_state(spark, state, events.schema)
+
+
+LATE_SQL = """WITH e AS (SELECT event_type, ts, event_id % 50 = 0 AS late FROM events),
+    w AS (SELECT max(ts) AS high FROM e WHERE NOT late)
+    SELECT epoch_us(time_bucket(INTERVAL '1 hour', ts)) AS window_start, event_type, count(*) AS n FROM e, w
+    WHERE NOT late AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= high - INTERVAL '2 hours'
+    GROUP BY 1, 2"""
+
+
+@query(LATE_SQL)
+def stream_windows(spark, sf):
+    """Hourly counts given once, when the watermark has passed; the rows of a file that comes after that are left out."""
+    folder, out, checkpoint = (scratch_path(spark, name) for name in ("hours", "windows", "windows-checkpoint"))
+    events = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    late = F.col("event_id") % 50 == 0
+    high = events.filter(~late).agg(F.max("ts")).first()[0]
+    closed = F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR") <= F.lit(high) - F.expr("INTERVAL 2 HOURS")
+    for lot in (~late, late & closed):  # the second lot is late for its windows
+        events.filter(lot).write.mode("append").parquet(folder)
+        arriving = S.read_stream(spark, folder, events.schema)
+        S.finish(S.run_to_files(S.window_counts(arriving, "ts", "1 hour", "2 hours", "event_type"), out, checkpoint))
+    found = spark.read.parquet(out)
+    return found.select(F.unix_micros("window_start").alias("window_start"), "event_type", "n")
 
 
 @query(

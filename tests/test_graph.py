@@ -67,6 +67,26 @@ def test_near_duplicates_are_exact(spark, monkeypatch, threshold, block):
     assert {r["id"]: r["duplicate_of"] for r in got.collect()} == expected
 
 
+def test_likely_duplicates_by_bands(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(5)
+    plain = rng.normal(size=(900, 48))
+    aside = rng.normal(size=plain.shape)
+    aside -= (aside * plain).sum(1, keepdims=True) / (plain**2).sum(1, keepdims=True) * plain
+    aside *= np.linalg.norm(plain, axis=1, keepdims=True) / np.linalg.norm(aside, axis=1, keepdims=True)
+    cosines = rng.uniform(0.8, 0.99, (900, 1))  # some pairs below the threshold, many just above it
+    moved = cosines * plain + np.sqrt(1 - cosines**2) * aside
+    data = np.concatenate([plain, moved, np.repeat(plain[:1], 300, axis=0)])
+    frame = vectors(spark, enumerate(data))
+    exact = {r["id"]: r["duplicate_of"] for r in similarity.near_duplicates(frame, "id", 0.85).collect()}
+    got = {r["id"]: r["duplicate_of"] for r in similarity.likely_duplicates(frame, "id", 0.85).collect()}
+    assert len(exact) > 800 and got.items() <= exact.items()
+    assert len(got) >= 0.95 * len(exact)
+    distinct = frame.limit(1800).select("id", F.col("embedding").alias("v"))
+    cells = similarity._banded(distinct, 35, 12, 7).groupBy("cell").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+    assert cells < 0.06 * 1800 * 1799 / 2  # a small part of all pairs, all bands together
+
+
 def test_queries_in_blocks(spark, monkeypatch):
     rng = np.random.default_rng(8)
     pages, queries = rng.normal(size=(40, 5)), rng.normal(size=(7, 5))

@@ -19,10 +19,13 @@ _VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _BEFORE = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
 HREF = rf"(?i)<a\s(?:{_BEFORE}\s)?href\s*=\s*{_VALUE}"
 HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
-IMG = r"(?i)(<img\b[^>]*>)"
+# Attributes of a start tag up to its end; a value in quotes may hold ``>``, quotes elsewhere are letters.
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+IMG = rf"(?i)(<img(?=[\s/>]){_ATTRIBUTES}>)"
 FLAT_TABLE = r"(?is)(<table.*?>.*?</table>)"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-JSON_LD = r'(?s)<script type="application/ld\+json">(.*?)</script>'
+_LD_TYPE = r"application/ld\+json"
+JSON_LD = rf"""(?is)<script\s(?:{_BEFORE}\s)?type\s*=\s*(?:"\s*{_LD_TYPE}\s*"|'\s*{_LD_TYPE}\s*'|{_LD_TYPE}(?=[\s>])){_ATTRIBUTES}>(.*?)</script\s*>"""
 
 
 def strip_tags(html: Column, tags: Sequence[str] = CODE_TAGS, comments: bool = False) -> Column:
@@ -60,7 +63,8 @@ def hrefs(html: Column) -> Column:
 
 
 def image_tags(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(IMG), F.lit(1))
+    """Image tags outside code and comments."""
+    return F.regexp_extract_all(F.regexp_replace(html, HIDDEN, ""), F.lit(IMG), F.lit(1))
 
 
 def flat_tables(html: Column) -> Column:

@@ -169,3 +169,26 @@ def test_any_text_is_read(text):
     assert all(0 <= e.start <= e.inner <= len(text) and e.start <= e.end <= len(text) for e in found)
     list(tables.cells(text))
     markdown.convert(text)
+
+
+def test_jsonld_in_any_spelling(spark):
+    body = '{"image": "i.png", "description": "a > b"}'
+    tags = [
+        "<script id='x' type='application/ld+json'>",
+        '<SCRIPT data-a="1 > 0" TYPE = "Application/LD+JSON" async>',
+        "<script type=application/ld+json>",
+        '<script\n type=" application/ld+json " nonce="a\'b">',
+    ]
+    others = ['<script type="text/javascript">', '<script data-type="application/ld+json">', "<script>", '<scripts type="application/ld+json">']
+    texts = [f"<p><script>var a = 1</script>{t}{body}</script ><script type='application/ld+json'>{{}}</script>" for t in tags] + [f"{t}{body}</script>" for t in others]
+    got = H.extract_jsonld(pages(spark, *texts)).orderBy("page_id").collect()
+    assert [r["photo"] for r in got] == ["i.png"] * len(tags) + ["N/A"] * len(others)
+    assert {r["description"] for r in got[: len(tags)]} == {"a > b"}
+
+
+def test_images_as_a_parser_sees_them(spark):
+    html = """<!-- <img src="hidden.png"> --><script>x = '<img src="code.png">'</script><img alt="a > b" src="one.png"><image src="no.png">
+    <IMG src=two.png><img alt="5" tall" src='three.png'/><img src="four.png" alt='it"s > it'>"""
+    frame = spark.createDataFrame([(1, "http://a.example/", html)], "page_id long, url string, html string")
+    assert [r["src"] for r in H.extract_images(frame).orderBy("image_no").collect()] == ["one.png", "two.png", "three.png", "four.png"]
+    assert H.page_profile(frame).first()["image_count"] == 4

@@ -155,10 +155,11 @@ def features(words: list[str]) -> Features:
 def kernel_rows(words: list[str], columns: np.ndarray) -> np.ndarray:
     """Normalised features of words, over the subsequences numbered in ``columns`` (-1: not used)."""
     found = features(words)
-    rows = np.zeros((len(words), int(columns.max()) + 1))
+    rows = np.zeros((len(words), int(columns.max()) + 1), np.float32)
     kept = columns[found.number] >= 0
     rows[found.word[kept], columns[found.number[kept]]] = found.weight[kept]
-    return rows / found.norm[:, None]
+    rows /= found.norm[:, None].astype(np.float32)
+    return rows
 
 
 def embedded(words: list[str], columns: np.ndarray, to_points: np.ndarray, at_once: int = 200) -> np.ndarray:
@@ -191,7 +192,7 @@ class Toxicity:
         total = np.bincount(found.word, self.weights[found.number] * found.weight, len(words))
         return total / found.norm + self.bias
 
-    def all_scores(self, words: list[str], at_once: int = 20_000) -> list[float]:
+    def all_scores(self, words: list[str], at_once: int = 4_000) -> list[float]:
         """The scores of any number of words, in bounded memory."""
         return [s for i in range(0, len(words), at_once) for s in self.word_scores(words[i : i + at_once]).tolist()]
 
@@ -243,14 +244,21 @@ def parts_of(word: str) -> set[str]:
     return {marked, *(marked[i : i + PART] for i in range(len(marked) - PART + 1))}
 
 
-def part_odds(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]:
+def part_odds(toxic: list[set[str]], clean: list[set[str]], at_once: int = 64) -> dict[str, float]:
     """For each word of the toxic texts the log-odds of its most telling part, by texts that have the part."""
-    parts = {w: parts_of(w) for w in set().union(*toxic)}
-    seen = Counter(p for bag in toxic for p in set().union(*map(parts.__getitem__, bag)))
-    shared = {w: parts_of(w) & seen.keys() for w in set().union(*clean)}
-    other = Counter(p for bag in clean for p in set().union(*map(shared.__getitem__, bag)))
+
+    def counted(bags: list[set[str]], known: Counter[str] | None) -> Counter[str]:
+        found: Counter[str] = Counter()
+        for start in range(0, len(bags), at_once):
+            some = bags[start : start + at_once]
+            parts = {w: parts_of(w) if known is None else parts_of(w) & known.keys() for w in set().union(*some)}
+            found.update(p for bag in some for p in set().union(*map(parts.__getitem__, bag)))
+        return found
+
+    seen = counted(toxic, None)
+    other = counted(clean, seen)
     odds = {p: float(np.log(n + 0.5) - np.log(other[p] + 0.5)) for p, n in seen.items()}
-    return {w: max(odds[p] for p in found) for w, found in parts.items()}
+    return {w: max(odds[p] for p in parts_of(w)) for w in set().union(*toxic)}
 
 
 def witness(bag: set[str], odds: dict[str, float], turn: int) -> str:
@@ -293,7 +301,10 @@ def train_machine(points: np.ndarray, labels: np.ndarray, weights: np.ndarray, r
 
 def fit(sample: Sample) -> Toxicity:
     """The machine of the whole sample, calibrated on what the machines of its halves say of the other half."""
-    bags, labels, half = [words_of(t) for t in sample.texts], sample.labels, sample.calibrate
+    known: dict[str, str] = {}  # equal words are one object
+    bags = [{known.setdefault(w, w) for w in words_of(t)} for t in sample.texts]
+    labels, half = sample.labels, sample.calibrate
+    known.clear()
     model = train(bags, labels)
     if model is CLEAN:
         return CLEAN
@@ -309,15 +320,15 @@ def fit(sample: Sample) -> Toxicity:
     return calibrated(model, np.concatenate(raws), labels[np.concatenate(rows)], sample.prior)
 
 
-def train(bags: list[list[str]], marks: np.ndarray, rounds: int = ROUNDS) -> Toxicity:
+def train(bags: list[set[str]], marks: np.ndarray, rounds: int = ROUNDS) -> Toxicity:
     """The machine without its calibration."""
     toxic = [i for i in range(len(bags)) if marks[i] == 1 and bags[i]]
-    clean_bags = [set(b) for b, mark in zip(bags, marks, strict=True) if mark == 0]
+    clean_bags = [b for b, mark in zip(bags, marks, strict=True) if mark == 0]
     clean = Counter(w for b in clean_bags for w in b)
     if not toxic or not clean:
         return CLEAN
-    seen = Counter(w for i in toxic for w in set(bags[i]))
-    toxic_bags = [set(bags[i]) for i in toxic]
+    toxic_bags = [bags[i] for i in toxic]
+    vocabulary = sorted(set().union(*toxic_bags))
     odds = part_odds(toxic_bags, clean_bags)
     chosen = Counter(witness(b, odds, i) for i, b in enumerate(toxic_bags))
     ordinary = sorted(clean, key=lambda w: (-clean[w], w))
@@ -334,21 +345,22 @@ def train(bags: list[list[str]], marks: np.ndarray, rounds: int = ROUNDS) -> Tox
         columns = np.full(LETTERS**3, -1)
         columns[numbers] = np.arange(len(numbers))
         basis = kernel_rows(landmarks, columns)
-        gram = basis @ basis.T
+        gram = (basis @ basis.T).astype(float)
         value, vector = np.linalg.eigh(gram)
-        solid = value > 1e-6 * value.max()
+        solid = value > 1e-5 * value.max()
         whiten = vector[:, solid] / np.sqrt(value[solid])
         positives = {w: float(min(n, 20)) for w, n in chosen.items()}
         for w, n in chosen.most_common(LANDMARKS):
             positives |= {v: min(n, 20) / len(w) for v in inserted(w) if v not in clean and v not in positives}
         words = [*positives, *[w for w in negatives if w not in positives]]
-        to_points = basis.T @ whiten
+        to_points = basis.T @ whiten.astype(np.float32)
         points = embedded(words, columns, to_points)
         labels = np.r_[np.ones(len(positives)), -np.ones(len(words) - len(positives))]
         counts = np.r_[[*positives.values()], np.ones(len(words) - len(positives))]
         solution = train_machine(points, labels, counts)
         table = np.zeros(LETTERS**3, np.float32)
-        table[numbers] = basis.T @ (whiten @ solution[:-1])
+        table[numbers] = basis.T @ (whiten @ solution[:-1]).astype(np.float32)
+        del basis, to_points, points
         model = Toxicity(table, float(solution[-1]), np.zeros(3), 0.0)
         # Next round: the worst clean words, and the word that now speaks most for each toxic text.
         read = ordinary[turn % PARTS :: PARTS]
@@ -356,7 +368,6 @@ def train(bags: list[list[str]], marks: np.ndarray, rounds: int = ROUNDS) -> Tox
         hard = sorted(read, key=lambda w: (-scores[w], w))[: 2 * LANDMARKS]
         wrong = [w for w in hard if scores[w] > MARGIN and w not in negatives]
         negatives |= dict.fromkeys(hard)
-        vocabulary = list(seen)
         scores |= zip(vocabulary, model.all_scores(vocabulary), strict=True)
         last = chosen
         chosen = Counter(witness(b, odds, i) for i, b in enumerate(toxic_bags))

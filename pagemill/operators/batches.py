@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ TABLE_SEPARATOR = "\n\n---TABLE-SEPARATOR---\n\n"
 TOKEN_LIMIT = 80_000
 CHUNK_TOKENS = 500
 PACK_PIECE = 200_000
+PIECES_AT_ONCE = 64
 
 
 def with_tokens(df: DataFrame, text: str = "text", into: str = "tokens") -> DataFrame:
@@ -55,7 +57,9 @@ def fixed_batches(
 # described by what it does to that sum: the first item it opens a batch at,
 # which is the later the smaller the sum is, and from there on a fixed course.
 # Pieces are described in parallel, the descriptions (one row for each possible
-# first opening) are chained, and the pieces are then numbered in parallel.
+# first opening) are composed, and the pieces are then numbered in parallel. What
+# two neighbours do one after the other is a description of the same form, so
+# the pieces of a long sequence are composed as a tree, a bounded number at once.
 
 _MAP = T.StructType(
     [
@@ -67,6 +71,9 @@ _MAP = T.StructType(
 )
 
 
+_COURSE = ["least_sum", "opened", "end_sum"]
+
+
 def _following(tokens: np.ndarray, limit: int) -> np.ndarray:
     """For a batch opened at each item, the item that opens the next one."""
     total = np.concatenate(([0], np.cumsum(tokens)))
@@ -103,6 +110,29 @@ def _describe(tokens: np.ndarray, limit: int) -> pd.DataFrame:
     return pd.concat([pd.DataFrame(extra, columns=found.columns), found[~same]], ignore_index=True)
 
 
+def _follow(courses: pd.DataFrame, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Batches opened and exit sum for every entry sum; the courses are in order."""
+    least, opened, ends = (courses[c].to_numpy(dtype=np.int64) for c in _COURSE)
+    at = np.searchsorted(least, sums, side="right") - 1
+    return opened[at], ends[at] + np.where(opened[at] > 0, 0, sums)
+
+
+def _compose(first: pd.DataFrame, second: pd.DataFrame) -> pd.DataFrame:
+    """What two pieces do one after the other."""
+    first, second = first.sort_values("least_sum"), second.sort_values("least_sum")
+    least = first["least_sum"].to_numpy(dtype=np.int64)
+    # Where the first piece opens nothing its exit sum moves with the entry sum, and the second piece's steps are seen.
+    added = first.loc[first["opened"] == 0, "end_sum"].to_numpy(dtype=np.int64)
+    moved = (second["least_sum"].to_numpy(dtype=np.int64) - added[0]) if len(added) else least[:0]
+    entry = np.unique(np.concatenate([least, moved[moved > 0]]))
+    middle, between = _follow(first, entry)
+    last, left = _follow(second, between)
+    opened = middle + last
+    found = pd.DataFrame({"least_sum": entry, "opened": opened, "end_sum": np.where(opened > 0, left, left - entry)})
+    same = (found[["opened", "end_sum"]] == found[["opened", "end_sum"]].shift()).all(axis=1)
+    return found[~same]
+
+
 def _number(tokens: np.ndarray, limit: int, open_sum: int) -> np.ndarray:
     """1 at every item that opens a batch."""
     opens = np.zeros(len(tokens), dtype=np.int64)
@@ -157,7 +187,7 @@ def pack_batches(
     entered = small.withColumns(start)
     if large is not None:
         pieces = with_pieces(large, order, cuts)
-        entered = entered.unionByName(null_safe_join(pieces, _entries(pieces, group, order, limit), names))
+        entered = entered.unionByName(null_safe_join(pieces, _entries(pieces, group, order, limit, len(cuts) + 1), names))
     items = [sizes.schema[c] for c in (order, "_tokens", "_tie")]
     schema = T.StructType([*keys, *items, T.StructField("batch_no", T.LongType())])
     numbered = entered.groupBy(*names).applyInPandas(number, schema)
@@ -176,7 +206,7 @@ def _by_group_size(sizes: DataFrame, group: list[str], piece_rows: int) -> tuple
     return null_safe_join(sizes, large, group, "left_anti"), null_safe_join(sizes, large, group, "left_semi")
 
 
-def _entries(pieces: DataFrame, group: list[str], order: str, limit: int) -> DataFrame:
+def _entries(pieces: DataFrame, group: list[str], order: str, limit: int, n_pieces: int) -> DataFrame:
     """Sum of the open batch and number of batches before each piece."""
     keys = [pieces.schema[g] for g in group]
 
@@ -188,19 +218,44 @@ def _entries(pieces: DataFrame, group: list[str], order: str, limit: int) -> Dat
         return found.assign(piece=key[-1])[[*group, "piece", "least_sum", "opened", "end_sum"]]
 
     described = pieces.groupBy(*group, PIECE).applyInPandas(describe, T.StructType([*keys, *_MAP.fields]))
+    return _enter(described, group, n_pieces)
+
+
+def _enter(described: DataFrame, group: list[str], n_pieces: int) -> DataFrame:
+    """State before each piece: upwards, blocks of neighbours are composed; downwards, each block tells its parts.
+
+    No task sees more than ``PIECES_AT_ONCE`` descriptions, each of at most as
+    many rows as there are different sums.
+    """
+    keys = [described.schema[g] for g in group]
+    entry = T._parse_datatype_string(f"{PIECE} int, _open_sum long, _batches long")
+    block = F.floor(F.col("piece") / F.lit(PIECES_AT_ONCE)).cast("int").alias("_block")
+
+    def compose(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        found = reduce(_compose, [courses[_COURSE] for _, courses in rows.groupby("piece", sort=True)])
+        return found.assign(piece=key[-1], **dict(zip(group, key[:-1], strict=True)))[[*group, "piece", *_COURSE]]
 
     def chain(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out, open_sum, batches = [], -1, 0
-        for piece, courses in rows.sort_values(["piece", "least_sum"]).groupby("piece", sort=True):
-            out.append((*key, piece, open_sum, batches))
-            least = courses["least_sum"].to_numpy()
-            course = courses.iloc[0 if open_sum < 0 else int(np.searchsorted(least, open_sum, side="right")) - 1]
-            batches += int(course["opened"])
-            open_sum = int(course["end_sum"]) + (0 if course["opened"] else open_sum)
+        out, open_sum, batches = [], int(rows["_open_sum"].iloc[0]), int(rows["_batches"].iloc[0])
+        for piece, courses in rows.groupby("piece", sort=True):
+            out.append((*key[:-1], piece, open_sum, batches))
+            opened, left = _follow(courses.sort_values("least_sum"), np.array([open_sum]))
+            open_sum, batches = int(left[0]), batches + int(opened[0])
         return pd.DataFrame(out, columns=[*group, PIECE, "_open_sum", "_batches"])
 
-    schema = T._parse_datatype_string(f"{PIECE} int, _open_sum long, _batches long")
-    return described.groupBy(*group).applyInPandas(chain, T.StructType([*keys, *schema.fields]))
+    levels = [cut_lineage(described, "courses")]
+    while n_pieces > PIECES_AT_ONCE:
+        n_pieces = -(-n_pieces // PIECES_AT_ONCE)
+        above = levels[-1].groupBy(*group, block).applyInPandas(compose, T.StructType([*keys, *_MAP.fields]))
+        levels.append(cut_lineage(above, "courses"))
+    start = {"_open_sum": F.lit(-1).cast("long"), "_batches": F.lit(0).cast("long")}
+    top = levels.pop().withColumns({"_block": F.lit(0)} | start)
+    entries = top.groupBy(*group, "_block").applyInPandas(chain, T.StructType([*keys, *entry.fields]))
+    while levels:
+        above = cut_lineage(entries.withColumnRenamed(PIECE, "_block"), "entries")
+        parts = null_safe_join(levels.pop().withColumn("_block", block), above, [*group, "_block"])
+        entries = parts.groupBy(*group, "_block").applyInPandas(chain, T.StructType([*keys, *entry.fields]))
+    return entries
 
 
 def build_prompts(

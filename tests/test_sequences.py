@@ -78,6 +78,32 @@ def test_packing_without_groups_in_pieces(spark):
     assert sorted((r["id"], r["batch_no"]) for r in got) == greedy(rows, 50)
 
 
+@pytest.mark.parametrize("at_once, group", [(4, True), (64, False)])
+def test_packing_composes_pieces_as_a_tree(spark, monkeypatch, at_once, group):
+    monkeypatch.setattr(batches, "PIECES_AT_ONCE", at_once)
+    seen = spark.sparkContext.accumulator(0)
+    real, rng = batches._compose, random.Random(at_once)
+    monkeypatch.setattr(batches, "_compose", lambda a, b: (seen.add(1), real(a, b))[1])
+    rows = [("x" if group and i % 7 == 0 else None, i, rng.choice([0, 1, 1, 2, 3, 7, 30, 50, 51])) for i in range(600)]
+    frame = spark.createDataFrame(rows, "g string, id long, tokens long")
+    got = batches.pack_batches(frame, ["g"] if group else [], "id", 50, piece_rows=10).collect()
+    for name in ("x", None) if group else (None,):
+        mine = sorted((r["id"], r["batch_no"]) for r in got if r["g"] == name)
+        assert mine == greedy([(i, t) for g, i, t in rows if g == name], 50)
+    assert (seen.value > 0) or at_once == 64
+
+
+def test_composed_courses_are_the_courses_of_both():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        limit = int(rng.integers(1, 30))
+        first, second = (rng.integers(0, min(limit, 6) + 1, size=int(rng.integers(1, 9))) for _ in range(2))
+        both = batches._describe(np.concatenate([first, second]), limit).sort_values("least_sum", kind="stable")
+        made = batches._compose(batches._describe(first, limit), batches._describe(second, limit))
+        sums = np.arange(-1, limit)
+        assert [x.tolist() for x in batches._follow(made, sums)] == [x.tolist() for x in batches._follow(both, sums)]
+
+
 def test_pack_courses_cover_every_entry():
     rng = np.random.default_rng(5)
     for _ in range(200):
@@ -183,6 +209,27 @@ def test_sessions_are_the_plain_loop(spark, seed):
     assert [(k, n, int(s.timestamp() * 1000 + 0.5)) for k, n, s in got] == sorted(map(tuple, expected))
 
 
+@pytest.mark.parametrize("span_slots", [1, 3, 50])
+def test_sessions_over_spans_are_the_plain_loop(spark, span_slots):
+    rng = random.Random(span_slots)
+    moments = sorted({rng.randrange(-30_000, 30_000) for _ in range(400)})
+    rows = [(rng.choice(["h", "h", None]), t) for t in moments] + [("h", t) for t in range(40_000, 60_000, 90)]
+    frame = spark.createDataFrame(rows, "k string, ms long").select("k", F.timestamp_millis("ms").alias("ts"))
+    found = sessions.idle_sessions(frame, "k", gap_ms=100, span_slots=span_slots).collect()
+    got = sorted((r["k"] or "", r["session_no"], r["n_events"], round(r["session_start"].timestamp() * 1000), round(r["session_end"].timestamp() * 1000)) for r in found)
+    expected = []
+    for key in ("h", None):
+        last, session, number = None, None, 0
+        for moment in sorted(t for k, t in rows if k == key):
+            if last is None or moment - last > 100:
+                number += 1
+                session = [key or "", number, 0, moment, moment]
+                expected.append(session)
+            session[2] += 1
+            session[4] = last = moment
+    assert got == sorted(map(tuple, expected))
+
+
 def test_adaptive_stats_do_not_depend_on_pieces(spark, monkeypatch):
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(30)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -70,6 +70,21 @@ def observe_stage(df: DataFrame, stage: str, **metrics: Column) -> tuple[DataFra
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]), observation
 
 
+def run_stages(df: DataFrame, stages: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]], write: Callable[[DataFrame], None]) -> DataFrame:
+    """Write what the stages leave of ``df``; ``stage, n`` of the rows that left each of them, without a job of its own.
+
+    Every stage is a name and a function of the frame before it. The counts are
+    taken by the job that writes. If an executor is lost the tasks it had done
+    are run again and may be counted again; :func:`stage_counts` is exact then too.
+    """
+    observed = []
+    for name, stage in stages:
+        df, observation = observe_stage(stage(df), name)
+        observed.append((name, observation))
+    write(df)
+    return df.sparkSession.createDataFrame([(name, o.get["rows"]) for name, o in observed], "stage string, n long")
+
+
 def stage_counts(df: DataFrame, found: Column, key: Column) -> DataFrame:
     """Rows read, found and unique among the found, in one pass."""
     counts = df.agg(

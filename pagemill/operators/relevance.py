@@ -73,6 +73,56 @@ def rank_pages(
     return known.select(key, _sum([weight(i) for i in range(len(query))]).alias("score"))
 
 
+def postings(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``term, key, tf, length, leads``: how often every term is in every document, and how many terms that has.
+
+    ``leads`` is true for one row of each document, which stands for it in the
+    collection's statistics; a document without terms has only that row, its
+    term null. Words combine within a document before the only shuffle.
+    """
+    cut = docs.select(key, terms(F.col(text)).alias("_terms")).select(key, F.size("_terms").alias("length"), "_terms")
+    words = cut.select(key, "length", F.posexplode_outer("_terms").alias("_at", "term"))
+    leads = (F.min(F.coalesce("_at", F.lit(0))) == 0).alias("leads")
+    return words.groupBy("term", key).agg(F.count("term").alias("tf"), F.max("length").alias("length"), leads)
+
+
+def write_postings(docs: DataFrame, path: str, key: str, text: str = "text", partitions: int | None = None) -> None:
+    """Store the postings in order of the term, so that a search skips the files and row groups without its terms.
+
+    A very common term spreads over several ranges by document.
+    """
+    ranged = [F.col("term"), F.col(key)]
+    found = postings(docs, key, text)
+    dealt = found.repartitionByRange(partitions, *ranged) if partitions else found.repartitionByRange(*ranged)
+    dealt.sortWithinPartitions(*ranged).write.parquet(path)
+
+
+def rank_queries(
+    index: DataFrame, queries: DataFrame, query: str, asked: str, key: str, top: int, k1: float = 1.2, b: float = 0.75
+) -> DataFrame:
+    """The ``top`` best documents of every query: ``query, key, score, rank``; ties by document.
+
+    The stored ``index`` of :func:`write_postings` takes the place of the texts.
+    Scores are those of :func:`rank_pages` to nine digits. The terms of the queries are written,
+    so the planner knows their size: few are sent to the postings, many are
+    joined by a shuffle in which a common term is split.
+    """
+    wanted = queries.select(query, F.explode(F.array_distinct(terms(F.col(asked)))).alias("term"))
+    wanted = cut_lineage(wanted, "query-terms")
+    hits = index.join(wanted.select("term").distinct(), "term", "left_semi")
+    found = hits.groupBy("term").agg(F.count("*").alias("_df"))
+    known = cut_lineage(wanted.join(found, "term"), "query-weights")
+    lead = F.col("leads")
+    stats = index.agg(F.struct(F.count_if(lead).alias("n"), F.avg(F.when(lead, F.col("length"))).alias("length")).alias("stats"))
+    matched = index.join(known, "term").withColumn("_stats", stats.scalar())
+    n, mean, df, tf = F.col("_stats")["n"], F.col("_stats")["length"], F.col("_df"), F.col("tf")
+    idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
+    part = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("length") / mean))
+    # Rounded, so that the order in which a sum is taken does not decide a tie.
+    scored = matched.groupBy(query, key).agg(F.round(F.sum(part), 9).alias("score"))
+    return top_per_key(scored, [query], [F.desc("score"), F.asc(key)], top)
+
+
 def top_pages(ranked: DataFrame, key: str, k: int = 5) -> DataFrame:
     """The ``k`` best pages; ties by key."""
     return ranked.orderBy(F.desc("score"), F.asc(key)).limit(k)

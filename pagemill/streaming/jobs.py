@@ -132,6 +132,18 @@ def stream_idle(events: DataFrame, key: str, ts: str, gap: str, late: str) -> Da
     )
 
 
+def open_sessions(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
+    """The sessions that a finished run of :func:`stream_idle` holds open, read from its state.
+
+    With the rows it has given they are all sessions of what has arrived, each
+    event once, but for those that came after the watermark. The state stays
+    as it is: a later run goes on with it.
+    """
+    state = spark.read.format("statestore").load(checkpoint).select("value.*")
+    window, counted = F.col("session_window"), next(c for c in state.columns if c.startswith("count"))
+    return state.select(key, window["start"].alias("session_start"), window["end"].alias("idle_at"), F.col(counted).alias("n_events"))
+
+
 def arrived_rows(query: StreamingQuery, name: str = "arrived") -> int:
     """The rows that a query of :func:`window_counts` has read, late ones among them; no job of its own."""
     seen = [p.observedMetrics[name]["rows"] for p in query.recentProgress if name in p.observedMetrics]

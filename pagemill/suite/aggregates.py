@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.operators import aggregates as A
+from pagemill.operators.ordering import first_per_key
 from pagemill.operators.sessions import idle_sessions as sessions
 from pagemill.plans import network_log
+from pagemill.storage import scratch_path
 from pagemill.suite import fixtures as X
 from pagemill.suite.registry import query, table
 
@@ -73,6 +75,23 @@ def stage_counts(spark, sf):
     return A.stage_counts(table(spark, sf, "pages").select("url"), F.col("url").contains("/en/"), host)
 
 
+@query(
+    """SELECT 'read' AS stage, count(*) AS n FROM pages
+    UNION ALL SELECT 'found', count(*) FROM pages WHERE contains(url, '/en/')
+    UNION ALL SELECT 'unique', count(DISTINCT regexp_extract(url, '^[a-z]+://([^/]*)', 1)) FROM pages WHERE contains(url, '/en/')"""
+)
+def observed_stages(spark, sf):
+    """The same counts, taken while the first page of each host is written."""
+    host = F.regexp_extract("url", r"^[a-z]+://([^/]*)", 1)
+    path = scratch_path(spark, "first-pages")
+    stages = [
+        ("read", lambda df: df),
+        ("found", lambda df: df.filter(F.col("url").contains("/en/"))),
+        ("unique", lambda df: first_per_key(df.withColumn("host", host), ["host"], ["page_id"])),
+    ]
+    return A.run_stages(table(spark, sf, "pages").select("page_id", "url"), stages, lambda df: df.write.parquet(path))
+
+
 @query("SELECT page_id, url FROM pages ORDER BY url, page_id LIMIT 10")
 def first_n(spark, sf):
     return A.first_n(table(spark, sf, "pages").select("page_id", "url"), ["url", "page_id"], 10)

@@ -68,12 +68,14 @@ def first_listed_urls(spark, sf):
       WHERE trim(text, {blanks}) <> '') GROUP BY batch_no"""
 )
 def batched_blocks(spark, sf):
-    """Records of a stored text file in batches of 60, in the order of the file."""
+    """Records of a stored text, written and read in many tasks, in batches of 60 in its order."""
     path = scratch_path(spark, "blocks")
     docs = table(spark, sf, "documents").select("doc_id", F.concat("text", F.lit("\n")).alias("value"))
-    docs.coalesce(1).sortWithinPartitions("doc_id").select("value").write.text(path)
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
     placed = readers.load_blocks(spark, path, place=True)
-    made = batches.fixed_batches(placed, "block", ["block_start", "line_no"], 60, piece_rows=300)
+    # The files are named in order of their part, and the first order column has to be a number.
+    numbered = placed.withColumn("part", F.regexp_extract("file", r"part-(\d+)", 1).cast("long"))
+    made = batches.fixed_batches(numbered, "block", ["part", "block_start", "line_no"], 60, piece_rows=300)
     return made.select("batch_no", "n", F.md5("batch_text").alias("digest"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagemill.operators import relevance as R
 from pagemill.operators import similarity as S
+from pagemill.storage import scratch_path
 from pagemill.suite.registry import query, spread_table, table
 
 QUERY = ["The tion", "worthless", "Étion", "schung"]  # cut and lower-cased as texts are
@@ -36,6 +37,27 @@ def top_pages(spark, sf):
     return R.top_pages(ranked, "doc_id", 5).withColumn("score", F.round("score", 6))
 
 
+MANY_SQL = f"""WITH d AS (SELECT doc_id, {SQL_TERMS} AS t FROM documents),
+    s AS (SELECT count(*) AS n, avg(len(t)) AS avg_len FROM d),
+    q AS (SELECT item_id, unnest(list_distinct({SQL_TERMS})) AS term FROM benchmark),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY doc_id, term),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    r AS (SELECT item_id, tf.doc_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
+      / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len(t) / avg_len))), 9) AS score
+      FROM q JOIN tf USING (term) JOIN df USING (term) JOIN d ON d.doc_id = tf.doc_id, s GROUP BY item_id, tf.doc_id)
+    SELECT item_id, doc_id, round(score, 6) AS score, rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r) WHERE rank <= 5"""
+
+
+@query(MANY_SQL)
+def rank_questions(spark, sf):
+    """The five best documents for the text of every benchmark item, from a stored index of the documents."""
+    path = scratch_path(spark, "postings")
+    R.write_postings(documents(spark, sf), path, "doc_id")
+    ranked = R.rank_queries(spark.read.parquet(path), table(spark, sf, "benchmark"), "item_id", "text", "doc_id", 5)
+    return ranked.withColumn("score", F.round("score", 6))
+
+
 ADAPTIVE_SQL = f"""WITH d AS (SELECT source, doc_id, list_distinct({SQL_TERMS}) AS w FROM documents),
     v AS (SELECT source, doc_id, unnest(w) AS word FROM d),
     f AS (SELECT source, word, min(doc_id) AS doc_id FROM v GROUP BY source, word),

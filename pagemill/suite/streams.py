@@ -133,3 +133,37 @@ def stream_idle(spark, sf):
     S.finish(S.run_to_files(idle, out, checkpoint))
     found = spark.read.schema(idle.schema).parquet(out)
     return found.withColumns({c: F.unix_micros(c) for c in ("session_start", "idle_at")})
+
+
+@query(
+    """WITH e AS (SELECT user_id, epoch_us(ts) AS us FROM events),
+    l AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY us) <= 1800000000 THEN 0 ELSE 1 END AS opens FROM e),
+    s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY us RANGE UNBOUNDED PRECEDING) AS session_no FROM l)
+    SELECT user_id, min(us) AS session_start, max(us) + 1800000000 AS idle_at, count(*) AS n_events FROM s GROUP BY user_id, session_no"""
+)
+def stream_sessions(spark, sf):
+    """All sessions of the stream: those that have ended, as it gave them, and those still open, from its state."""
+    out, checkpoint = scratch_path(spark, "idle"), scratch_path(spark, "idle-checkpoint")
+    events = events_stream(spark, sf).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    idle = S.stream_idle(events, "user_id", "ts", "30 minutes", "1 hour")
+    S.finish(S.run_to_files(idle, out, checkpoint))
+    ended = spark.read.schema(idle.schema).parquet(out)
+    found = ended.unionByName(S.open_sessions(spark, checkpoint, "user_id"))
+    return found.withColumns({c: F.unix_micros(c) for c in ("session_start", "idle_at")})
+
+
+@query("SELECT event_id, event_type FROM events")
+def stream_dedupe_bounded(spark, sf):
+    """Every event is sent again five minutes later; its key is remembered for an hour only."""
+    folder, out, checkpoint = (scratch_path(spark, name) for name in ("sent-twice", "once", "once-checkpoint"))
+    events = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    again = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 5 MINUTES"))
+    for lot in range(3):  # ids rise with time
+        part = low + (high - low + 1) * lot // 3, low + (high - low + 1) * (lot + 1) // 3
+        sent = events.unionByName(again).filter((F.col("event_id") >= part[0]) & (F.col("event_id") < part[1]))
+        sent.write.mode("append").parquet(folder)
+        arriving = S.read_stream(spark, folder, events.schema)
+        once = S.stream_dedupe(arriving, ["event_id"], "ts", "1 hour").select("event_id", "event_type")
+        S.finish(S.run_to_files(once, out, checkpoint))
+    return spark.read.schema(once.schema).parquet(out)

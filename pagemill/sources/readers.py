@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pagemill.functions import variants
 from pagemill.functions.text import strip
 from pagemill.operators.exploding import number_items
+from pagemill.sources.captures import list_elements
 from pagemill.sources.schemas import PAGE, STATE
 
 
@@ -59,14 +60,23 @@ def flatten_captures(df: DataFrame, json: Column | str, *keys: str) -> DataFrame
     """
     json = F.col(json) if isinstance(json, str) else json
     parsed = df.select(*keys, variants.parse(json).alias("_value"))
-    bundles = number_items(parsed, keys, variants.items_or_self(F.col("_value")), "bundle_no", "bundle", 0)
+    return _events(number_items(parsed, keys, variants.items_or_self(F.col("_value")), "bundle_no", "bundle", 0), *keys)
+
+
+def _events(bundles: DataFrame, *keys: str) -> DataFrame:
     urls = bundles.withColumn("page_url", variants.get(F.col("bundle"), "$.url"))
     events = variants.get(F.col("bundle"), "$.network_requests", "array<variant>")
     return number_items(urls, [*keys, "bundle_no", "page_url"], events, "event_no", "event", 0)
 
 
-def load_captures(spark: SparkSession, path: str) -> DataFrame:
-    """Capture files; each holds one JSON document."""
+def load_captures(spark: SparkSession, path: str, large: bool = False) -> DataFrame:
+    """Capture files; each holds one JSON document.
+
+    Many files of moderate size are a task's work each. With ``large`` a file
+    is read in many tasks, in two passes, see :mod:`pagemill.sources.captures`; the rows are the same.
+    """
+    if large:
+        return _events(list_elements(spark, path).withColumnsRenamed({"item_no": "bundle_no", "value": "bundle"}), "file")
     files = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
     return flatten_captures(files, "value", "file")
 

@@ -109,6 +109,16 @@ def load_captures(spark, sf):
     return readers.load_captures(spark, path).groupBy("page_url").agg(F.count("*").alias("events"))
 
 
+@query(f"SELECT page_url, count(*) AS events FROM ({NET_SQL}) WHERE event_type <> 'request_failed' GROUP BY page_url")
+def split_captures(spark, sf):
+    """Few large capture files, each read in many tasks."""
+    path = scratch_path(spark, "captures")
+    bundles = capture_bundles(spark, sf).withColumn("folder", F.pmod(F.xxhash64("url", "bundle_no"), F.lit(1 << 30)))
+    lists = writers.json_arrays(bundles, F.col("json"), [], "folder", 5_000)
+    lists.select("json").write.option("maxRecordsPerFile", 1).text(path)
+    return readers.load_captures(spark, path, large=True).groupBy("page_url").agg(F.count("*").alias("events"))
+
+
 @query("SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv")

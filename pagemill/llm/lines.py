@@ -1,6 +1,7 @@
 """Line dedup: lines that are equal or at most ``MOST`` edits apart are one line.
 
-The lines of all documents are joined with themselves by segments: a line is
+Lines of under ``LEAST_CHARS`` letters are one only if they are equal, since two
+edits change too much of them. The longer lines of all documents are joined with themselves by segments: a line is
 cut into one segment more than there may be edits, so one segment is unchanged
 in any line it is close to. Segments are hashed together with the length of
 their line and their number, longer lines are probed at the starts that leave
@@ -18,7 +19,7 @@ be edits; those are all close, and a star links them. So no link is lost, and
 lines with a long common part don't meet pairwise.
 
 Lines are the parts of a text between line ends; white space around a line
-doesn't count, and a line of under ``LEAST_CHARS`` letters is always kept. Of a
+doesn't count, and a line with nothing else is always kept. Of a
 class the first line stays, by document key (null last), then by a hash of the
 text, then by number. Null texts have no lines and stay null; empty texts stay
 empty. Two rows with the same key and text are two documents; of their lines
@@ -72,7 +73,7 @@ def signed(value: int) -> int:
 
 
 def lines_of(text: str | None, least: int) -> list[str]:
-    """The lines that take part."""
+    """The lines that are compared by edits."""
     return [s for s in (raw.strip(BLANK) for raw in (text or "").split("\n")) if len(s) >= least]
 
 
@@ -432,8 +433,8 @@ def _verified(pairs: DataFrame, most: int) -> DataFrame:
     return kept.select(F.unhex(F.md5(F.col("first").cast("binary"))).alias("a"), F.unhex(F.md5(F.col("second").cast("binary"))).alias("b"))
 
 
-def line_places(docs: DataFrame, key: str, column: str, least: int) -> DataFrame:
-    """``last, key, text_hash, line_no`` and the MD5 of every line that takes part."""
+def line_places(docs: DataFrame, key: str, column: str) -> DataFrame:
+    """``last, key, text_hash, line_no`` and the MD5 of every line that isn't blank."""
     rows = docs.select(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(column).alias("text_hash"), F.col(column).alias("text"))
     schema = StructType([LINES[0], rows.schema["key"], *LINES[1:]])
     arrow = to_arrow_schema(schema)
@@ -445,7 +446,7 @@ def line_places(docs: DataFrame, key: str, column: str, least: int) -> DataFrame
                 for i, text in enumerate(values(part, "text")):
                     for k, raw in enumerate((text or "").split("\n")):
                         line = raw.strip(BLANK)
-                        if len(line) >= least:
+                        if line:
                             row.append(i)
                             number.append(k)
                             digest.append(md5(line.encode("utf-8", "replace")).digest())
@@ -458,14 +459,14 @@ def line_places(docs: DataFrame, key: str, column: str, least: int) -> DataFrame
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", column: str = "text", most: int = MOST, least: int = LEAST_CHARS) -> DataFrame:
-    """Every line that takes part with the first line of its class.
+    """Every line that isn't blank with the first line of its class.
 
     ``last, key, text_hash, line_no`` say which line it is (``last`` is true
     for a null key), ``first`` holds the same four of the first line, null for
     a line that is alone.
     """
     ship_package(docs.sparkSession)
-    rows = cut_lineage(line_places(docs, key, column, least), "lines")
+    rows = cut_lineage(line_places(docs, key, column), "lines")
     exact = rows.groupBy("line").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"))
     exact = cut_lineage(exact, "exact")
     roots = cut_lineage(components(close_lines(docs, column, most, least)), "roots").withColumnRenamed("node", "line")

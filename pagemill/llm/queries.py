@@ -35,7 +35,7 @@ def op2_simhash(spark, sf):
 
 @query()
 def op3_lines(spark, sf):
-    """Every line that takes part, with the first line of its class."""
+    """Every line that isn't blank, with the first line of its class."""
     found = lines.line_classes(table(spark, sf, "documents"))
     first = F.coalesce("first", F.struct(*lines.PLACE))
     return found.select(

@@ -46,12 +46,12 @@ def test_keys_and_distances(most):
 
 
 def expected_classes(rows, least=lines.LEAST_CHARS, most=lines.MOST):
-    """First place of the class of every line, by comparing all lines."""
+    """First place of the class of every line, by comparing all lines; those under ``least`` letters have to be equal."""
     places = {}
     for key, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for i, raw in enumerate((text or "").split("\n") if text is not None else []):
             line = raw.strip(lines.BLANK)
-            if len(line) >= least:
+            if line:
                 places.setdefault(line, []).append((key is None, key or 0, i))
     distinct = sorted(places, key=len)
     root = {s: s for s in distinct}
@@ -62,8 +62,8 @@ def expected_classes(rows, least=lines.LEAST_CHARS, most=lines.MOST):
         return s
 
     for i, a in enumerate(distinct):
-        near = [b for b in distinct[i + 1 :] if len(b) - len(a) <= most]
-        for b, d in zip(near, edits.distances([a] * len(near), near, most), strict=True):
+        near = [b for b in distinct[i + 1 :] if len(b) - len(a) <= most] if len(a) >= least else []
+        for b, d in zip(near, edits.distances([a] * len(near), near, most) if near else [], strict=True):
             if d <= most:
                 root[find(a)] = find(b)
     first = {}
@@ -134,6 +134,13 @@ def test_numbered_lines_meet_in_few_pairs(spark, monkeypatch):
     assert {(i, 0): (find(i), 0) for i in range(len(texts))} == expected_classes(list(enumerate(texts)))
 
 
+def test_short_lines_have_to_be_equal(spark):
+    texts = ["Yes.\nA line of some more letters.\n\n \nYes", " Yes. \nA line of some more letter.\nab", "ab\nac\n\nYes.\nfifteen letters", None, "fifteen letter"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in lines.drop_repeated_lines(docs).collect()}
+    assert kept == {0: texts[0], 1: "ab", 2: "ac\n\nfifteen letters", 3: None, 4: "fifteen letter"}
+
+
 def test_corners(spark):
     docs = corner_docs(spark)
     kept = lines.drop_repeated_lines(docs)

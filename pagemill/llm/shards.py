@@ -13,15 +13,16 @@ on from the next slot. A task that writes gets all pieces of a file; its size is
 fixed. Files are named by task attempt, and the returned table names those that
 count.
 
-The stream's order is that of the table's partitions. Texts are encoded once,
-to compressed blocks in the shared folder that also hold the number of tokens
-before them in their partition; only one number a partition goes through the
-driver. Pieces travel in compressed bundles, since token ids are most of what
-is moved.
-
-Null and empty texts are the end mark alone. Repeated rows are encoded again
-each time. The last sequence is filled up with end marks. An empty table gives
-no file.
+The stream's order is that of a 128-bit hash of key and text, so it doesn't
+depend on how the rows are dealt to files and tasks. Texts are encoded once, to
+compressed blocks in files of the shared folder. Only a row a document, with
+its hash and number of tokens, is sorted to find where it starts; the blocks are
+then read where they lie. Pieces travel in compressed bundles, since token ids
+are most of what is moved.
+
+Null and empty texts are the end mark alone. Rows that repeat key and text are
+each in the stream; a block stores the tokens of those it holds once. The last
+sequence is filled up with end marks. An empty table gives no file.
 """
 
 from __future__ import annotations
@@ -45,9 +46,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from pagemill.llm.batches import chunks, dealt_ranges, values
+from pagemill.llm.batches import MOST_TASKS, chunks, dealt_ranges, values
+from pagemill.operators.ordering import ROWS_PER_PIECE, with_running_sums
 from pagemill.session import ship_package
-from pagemill.storage import cut_lineage
+from pagemill.storage import cut_lineage, drop_scratch, scratch_path
 
 SEQUENCE = 1_024
 SHARD = 8_192  # sequences a file
@@ -58,16 +60,8 @@ HEADER, HEADER_BYTES = "<8sIIQQ32x", 64  # magic, tokens a sequence, bytes a tok
 MAGIC = b"TOKSHARD"
 PIECE, PIECE_BYTES = "<QIIq?", 25  # slot, place, tokens, document, whether its key is null
 
-BLOCKS = StructType(
-    [
-        StructField("part", IntegerType()),
-        StructField("before", LongType()),
-        StructField("count", LongType()),
-        StructField("docs", ArrayType(LongType())),
-        StructField("sizes", ArrayType(LongType())),
-        StructField("tokens", BinaryType()),
-    ]
-)
+TEXT = StructType([StructField("high", LongType()), StructField("low", LongType()), StructField("doc", LongType()), StructField("size", LongType()), StructField("copies", LongType())])
+BLOCKS = StructType([StructField("path", StringType()), StructField("at", LongType()), StructField("stored", LongType()), StructField("texts", ArrayType(TEXT))])
 PIECES = StructType([StructField("shard", LongType()), StructField("pieces", BinaryType())])
 INDEX = StructType(
     [StructField("slot", LongType()), StructField("shard", LongType()), StructField("path", StringType()), StructField("n_tokens", IntegerType()), StructField("docs", ArrayType(LongType()))]
@@ -111,8 +105,14 @@ def encoding(ranks: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
-def token_blocks(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """The stream in stored blocks: partition, tokens before, tokens, the documents in it and how much of each.
+def order_mark(number: int | None, text: str) -> tuple[int, int]:
+    """The place of a text in the order of the stream, as two signed numbers."""
+    known = b"" if number is None else struct.pack("<q", number)
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(bytes([len(known)]) + known + text.encode()))
+
+
+def token_blocks(docs: DataFrame, folder: str, ranks_path: str, pattern: str, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """Write the tokens in blocks below ``folder``; where each block lies, and its texts with order, document, tokens and copies.
 
     ``ranks_path`` is a file of byte pairs and ranks, read by the driver. Its
     first free id is the end mark. Ids below 2^16 take two bytes.
@@ -124,41 +124,88 @@ def token_blocks(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoding(shared.value, pattern)
         kind, end = token_type(tool.n_vocab + 1), tool.n_vocab
-        packer, part, before = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId(), 0
-        owners, sizes, parts, held = [], [], [], 0
+        packer, out, at, held = zstandard.ZstdCompressor(level=3), None, 0, 0
+        texts: dict[tuple[int, int], list[int]] = {}
+        parts: list[bytes] = []
 
         def block() -> pa.RecordBatch:
+            nonlocal out, path, at
+            if out is None:
+                files, base = pafs.FileSystem.from_uri(folder)
+                files.create_dir(base, recursive=True)
+                path = f"tokens-{TaskContext.get().taskAttemptId()}.bin"
+                out = files.open_output_stream(f"{base}/{path}", compression=None)
             data = packer.compress(b"".join(parts))
-            row = [[part], [before], [held], [owners], [sizes], [data]]
+            out.write(data)
+            found = [[*mark, *text] for mark, text in texts.items()]
+            row = [[path], [at], [len(data)], [[dict(zip(TEXT.names, t, strict=True)) for t in found]]]
+            at += len(data)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, arrow, strict=True)], schema=arrow)
 
-        for batch in batches:
-            for piece in chunks(batch, column):
-                for number, text in zip(values(piece, "key"), values(piece, column), strict=True):
-                    ids = tool.encode_ordinary(text or "")
-                    ids.append(end)
-                    owners.append(number)
-                    sizes.append(len(ids))
-                    parts.append(np.array(ids, kind).tobytes())
-                    held += len(ids)
-                    if held >= BLOCK:
-                        yield block()
-                        before += held
-                        owners, sizes, parts, held = [], [], [], 0
-        if held:
-            yield block()
+        path = ""
+        try:
+            for batch in batches:
+                for piece in chunks(batch, column):
+                    for number, text in zip(values(piece, "key"), values(piece, column), strict=True):
+                        mark = order_mark(number, text or "")
+                        if mark in texts:
+                            texts[mark][2] += 1
+                        else:
+                            ids = tool.encode_ordinary(text or "")
+                            ids.append(end)
+                            texts[mark] = [number, len(ids), 1]
+                            parts.append(np.array(ids, kind).tobytes())
+                        held += texts[mark][1]
+                        if held >= BLOCK:
+                            yield block()
+                            texts, parts, held = {}, [], 0
+            if held:
+                yield block()
+        finally:
+            if out is not None:
+                out.close()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(column).alias(column)).mapInArrow(run, BLOCKS)
     return cut_lineage(rows, "tokens")
 
 
+def placed_blocks(blocks: DataFrame, rows: int = ROWS_PER_PIECE) -> DataFrame:
+    """A row a block: where it lies, and its texts in the order they are stored with the token that the first copy starts at."""
+    texts = blocks.select("path", "at", "stored", F.posexplode("texts").alias("pos", "text")).select("path", "at", "stored", "pos", "text.*")
+    # Copies in other blocks have the same hash and tokens, so it doesn't matter which of them is first.
+    order = ["high", "low", "path", "at"]
+    summed = with_running_sums(texts, order, {"stop": F.col("size") * F.col("copies")}, rows=rows)
+    start = F.col("stop") - F.col("size") * F.col("copies")
+    text = F.struct("pos", "doc", "size", "copies", start.alias("start"))
+    # A task's blocks make a bundle, and those of a file are neighbours. A block holds a bounded number of texts.
+    tasks = max(1, min(-(-blocks.count() // max(1, BUNDLE // BLOCK)), MOST_TASKS))
+    dealt = summed.select("path", "at", "stored", text.alias("text")).repartitionByRange(tasks, "path", "at")
+    return dealt.groupBy("path", "at", "stored").agg(F.sort_array(F.collect_list("text")).alias("texts"))
+
+
 def token_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
 
 
-def shard_pieces(blocks: DataFrame, starts: dict[int, int], sequences: int, kind: np.dtype, key: int, length: int, shard: int) -> DataFrame:
+def cut_texts(texts: list[dict], length: int) -> tuple[np.ndarray, ...]:
+    """Every text's copies cut where sequences end: sequence, place in it, tokens, first token in the block, text."""
+    copies, sizes = (np.array([t[c] for t in texts], np.int64) for c in ("copies", "size"))
+    text = np.repeat(np.arange(len(texts)), copies)
+    copy = np.arange(len(text)) - np.repeat(np.cumsum(copies) - copies, copies)
+    starts = np.array([t["start"] for t in texts], np.int64)[text] + copy * sizes[text]
+    stops = starts + sizes[text]
+    firsts = starts // length
+    counts = (stops - 1) // length - firsts + 1
+    of = np.repeat(np.arange(len(text)), counts)
+    sequence = firsts[of] + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    begins = np.maximum(sequence * length, starts[of])
+    ends = np.minimum((sequence + 1) * length, stops[of])
+    stored = (np.cumsum(sizes) - sizes)[text[of]] + begins - starts[of]
+    return sequence, begins - sequence * length, ends - begins, stored, text[of]
+
+
+def shard_pieces(blocks: DataFrame, folder: str, sequences: int, kind: np.dtype, key: int, length: int, shard: int) -> DataFrame:
     """Bundles of pieces for every file: slot, place in the sequence, document and token ids."""
-    shared = blocks.sparkSession.sparkContext.broadcast(starts)
     arrow = to_arrow_schema(PIECES)
 
     def bundles(held: dict[int, list[bytes]], packer: zstandard.ZstdCompressor) -> pa.RecordBatch:
@@ -167,29 +214,26 @@ def shard_pieces(blocks: DataFrame, starts: dict[int, int], sequences: int, kind
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, unpacker = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        files, base = pafs.FileSystem.from_uri(folder)
         held: dict[int, list[bytes]] = defaultdict(list)
         waiting = 0
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
-                raw = unpacker.decompress(row["tokens"])
-                start = shared.value[row["part"]] + row["before"]
-                # A piece ends where a document or a sequence does.
-                ends = np.cumsum(row["sizes"])
-                cuts = np.arange(-(-start // length) * length, start + row["count"] + 1, length) - start
-                stops = np.unique(np.concatenate([ends, cuts[(cuts > 0) & (cuts <= row["count"])]]))
-                begins = np.r_[0, stops[:-1]]
-                owner = np.searchsorted(ends, begins, side="right")
-                slots = permuted((start + begins) // length, sequences, key)
-                for slot, begin, stop, doc in zip(slots.tolist(), begins.tolist(), stops.tolist(), owner.tolist(), strict=True):
-                    number = row["docs"][doc]
-                    head = struct.pack(PIECE, slot, (start + begin) % length, stop - begin, number or 0, number is None)
-                    held[slot // shard].append(head + raw[begin * kind.itemsize : stop * kind.itemsize])
-                waiting += row["count"]
-                if waiting >= BUNDLE:
-                    yield bundles(held, packer)
-                    held.clear()
-                    waiting = 0
+                with files.open_input_file(f"{base}/{row['path']}") as file:
+                    file.seek(row["at"])
+                    raw = unpacker.decompress(file.read(row["stored"]))
+                cuts = cut_texts(row["texts"], length)
+                slots = permuted(cuts[0], sequences, key)
+                for slot, place, size, begin, text in zip(slots.tolist(), *(c.tolist() for c in cuts[1:]), strict=True):
+                    number = row["texts"][text]["doc"]
+                    head = struct.pack(PIECE, slot, place, size, number or 0, number is None)
+                    held[slot // shard].append(head + raw[begin * kind.itemsize : (begin + size) * kind.itemsize])
+                    waiting += size
+                    if waiting >= BUNDLE:
+                        yield bundles(held, packer)
+                        held.clear()
+                        waiting = 0
         if held:
             yield bundles(held, packer)
 
@@ -205,17 +249,14 @@ def write_shards(
     up; ``docs`` are the documents with tokens in it, in order. The table is stored.
     """
     spark = docs.sparkSession
-    blocks = token_blocks(docs, ranks_path, pattern, key, column)
-    kind = token_type(encoding(Path(ranks_path).read_text(encoding="ascii"), pattern).n_vocab + 1)
+    tokens = scratch_path(spark, "token-blocks")
+    blocks = token_blocks(docs, tokens, ranks_path, pattern, key, column)
     end = encoding(Path(ranks_path).read_text(encoding="ascii"), pattern).n_vocab
-    # One row a partition of the table, whatever its size.
-    counts = blocks.groupBy("part").agg(F.sum("count").alias("n")).orderBy("part").collect()
-    starts, total = {}, 0
-    for part, count in counts:
-        starts[part] = total
-        total += count
+    kind = token_type(end + 1)
+    held = F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + t["size"] * t["copies"])
+    total = blocks.agg(F.sum(held)).first()[0] or 0
     sequences = -(-total // length)
-    pieces = shard_pieces(blocks, starts, sequences, kind, seed, length, shard)
+    pieces = shard_pieces(placed_blocks(blocks), tokens, sequences, kind, seed, length, shard)
     arrow = to_arrow_schema(INDEX)
 
     def store(number: int, bundles: list[bytes]) -> pa.RecordBatch:
@@ -262,7 +303,12 @@ def write_shards(
     if "://" in folder:
         scheme, _, rest = folder.partition("://")
         index = index.withColumn("path", F.concat(F.lit(f"{scheme}://{rest.split('/')[0]}"), F.col("path")))
-    return cut_lineage(index, "index")
+    written = cut_lineage(index, "index")
+    if total:
+        files, base = pafs.FileSystem.from_uri(tokens)
+        files.delete_dir(base)
+    drop_scratch(blocks)
+    return written
 
 
 def read_shards(spark: SparkSession, index: DataFrame, first_slot: int = 0, run_slots: int = 1_024) -> DataFrame:

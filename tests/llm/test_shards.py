@@ -66,3 +66,29 @@ def test_empty_and_query(spark):
     rows = QUERIES["op7_shards"](spark, SF).collect()
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
     assert {d for r in rows for d in r.doc_ids} == {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+def test_slots_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(shards, "BLOCK", 2_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.filter("doc_id % 3 = 0")).unionByName(docs.filter("doc_id % 9 = 0"))
+
+    def slots(dealt):
+        index = written(spark, dealt, length=64, shard=100)
+        return {r.slot: (r.n_tokens, r.docs, r.tokens) for r in index.join(shards.read_shards(spark, index), "slot").collect()}
+
+    first = slots(docs.coalesce(1))
+    assert len(first) > 500 and first == slots(docs.repartition(5)) == slots(docs.orderBy(F.desc("doc_id")))
+
+
+@pytest.mark.parametrize("rows", [7, 1_000_000])
+def test_texts_start_where_those_before_end(spark, monkeypatch, rows):
+    monkeypatch.setattr(shards, "BLOCK", 500)
+    docs = spark.range(300).selectExpr("id % 40 AS doc_id", "repeat('word ', cast(id % 40 as int)) AS text").repartition(6)
+    blocks = shards.token_blocks(docs, scratch_path(spark, "token-blocks"), RANKS, public_tokenizers.PATTERN)
+    texts = [t for r in shards.placed_blocks(blocks, rows).collect() for t in r.texts]
+    spans = sorted((t.start + c * t["size"], t["size"], t.doc) for t in texts for c in range(t.copies))
+    assert len(spans) == 300
+    assert all(a + size == b for (a, size, _), (b, _, _) in zip(spans, spans[1:]))
+    marks = {d: shards.order_mark(d, "word " * d) for d in range(40)}
+    assert [d for _, _, d in spans] == sorted((d for _, _, d in spans), key=marks.get)

@@ -47,14 +47,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from pagemill.llm.batches import MOST_TASKS, chunks, dealt_ranges, values
-from pagemill.operators.ordering import ROWS_PER_PIECE, with_running_sums
+from pagemill.operators.ordering import with_running_sums
 from pagemill.session import ship_package
 from pagemill.storage import cut_lineage, drop_scratch, scratch_path
 
 SEQUENCE = 1_024
 SHARD = 8_192  # sequences a file
 BLOCK = 128 << 10  # tokens a stored block
-BUNDLE = 2 << 20  # tokens a task sorts by file before it passes them on
+BUNDLE = 8 << 20  # tokens a task sorts by file before it passes them on
+SORTED, MOST_SORTS = 1 << 16, 10_000  # texts a task puts in order, and parts of the order
 ROUNDS = 6
 HEADER, HEADER_BYTES = "<8sIIQQ32x", 64  # magic, tokens a sequence, bytes a token, first slot, sequences
 MAGIC = b"TOKSHARD"
@@ -169,17 +170,20 @@ def token_blocks(docs: DataFrame, folder: str, ranks_path: str, pattern: str, ke
     return cut_lineage(rows, "tokens")
 
 
-def placed_blocks(blocks: DataFrame, rows: int = ROWS_PER_PIECE) -> DataFrame:
+def placed_blocks(blocks: DataFrame, rows: int = SORTED) -> DataFrame:
     """A row a block: where it lies, and its texts in the order they are stored with the token that the first copy starts at."""
     texts = blocks.select("path", "at", "stored", F.posexplode("texts").alias("pos", "text")).select("path", "at", "stored", "pos", "text.*")
     # Copies in other blocks have the same hash and tokens, so it doesn't matter which of them is first.
     order = ["high", "low", "path", "at"]
-    summed = with_running_sums(texts, order, {"stop": F.col("size") * F.col("copies")}, rows=rows)
+    # A hash is spread evenly, so the parts need no quantiles.
+    parts = min(-(-(blocks.agg(F.sum(F.size("texts"))).first()[0] or 0) // rows), MOST_SORTS)
+    cuts = [-(2.0**63) + i * (2.0**64 / parts) for i in range(1, parts)]
+    summed = with_running_sums(texts, order, {"stop": F.col("size") * F.col("copies")}, cuts=cuts)
     start = F.col("stop") - F.col("size") * F.col("copies")
     text = F.struct("pos", "doc", "size", "copies", start.alias("start"))
-    # A task's blocks make a bundle, and those of a file are neighbours. A block holds a bounded number of texts.
+    # A task's blocks make a bundle. A block holds a bounded number of texts.
     tasks = max(1, min(-(-blocks.count() // max(1, BUNDLE // BLOCK)), MOST_TASKS))
-    dealt = summed.select("path", "at", "stored", text.alias("text")).repartitionByRange(tasks, "path", "at")
+    dealt = summed.select("path", "at", "stored", text.alias("text")).repartition(tasks, "path", "at")
     return dealt.groupBy("path", "at", "stored").agg(F.sort_array(F.collect_list("text")).alias("texts"))
 
 
@@ -213,7 +217,7 @@ def shard_pieces(blocks: DataFrame, folder: str, sequences: int, kind: np.dtype,
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, unpacker = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        packer, unpacker = zstandard.ZstdCompressor(level=6), zstandard.ZstdDecompressor()
         files, base = pafs.FileSystem.from_uri(folder)
         held: dict[int, list[bytes]] = defaultdict(list)
         waiting = 0
@@ -298,7 +302,10 @@ def write_shards(
         if bundles:
             yield store(number, bundles)
 
-    dealt = pieces.repartitionByRange(max(1, -(-sequences // shard)), "shard").sortWithinPartitions("shard")
+    # A task a file up to a bound; no sample is drawn, which would cut all texts twice.
+    files_a_task = max(1, -(-sequences // shard // MOST_TASKS))
+    tasks = max(1, -(-sequences // (shard * files_a_task)))
+    dealt = pieces.repartitionById(tasks, F.floor(F.col("shard") / files_a_task).cast("int")).sortWithinPartitions("shard")
     index = dealt.mapInArrow(run, INDEX)
     if "://" in folder:
         scheme, _, rest = folder.partition("://")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import urls
 from pagemill.operators.ordering import first_per_key, with_index
-from pagemill.storage import cut_lineage
+from pagemill.storage import BucketedTable, cut_lineage
 
 SLOT_DELAY_S = 2  # fixed values: pause between pages of a host, and pages in flight
 SLOTS = 5
@@ -26,9 +26,9 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_depth: int, max_pages: int | Non
     ``edges`` is ``(src, dst)``, ``seeds`` is ``(node)``. Each level is written
     to a scratch table: the plan of the next level stays short, and the join
     strategy is chosen from the level's real size. A hub's edges are split by
-    the adaptive skew join. New nodes are those whose least depth is the
-    level's: a grouping, which combines a hub's many links before the shuffle.
-    ``max_pages`` keeps the first nodes by (depth, node).
+    the adaptive skew join. A hub's many links are combined before the shuffle,
+    and the nodes visited so far lie in buckets, so a level shuffles only what
+    it finds. ``max_pages`` keeps the first nodes by (depth, node).
     """
     return _reach(edges, seeds.select("node"), max_depth, max_pages, None, None, None)
 
@@ -51,6 +51,11 @@ def best_first(
     return _reach(edges, seeds.select("node"), max_depth, max_pages, scores, beam, threshold)
 
 
+def unseen(found: DataFrame, visited: DataFrame) -> DataFrame:
+    """The different nodes of ``found`` that are not in ``visited``, a table in buckets of ``node``."""
+    return found.select("node").distinct().join(visited.select("node"), "node", "left_anti")
+
+
 def _reach(
     edges: DataFrame,
     seeds: DataFrame,
@@ -60,7 +65,10 @@ def _reach(
     beam: int | None,
     threshold: float | None,
 ) -> DataFrame:
-    links = edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    # One type for all nodes: a cast in the join would lose the buckets.
+    node_type = seeds.select("node").union(edges.select("dst")).schema["node"].dataType
+    links = edges.select("src", F.col("dst").cast(node_type)).filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    seeds = seeds.select(F.col("node").cast(node_type))
     order: list[str | Column] = ["node"] if scores is None else [F.desc("score"), F.asc("node")]
     extra = [] if scores is None else ["score"]
 
@@ -74,26 +82,28 @@ def _reach(
     if room is not None:
         level = level.orderBy(*order).limit(room)
     level = cut_lineage(level.select("node", F.lit(0).cast("long").alias("depth"), *extra), "reach")
-    visited = level
-    for depth in range(1, max_depth + 1):
-        if room is not None:
-            room -= level.count()
-            if room <= 0:
+    reached = level
+    visited = BucketedTable(edges.sparkSession, "visited", "node")
+    try:
+        for depth in range(1, max_depth + 1):
+            if room is not None:
+                room -= level.count()
+                if room <= 0:
+                    break
+            found = links.join(level.select(F.col("node").alias("src")), "src", "left_semi")
+            new = scored(unseen(found.withColumnRenamed("dst", "node"), visited.append(level.select("node"))))
+            if threshold is not None:
+                new = new.filter(F.col("score") >= threshold)
+            width = min(w for w in (beam, room, float("inf")) if w is not None)
+            if width != float("inf"):
+                new = new.orderBy(*order).limit(int(width))
+            level = cut_lineage(new.select("node", F.lit(depth).cast("long").alias("depth"), *extra), "reach")
+            if level.isEmpty():
                 break
-        found = links.join(level.select(F.col("node").alias("src")), "src", "left_semi")
-        seen = found.select(F.col("dst").alias("node"), F.lit(depth).cast("long").alias("depth"))
-        least = visited.select("node", "depth").unionByName(seen).groupBy("node").agg(F.min("depth").alias("depth"))
-        new = scored(least.filter(F.col("depth") == depth).select("node"))
-        if threshold is not None:
-            new = new.filter(F.col("score") >= threshold)
-        width = min(w for w in (beam, room, float("inf")) if w is not None)
-        if width != float("inf"):
-            new = new.orderBy(*order).limit(int(width))
-        level = cut_lineage(new.select("node", F.lit(depth).cast("long").alias("depth"), *extra), "reach")
-        if level.isEmpty():
-            break
-        visited = visited.unionByName(level)
-    return visited
+            reached = reached.unionByName(level)
+    finally:
+        visited.drop()
+    return reached
 
 
 def merge_crawls(old: DataFrame, new: DataFrame, seq: Sequence[str | Column], url: str = "url", **options) -> DataFrame:

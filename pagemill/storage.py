@@ -58,6 +58,33 @@ def drop_scratch(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class BucketedTable:
+    """A growing scratch table in hash buckets of one column.
+
+    A join on ``key`` reads it where it lies: with as many buckets as the
+    session has shuffle partitions, only the other side is shuffled. Each
+    :meth:`append` adds a file a bucket.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, key: str):
+        self.spark, self.key = spark, key
+        self.path = scratch_path(spark, label)
+        self.name = f"pagemill_{uuid.uuid4().hex}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def append(self, rows: DataFrame) -> DataFrame:
+        """Add ``rows``; a scan of all rows so far."""
+        dealt = rows.repartition(self.buckets, self.key).write.format("parquet").mode("append")
+        dealt.bucketBy(self.buckets, self.key).sortBy(self.key).option("path", self.path).saveAsTable(self.name)
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        """Delete the table and its files."""
+        if self.spark.catalog.tableExists(self.name):
+            drop_scratch(self.spark.table(self.name))
+            self.spark.sql(f"DROP TABLE {self.name}")
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; for a plain scan, the bytes on disk."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from pagemill.operators import html, links, ordering, records, urls
+from pagemill.operators import graph, html, links, ordering, records, urls
+from pagemill.storage import BucketedTable
 from pagemill.suite import QUERIES, registry
 
 SF = "/root/testdata/sf0.001"
@@ -22,6 +23,23 @@ def test_first_per_key_prunes_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
+def test_visited_nodes_are_not_shuffled(spark):
+    visited = BucketedTable(spark, "visited", "node")
+    visited.append(spark.range(0, 500).withColumnRenamed("id", "node"))
+    seen = visited.append(spark.range(500, 900).withColumnRenamed("id", "node"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = graph.unseen(spark.range(800, 1_000).selectExpr("id % 950 AS node"), seen)
+        text = plan(new)
+        assert text.count("Exchange") == 1 and "Bucketed: true" in text
+        assert text.index("Exchange") < text.index("Bucketed: true")
+        assert sorted(r.node for r in new.collect()) == list(range(900, 950))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        visited.drop()
+    assert not spark.catalog.tableExists(visited.name)
+
+
 def test_page_jobs_do_not_shuffle_large_scans(spark, monkeypatch):
     from pagemill import storage
 

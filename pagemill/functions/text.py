@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from functools import cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every code point that counts as white space (Spark's plain trim strips spaces only).
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
-# The entities decoded natively. ``&amp;`` comes last so that
-# ``&amp;lt;`` is decoded once, to ``&lt;``.
+# The common entities.
 ENTITIES = (
     ("&lt;", "<"),
     ("&gt;", ">"),
@@ -27,6 +30,7 @@ ENTITIES = (
     ("&euro;", "€"),
     ("&amp;", "&"),
 )
+_PIECE = r"(&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|&|[^&]+)"
 
 
 def strip(col: Column) -> Column:
@@ -48,26 +52,35 @@ def estimate_tokens(col: Column) -> Column:
     return F.floor(F.length(col) / F.lit(4))
 
 
-def decode_numeric(col: Column) -> Column:
-    """Decode decimal and hexadecimal entities once; numbers that are no letter stay."""
-    found = F.array_distinct(F.regexp_extract_all(col, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1)))
+@cache
+def _known_entities() -> str:
+    """Every named entity that ends in a semicolon, as a JSON object; the common ones come first."""
+    known = dict(ENTITIES)
+    for name, chars in html5.items():
+        if name.endswith(";"):
+            known.setdefault(f"&{name}", chars)
+    return json.dumps(known)
 
-    def one(text: Column, digits: Column) -> Column:
-        hexadecimal = F.lower(F.substring(digits, 1, 1)) == "x"
-        number = F.when(hexadecimal, F.conv(F.substring(digits, 2, 7), 16, 10)).otherwise(digits).cast("int")
-        letter = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        known = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        return F.when(known, F.replace(text, F.concat(F.lit("&#"), digits, F.lit(";")), letter)).otherwise(text)
 
-    return F.when(col.contains("&#"), F.aggregate(found, col, one)).otherwise(col)
+def _numbered(entity: Column) -> Column:
+    """The letter of a decimal or hexadecimal entity; null for a number that is no letter."""
+    digits = F.regexp_extract(entity, "([0-9a-fA-F]+);", 1)
+    hexadecimal = F.lower(F.substring(entity, 3, 1)) == "x"
+    number = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+    known = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
 
 def decode_entities(col: Column) -> Column:
-    """Decode numeric entities and those of :data:`ENTITIES` once."""
-    col = decode_numeric(col)
-    for entity, char in ENTITIES:
-        col = F.replace(col, F.lit(entity), F.lit(char))
-    return col
+    """Decode numeric entities and all named ones that end in a semicolon, each once; what is none stays."""
+    known = F.from_json(F.lit(_known_entities()), "map<string,string>")
+
+    def one(piece: Column) -> Column:
+        letter = F.when(piece.startswith("&#"), _numbered(piece)).when(piece.startswith("&"), F.try_element_at(known, piece))
+        return F.coalesce(letter, piece)
+
+    pieces = F.regexp_extract_all(col, F.lit(_PIECE), F.lit(1))
+    return F.when(col.contains("&"), F.array_join(F.transform(pieces, one), "")).otherwise(col)
 
 
 def nonempty(col: Column) -> Column:

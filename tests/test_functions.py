@@ -1,5 +1,7 @@
 """Literal cases of the column functions."""
 
+from html.entities import html5
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +100,15 @@ def test_entities_are_decoded_once(spark):
     assert value(spark, X.decode_entities(F.col("t")), t=text) == "’🙂A '&#65;&lt; &#0;&#xD800;&#9999999; &#65"
 
 
+def test_all_named_entities_are_decoded(spark):
+    names = [n for n in html5 if n.endswith(";") and n not in ("nbsp;", "amp;")]
+    got = value(spark, X.decode_entities(F.col("t")), t="|".join(f"&{n}" for n in names))
+    assert got == "|".join(html5[n] for n in names) and len(names) > 2_000
+    text = "caf&eacute; &rarr; &nosuch; &eacute R&D &&lt;&#38;lt; &;"
+    assert value(spark, X.decode_entities(F.col("t")), t=text) == "café → &nosuch; &eacute R&D &<&lt; &;"
+    assert value(spark, X.decode_entities(F.col("t").cast("string")), t="") == ""
+
+
 def test_strip_takes_all_white_space(spark):
     assert value(spark, X.strip(F.col("t")), t=" \n\t x y \x0b　") == "x y"
 

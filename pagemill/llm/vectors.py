@@ -94,7 +94,10 @@ def fit_index(distinct: DataFrame) -> Index | None:
     total, width, longest = distinct.agg(F.count("*"), F.max(F.size("q")), F.max(square)).first()
     if not total:
         return None
-    rows = distinct.orderBy(F.xxhash64("vid"), "vid").limit(SAMPLE).select("q").collect()
+    # The lowest hashes. Only about twice as many are looked at, or every task would send the driver as many as are wanted.
+    spot, share = F.xxhash64("vid"), 2 * SAMPLE / total
+    low = distinct.filter(spot < int(share * 2**64) - 2**63) if share < 1 else distinct
+    rows = low.orderBy(spot, "vid").limit(SAMPLE).select("q").collect()
     index = Index(width, float(longest), np.zeros((0, width + 1)), [], np.zeros(0, int))
     points = index.lifted(index.matrix([r["q"] for r in rows]))
     chosen, gap = [0], ((points - points[0]) ** 2).sum(1)
@@ -216,7 +219,8 @@ def scored(blocks: DataFrame, coming: DataFrame, width: int, top: int) -> DataFr
                 if out:
                     yield _rows(FOUND, list(zip(*out, strict=True)))
 
-    met = blocks.join(coming, "ring").select("vids", "ids", "data", "qids", "bounds", "queries")
+    # Never a broadcast: packed numbers take few bytes in a file and many times as many in memory. An annulus has fewer blocks than visits.
+    met = coming.join(blocks.hint("merge"), "ring").select("vids", "ids", "data", "qids", "bounds", "queries")
     return met.mapInArrow(run, FOUND)
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,3 +45,27 @@ def test_few_and_none(spark):
     frame = spark.createDataFrame([(0, [1.0]), (5, [2.0])], "vec_id long, embedding array<double>")
     assert counted(tuple(r) for r in vectors.top_k(frame, F.lit(True)).collect()) == counted([(0, 1, 5, 64 * 128), (5, 1, 0, 64 * 128)])
     assert vectors.top_k(frame.limit(0), F.lit(True)).count() == 0
+
+
+def test_packed_blocks_are_not_broadcast(spark, monkeypatch):
+    """They take few bytes in a file: by its size a table was sent through the driver that is many times as large in memory."""
+    frame = spark.createDataFrame([(i, [i / 64, 1.0]) for i in range(300)], "vec_id long, embedding array<double>")
+    real, plans = vectors.scored, []
+
+    def scored(*args):
+        found = real(*args)
+        plans.append(re.search(r"\w+Join", found._jdf.queryExecution().executedPlan().toString()).group())
+        return found
+
+    monkeypatch.setattr(vectors, "scored", scored)
+    vectors.top_k(frame, F.col("vec_id") % 20 == 0)
+    assert plans == ["SortMergeJoin"] * 2  # the last join
+
+
+def test_sample_is_the_lowest_hashes(spark, monkeypatch):
+    rows = [(f"v{i}", [i, i * i % 71, -i]) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "vid string, q array<long>")
+    monkeypatch.setattr(vectors, "SAMPLE", 100)
+    index = vectors.fit_index(frame)
+    lowest = [r["q"] for r in frame.orderBy(F.xxhash64("vid"), "vid").limit(100).collect()]
+    assert index.pivots[0, :3].tolist() == lowest[0] and {tuple(p) for p in index.pivots[:, :3].tolist()} <= {tuple(q) for q in lowest}

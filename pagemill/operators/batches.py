@@ -187,13 +187,14 @@ def pack_batches(
     entered = small.withColumns(start)
     if large is not None:
         pieces = with_pieces(large, order, cuts)
-        entered = entered.unionByName(null_safe_join(pieces, _entries(pieces, group, order, limit, len(cuts) + 1), names))
+        # Never a broadcast: sizes take a byte or less a row in a file, as they repeat, and a hundred in memory.
+        entered = entered.unionByName(null_safe_join(pieces.hint("merge"), _entries(pieces, group, order, limit, len(cuts) + 1), names))
     items = [sizes.schema[c] for c in (order, "_tokens", "_tie")]
     schema = T.StructType([*keys, *items, T.StructField("batch_no", T.LongType())])
     numbered = entered.groupBy(*names).applyInPandas(number, schema)
     if set(df.columns) == {*group, order, tokens}:
         return numbered.withColumn(tokens, F.col("_tokens").cast(df.schema[tokens].dataType)).select(*df.columns, "batch_no")
-    return null_safe_join(kept, numbered, [*group, order, "_tokens", "_tie"]).select(*df.columns, "batch_no")
+    return null_safe_join(kept.hint("merge"), numbered, [*group, order, "_tokens", "_tie"]).select(*df.columns, "batch_no")
 
 
 def _by_group_size(sizes: DataFrame, group: list[str], piece_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -253,7 +254,8 @@ def _enter(described: DataFrame, group: list[str], n_pieces: int) -> DataFrame:
     entries = top.groupBy(*group, "_block").applyInPandas(chain, T.StructType([*keys, *entry.fields]))
     while levels:
         above = cut_lineage(entries.withColumnRenamed(PIECE, "_block"), "entries")
-        parts = null_safe_join(levels.pop().withColumn("_block", block), above, [*group, "_block"])
+        # Nor are the courses, for the same reason.
+        parts = null_safe_join(levels.pop().withColumn("_block", block).hint("merge"), above, [*group, "_block"])
         entries = parts.groupBy(*group, "_block").applyInPandas(chain, T.StructType([*keys, *entry.fields]))
     return entries
 

@@ -1,6 +1,7 @@
 """Numbering, packing, lookups and sessions on skewed inputs, against plain loops."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -246,3 +247,21 @@ def test_adaptive_stats_do_not_depend_on_pieces(spark, monkeypatch):
 def test_order_must_be_numeric(spark):
     with pytest.raises(ValueError, match="numeric"):
         ordering.with_index(spark.createDataFrame([("a",)], "id string"), "id")
+
+
+def test_sizes_and_courses_are_not_broadcast(spark, monkeypatch):
+    """Sizes and courses that repeat take a byte or two a row in a file; by its size they were sent through the driver."""
+    monkeypatch.setattr(batches, "PIECES_AT_ONCE", 4)
+    real, plans = batches.null_safe_join, []
+
+    def join(*args):
+        found = real(*args)
+        if {"_block", ordering.PIECE, "_tie"} & set(args[2]):
+            plans.append(re.search(r"\w+Join", found._jdf.queryExecution().executedPlan().toString()).group())
+        return found
+
+    monkeypatch.setattr(batches, "null_safe_join", join)
+    rows = [("x", i, 1 + i % 3) for i in range(300)]
+    got = batches.pack_batches(spark.createDataFrame(rows, "g string, id long, tokens long"), ["g"], "id", 50, piece_rows=10).collect()
+    assert sorted((r["id"], r["batch_no"]) for r in got) == greedy([(i, t) for _, i, t in rows], 50)
+    assert set(plans) == {"SortMergeJoin"}  # the last join

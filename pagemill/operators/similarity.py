@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,10 @@ OVERLAP = 0.85
 QUERY_BLOCK = 1_000
 MAX_PIVOTS = 512
 BLOCK_ROWS = 4_000
+COMPARED_ROWS = 4_000
+GRID = 8
+TASK_ROWS = 64_000
+ROUNDING = 1e-5  # of a product of unit vectors in single precision, besides what its width adds
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -117,18 +121,16 @@ def near_duplicates(df: DataFrame, key: str, threshold: float = OVERLAP, vector:
     vector. Equal vectors are folded to their first key before anything is
     compared. The others are put in the cell of their nearest pivot; a vector
     also visits a cell whose border is within the threshold distance, since
-    only such cells can hold a copy of it. Cells are compared in blocks of
-    bounded size, so a cell with a third of all vectors is spread over as many
-    tasks as its share.
+    only such cells can hold a copy of it. Neighbouring cells make up chunks,
+    and the visitors of a chunk are dealt to slices: a vector travels once to
+    each slice of its chunk and once to each chunk it visits, however many cells
+    that are. There are ``GRID`` of either, more only if a task would hold over
+    ``TASK_ROWS`` members, so what is shuffled grows with the vectors.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).filter(F.col("v").isNotNull())
     folded = rows.groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("_n"))
     folded = cut_lineage(folded, "vectors")
-    near = _earliest_near(folded.select(F.col("first").alias("id"), "v"), threshold).withColumnRenamed("id", "first")
-    copies = folded.join(near, "first", "left")
-    copy = F.least(F.when(F.col("first") < F.col("id"), F.col("first")), F.col("near"))
-    joined = lookup_join(rows, copies, "v")
-    return joined.select(F.col("id").alias(key), copy.alias("duplicate_of")).filter(F.col("duplicate_of").isNotNull())
+    return _with_copies(rows, folded, _earliest_near(_vectors(folded), threshold), key)
 
 
 def likely_duplicates(
@@ -142,22 +144,34 @@ def likely_duplicates(
     ``1 - angle / pi``; there are as many bands as make it meet with the
     probability ``recall``, nearer pairs meet more surely. What meets is
     verified, so no pair below the threshold is given. At 0.85, 12 bits and 0.97
-    that are 35 bands; of unrelated vectors one pair in 120 is compared.
+    that are 35 bands; of unrelated vectors one pair in 120 is compared. A vector
+    travels once a band, in single precision.
     """
     agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
     bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(agree**bits, 1 - 1e-12))))
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).filter(F.col("v").isNotNull())
     folded = cut_lineage(rows.groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("_n")), "vectors")
-    placed = cut_lineage(_banded(folded.select(F.col("first").alias("id"), "v"), bands, bits, seed), "bands")
-    near = _earliest_in_cells(placed, threshold).withColumnRenamed("id", "first")
-    copies = folded.join(near, "first", "left")
+    vectors = _vectors(folded)
+    counts = _banded(vectors, bands, bits, seed, False).groupBy("cell").count()
+    crowded = cut_lineage(counts.filter(F.col("count") > BLOCK_ROWS), "crowded-cells")
+    found = _earliest_in_cells(_banded(vectors, bands, bits, seed), crowded, threshold)
+    return _with_copies(rows, folded, _verified(found, vectors, threshold), key)
+
+
+def _vectors(folded: DataFrame) -> DataFrame:
+    return folded.filter(F.col("first").isNotNull()).select(F.col("first").alias("id"), "v")
+
+
+def _with_copies(rows: DataFrame, folded: DataFrame, near: DataFrame, key: str) -> DataFrame:
+    """The earlier of an equal vector and the near one of ``near(id, near)``, for every row that has either."""
+    copies = folded.join(near.withColumnRenamed("id", "first"), "first", "left")
     copy = F.least(F.when(F.col("first") < F.col("id"), F.col("first")), F.col("near"))
     joined = lookup_join(rows, copies, "v")
     return joined.select(F.col("id").alias(key), copy.alias("duplicate_of")).filter(F.col("duplicate_of").isNotNull())
 
 
-def _banded(vectors: DataFrame, bands: int, bits: int, seed: int) -> DataFrame:
-    """``cell, is_home, id, v``: every vector once a band, the cell being the band and its signs."""
+def _banded(vectors: DataFrame, bands: int, bits: int, seed: int, whole: bool = True) -> DataFrame:
+    """``cell, id, v``: every vector once a band, the cell being the band and its signs; only the cells if not ``whole``."""
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         planes: dict[int, np.ndarray] = {}
@@ -171,15 +185,19 @@ def _banded(vectors: DataFrame, bands: int, bits: int, seed: int) -> DataFrame:
                     planes[width] = np.random.default_rng(seed).normal(size=(width, bands * bits))
                 signs = (unit @ planes[width] > 0).reshape(len(part), bands, bits)
                 cells = (signs @ weights) + (np.arange(bands, dtype=np.int64) << bits)
-                data = np.repeat(np.array([u.tobytes() for u in unit], object), bands)
-                yield pd.DataFrame({"cell": cells.ravel(), "is_home": True, "id": np.repeat(part["id"].to_numpy(), bands), "v": data})
+                if whole:
+                    data = np.repeat(np.array([u.tobytes() for u in unit.astype(np.float32)], object), bands)
+                    yield pd.DataFrame({"cell": cells.ravel(), "id": np.repeat(part["id"].to_numpy(), bands), "v": data})
+                else:
+                    yield pd.DataFrame({"cell": cells.ravel()})
 
-    return vectors.mapInPandas(place, "cell long, is_home boolean, id long, v binary")
+    return vectors.mapInPandas(place, "cell long, id long, v binary" if whole else "cell long")
 
 
 def _earliest_near(vectors: DataFrame, threshold: float) -> DataFrame:
     # A bounded, repeatable choice of pivots, one for each block of vectors: the lowest hashes.
-    wanted = min(math.ceil(vectors.count() / BLOCK_ROWS), MAX_PIVOTS)
+    total = vectors.count()
+    wanted = min(math.ceil(total / BLOCK_ROWS), MAX_PIVOTS)
     chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()
     if chosen.empty:
         return vectors.select("id", F.lit(None).cast("long").alias("near"))
@@ -188,89 +206,155 @@ def _earliest_near(vectors: DataFrame, threshold: float) -> DataFrame:
     reach = math.sqrt(max(2 - 2 * threshold, 0.0)) + 1e-9
     spread = np.where(between > 0, between, np.inf)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def borders(unit: np.ndarray, home: np.ndarray) -> np.ndarray:
+        """Distance to the border between the home cell and every other cell."""
+        squares = 2 - 2 * (unit @ pivots.T)
+        return (squares - squares[np.arange(len(unit)), home][:, None]) / (2 * spread[home])
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            unit = _unit(batch["v"])
-            squares = 2 - 2 * (unit @ pivots.T)
-            home = squares.argmin(axis=1)
-            # Distance to the border between the home cell and every other cell.
-            border = (squares - squares[np.arange(len(unit)), home][:, None]) / (2 * spread[home])
-            row, cell = np.nonzero(border <= reach)
-            yield pd.DataFrame(
-                {"cell": cell, "is_home": home[row] == cell, "id": batch["id"].to_numpy()[row], "v": [u.tobytes() for u in unit[row]]}
-            )
+            if len(batch):
+                yield pd.DataFrame({"home": (2 - 2 * (_unit(batch["v"]) @ pivots.T)).argmin(axis=1), "id": batch["id"], "v": batch["v"]})
 
+    homes = cut_lineage(vectors.mapInPandas(settle, T.StructType([T.StructField("home", T.IntegerType()), *vectors.schema.fields])), "cells")
     # At most one row for each pivot.
-    placed = vectors.mapInPandas(place, "cell int, is_home boolean, id long, v binary")
-    return _earliest_in_cells(cut_lineage(placed, "cells"), threshold)
-
-
-def _earliest_in_cells(placed: DataFrame, threshold: float) -> DataFrame:
-    """The earliest near member of a cell for every visitor of it; ``placed`` has a row a cell that a vector visits."""
-    sizes = placed.groupBy("cell").agg(
-        F.ceil(F.count_if("is_home") / F.lit(BLOCK_ROWS)).cast("int").alias("member_blocks"),
-        F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("visit_blocks"),
-        F.count("*").alias("n"),
-    )
-    sized = placed.join(sizes.filter("member_blocks > 0 AND n > 1").drop("n"), "cell")
-    spot = F.xxhash64("id")
-    members = sized.filter("is_home").select(
-        "cell",
-        F.pmod(spot, F.col("member_blocks")).cast("int").alias("member_block"),
-        F.explode(F.sequence(F.lit(0), F.col("visit_blocks") - 1)).alias("visit_block"),
-        F.lit(True).alias("is_member"),
-        "id",
-        "v",
-    )
-    visits = sized.select(
-        "cell",
-        F.explode(F.sequence(F.lit(0), F.col("member_blocks") - 1)).alias("member_block"),
-        F.pmod(spot, F.col("visit_blocks")).cast("int").alias("visit_block"),
-        F.lit(False).alias("is_member"),
-        "id",
-        "v",
-    )
-
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("near", T.LongType())])
+    held = {r["home"]: r["count"] for r in homes.groupBy("home").count().collect()}
+    grid = max(GRID, math.ceil(total / TASK_ROWS))
+    first, parts, at, room = np.zeros(len(pivots), int), np.ones(len(pivots), int), 0, math.ceil(total / grid)
+    filled = 0
+    for cell in range(len(pivots)):
+        if filled and filled + held.get(cell, 0) > room:
+            at, filled = at + 1, 0
+        first[cell], parts[cell] = at, max(1, math.ceil(held.get(cell, 0) / room))
+        filled += held.get(cell, 0)
+        if parts[cell] > 1:  # a cell larger than a chunk: its members are dealt to chunks of its own
+            at, filled = at + int(parts[cell]), 0
+    chunk_of = np.zeros((len(pivots), int((first + parts).max())), bool)
+    for cell in range(len(pivots)):
+        chunk_of[cell, first[cell] : first[cell] + parts[cell]] = True
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for begin in range(0, len(whole), QUERY_BLOCK):
+                batch = whole.iloc[begin : begin + QUERY_BLOCK]
+                unit, home, spot = _unit(batch["v"]), batch["home"].to_numpy(), batch["spot"].to_numpy()
+                data, ids = np.array([u.tobytes() for u in unit.astype(np.float32)], object), batch["id"].to_numpy()
+                visited = (borders(unit, home) <= reach).astype(np.float32) @ chunk_of.astype(np.float32) > 0
+                row, chunk = np.nonzero(visited)
+                member, slices = np.repeat(np.arange(len(batch)), grid), np.tile(np.arange(grid), len(batch))
+                for own, r, c, s in ((0, member, (first[home] + (spot // grid) % parts[home])[member], slices), (1, row, chunk, (spot % grid)[row])):
+                    yield pd.DataFrame({"cell": c, "part": s, "own": own, "home": home[r], "id": ids[r], "v": data[r]})
+
+    def pairs(group: dict[str, np.ndarray], unit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        member, visitor = np.flatnonzero(group["own"] == 0), np.flatnonzero(group["own"] == 1)
+        near = borders(unit[visitor], group["home"][visitor]) <= reach + ROUNDING
+        cells = group["home"][member]
+        for cell in np.unique(cells):
+            yield visitor[near[:, cell]], member[cells == cell]
+
+    spot = F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("spot")
+    dealt = homes.select("home", "id", "v", spot).mapInPandas(deal, "cell int, part int, own int, home int, id long, v binary")
+    return _verified(_compared(dealt, ["cell", "part"], pairs, threshold), vectors, threshold)
+
+
+def _earliest_in_cells(placed: DataFrame, crowded: DataFrame, threshold: float) -> DataFrame:
+    """What :func:`_compared` finds in every cell of ``placed(cell, id, v)``.
+
+    A cell of ``crowded(cell, count)`` is cut into blocks, and each pair of
+    blocks is compared by itself.
+    """
+    blocks = F.coalesce(F.ceil(F.col("count") / F.lit(BLOCK_ROWS)), F.lit(1)).cast("int")
+    sized = placed.join(F.broadcast(crowded), "cell", "left").select("cell", "id", "v", blocks.alias("blocks"))
+    sized = sized.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    spread = sized.select("cell", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), F.lit(0).alias("home"), "id", "v")
+    dealt = spread.select("cell", F.least("own", "other").alias("part"), F.greatest("own", "other").alias("other"), "own", "home", "id", "v")
+
+    def pairs(group: dict[str, np.ndarray], unit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        one, two = (np.flatnonzero(group["own"] == group[c][0]) for c in ("part", "other"))
+        yield one, two
+        if group["part"][0] != group["other"][0]:
+            yield two, one
+
+    return _compared(dealt, ["cell", "part", "other"], pairs, threshold)
+
+
+def _earliest(visitor: np.ndarray, member: np.ndarray, ids: np.ndarray, unit: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Of the members before a visitor the earliest that is near for certain, and those before it that may be."""
+    member = member[np.argsort(ids[member], kind="stable")]
+    blur = ROUNDING + unit.shape[1] * 1.2e-7
+    for at in range(0, len(visitor), QUERY_BLOCK):
+        left = visitor[at : at + QUERY_BLOCK]
+        for start in range(0, len(member), COMPARED_ROWS):
+            some = member[start : start + COMPARED_ROWS]
+            left = left[ids[left] > ids[some[0]]]
+            if not len(left):
+                break
+            score = unit[left] @ unit[some].T
+            before = ids[some][None, :] < ids[left][:, None]
+            sure = before & (score >= threshold + blur)
+            hit, place = sure.any(axis=1), sure.argmax(axis=1)
+            yield ids[left[hit]], ids[some[place[hit]]], True
+            row, column = np.nonzero(before & (score >= threshold - blur) & ~sure)
+            early = ~hit[row] | (column < place[row])
+            yield ids[left[row[early]]], ids[some[column[early]]], False
+            left = left[~hit]
+
+
+def _compared(dealt: DataFrame, keys: list[str], pairs: Callable, threshold: float) -> DataFrame:
+    """``id, near, sure`` of the groups of ``dealt`` by ``keys``; ``pairs`` tells which rows of a group visit which members."""
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("near", T.LongType()), T.StructField("sure", T.BooleanType())])
     arrow = to_arrow_schema(schema)
-
-    def compare(ids: np.ndarray, member: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if member.all() or not member.any():
-            return ids[:0], ids[:0]
-        order = np.argsort(ids[member])
-        member_ids, visit_ids = ids[member][order], ids[~member]
-        close = unit[~member] @ unit[member][order].T >= threshold
-        close &= member_ids[None, :] < visit_ids[:, None]
-        hit = close.any(axis=1)
-        return visit_ids[hit], member_ids[close.argmax(axis=1)[hit]]
+    columns = [*keys, "own", "home", "id"]
+
+    def done(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        held = {c: table.column(c).to_numpy() for c in columns}
+        data = table.column("v")
+        for a, b in zip(first, [*first[1:], len(table)], strict=True):
+            if b - a > 1:
+                unit = np.frombuffer(b"".join(data.slice(a, b - a).to_pylist()), np.float32).reshape(b - a, -1)
+                group = {c: x[a:b] for c, x in held.items()}
+                for visitor, member in pairs(group, unit):
+                    for one, other, sure in _earliest(visitor, member, group["id"], unit, threshold):
+                        if len(one):
+                            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(other), pa.array(np.full(len(one), sure))], schema=arrow)
+
+    def edges(table: pa.Table) -> np.ndarray:
+        numbers = np.column_stack([table.column(c).to_numpy() for c in keys])
+        return np.flatnonzero(np.r_[True, (numbers[1:] != numbers[:-1]).any(axis=1)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The blocks of a task one after the other; there can be very many of a few vectors."""
+        """The groups of a task one after the other; there can be very many of a few vectors."""
         held: list[pa.RecordBatch] = []
-
-        def done(table: pa.Table) -> pa.RecordBatch:
-            ids, member, first = table.column("id").to_numpy(), table.column("is_member").to_numpy(), edges(table)
-            unit = np.frombuffer(b"".join(table.column("v").to_pylist())).reshape(len(ids), -1)
-            found = [compare(ids[a:b], member[a:b], unit[a:b]) for a, b in zip(first, [*first[1:], len(ids)], strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], schema=arrow)
-
-        def edges(table: pa.Table) -> np.ndarray:
-            keys = np.column_stack([table.column(c).to_numpy() for c in ("cell", "member_block", "visit_block")])
-            return np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-
         for batch in batches:
-            if batch.num_rows:
+            if not batch.num_rows:
+                continue
+            if held and any(batch.column(c)[-1] != held[-1].column(c)[-1] for c in keys):
+                table = pa.Table.from_batches([*held, batch])
+                first = edges(table)
+                last = int(first[-1])  # the last group can go on in the next batch
+                yield from done(table.slice(0, last), first[:-1])
+                held = table.slice(last).combine_chunks().to_batches()
+            else:
                 held.append(batch)
-                table = pa.Table.from_batches(held)
-                last = int(edges(table)[-1])  # the last block can go on in the next batch
-                if last:
-                    yield done(table.slice(0, last))
-                    held = table.slice(last).combine_chunks().to_batches()
         if held:
-            yield done(pa.Table.from_batches(held))
+            table = pa.Table.from_batches(held)
+            yield from done(table, edges(table))
+
+    spread = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    return spread.select(*columns, "v").mapInArrow(run, schema)
 
-    keys = ["cell", "member_block", "visit_block"]
-    dealt = members.unionByName(visits).repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.select(*keys, "is_member", "id", "v").mapInArrow(run, schema).groupBy("id").agg(F.min("near").alias("near"))
+
+def _verified(found: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """``id, near``: the earliest near one of each, what single precision can't decide by the whole vectors."""
+    found = cut_lineage(found.groupBy("id", "near").agg(F.max("sure").alias("sure")), "found")
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                close = (_unit(batch["v"]) * _unit(batch["w"])).sum(axis=1) >= threshold
+                yield batch.loc[close, ["id", "near"]]
+
+    unsure = found.filter("NOT sure").select("id", "near").join(vectors, "id")
+    unsure = unsure.join(vectors.select(F.col("id").alias("near"), F.col("v").alias("w")), "near")
+    both = found.filter("sure").select("id", "near").unionByName(unsure.mapInPandas(check, "id long, near long"))
+    return both.groupBy("id").agg(F.min("near").alias("near"))

@@ -147,3 +147,39 @@ def test_stream_dedupe_within_a_watermark(spark):
     kept = jobs.stream_dedupe(stream, ["k"], "ts", "1 hour", salts=3).select("k")
     jobs.finish(jobs.run_to_files(kept, out, checkpoint))
     assert sorted(r["k"] for r in spark.read.schema("k string").parquet(out).collect()) == ["a", "b"]
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.9])
+def test_near_duplicates_in_chunks_and_slices(spark, monkeypatch, threshold):
+    """More cells and chunks than fit a task, one of them crowded, and pairs that lie on the threshold."""
+    for name, value in (("BLOCK_ROWS", 20), ("COMPARED_ROWS", 16), ("QUERY_BLOCK", 9), ("GRID", 3), ("TASK_ROWS", 60)):
+        monkeypatch.setattr(similarity, name, value)
+    rng = np.random.default_rng(9)
+    data = rng.normal(size=(200, 6))
+    data[60:180] = data[3] + rng.normal(scale=0.01, size=(120, 6))
+    data[181] = data[180] * 2
+    ids = rng.permutation(len(data))
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, data)] + [(None, data[5].tolist())], "id long, embedding array<double>")
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    close = (unit @ unit.T >= threshold) & (ids[None, :] < ids[:, None])
+    expected = {int(ids[i]): int(ids[close[i]].min()) for i in range(len(ids)) if close[i].any()}
+    got = similarity.near_duplicates(frame, "id", threshold).collect()
+    assert {r["id"]: r["duplicate_of"] for r in got if r["id"] is not None} == expected
+
+
+def test_products_at_the_threshold_are_judged_by_whole_vectors(spark):
+    """Cosines of 0.6 and a little less, which single precision can't tell apart."""
+    rows = [(1, [1.0, 0.0]), (2, [0.6 - 1e-9, 0.8]), (3, [-1.0, 0.0]), (4, [-0.6 - 1e-9, -0.8])]
+    frame = spark.createDataFrame(rows, "id long, embedding array<double>")
+    for found in (similarity.near_duplicates(frame, "id", 0.6), similarity.likely_duplicates(frame, "id", 0.6, recall=0.9999)):
+        assert [tuple(r) for r in found.collect()] == [(4, 3)]
+
+
+def test_a_vector_travels_a_bounded_number_of_times(spark, monkeypatch):
+    """Where nothing can be pruned a vector was sent to every cell; now to as many tasks as either way of dealing has."""
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 5)
+    real, sent = similarity._compared, []
+    monkeypatch.setattr(similarity, "_compared", lambda dealt, *rest: (sent.append(dealt.count()), real(dealt, *rest))[1])
+    rng = np.random.default_rng(2)
+    similarity.near_duplicates(vectors(spark, enumerate(rng.normal(size=(400, 8)))), "id", 0.1).count()
+    assert sent[0] <= 400 * (2 * similarity.GRID + 8)  # 80 cells

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from pagemill.operators.ordering import cut_points, null_safe_join, top_per_key, with_previous, with_running_sums
+from pagemill.operators.ordering import BROADCAST_BYTES, MAX_PIECES, cut_points, null_safe_join, top_per_key, with_previous, with_running_sums
 from pagemill.operators.records import until_stop
-from pagemill.storage import cut_lineage
+from pagemill.storage import cut_lineage, plan_bytes
 
 # Stop rules and bands of an adaptive crawl.
 CONFIDENCE = 0.8
@@ -19,6 +24,9 @@ MAX_PAGES = 30
 LEAST_GAIN = 0.05
 BANDS = ((0.3, "insufficient"), (0.6, "partial"), (0.7, "good"))
 TOP_BAND = "excellent"
+DOCS_AT_ONCE = 200
+PART_BYTES = 4 << 20
+MATCHES_AT_ONCE = 2_000_000
 SEPARATORS = r"[\s.,;:!?]+"
 
 
@@ -78,12 +86,43 @@ def postings(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     ``leads`` is true for one row of each document, which stands for it in the
     collection's statistics; a document without terms has only that row, its
-    term null. Words combine within a document before the only shuffle.
+    term null. Words are counted within a document, a few documents at once,
+    before the only shuffle: a table of all words of a task would be as large as
+    its texts. The shuffle has a part for each ``PART_BYTES`` of the texts' files.
     """
-    cut = docs.select(key, terms(F.col(text)).alias("_terms")).select(key, F.size("_terms").alias("length"), "_terms")
-    words = cut.select(key, "length", F.posexplode_outer("_terms").alias("_at", "term"))
-    leads = (F.min(F.coalesce("_at", F.lit(0))) == 0).alias("leads")
-    return words.groupBy("term", key).agg(F.count("term").alias("tf"), F.max("length").alias("length"), leads)
+    cut = docs.select(F.col(key).alias("key"), terms(F.col(text)).alias("words")).select("key", F.size("words").alias("length"), "words")
+    fields = [T.StructField("term", T.StringType()), T.StructField(key, docs.schema[key].dataType), T.StructField("tf", T.LongType())]
+    schema = T.StructType([*fields, T.StructField("length", T.IntegerType()), T.StructField("leads", T.BooleanType())])
+    arrow = to_arrow_schema(schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(at, DOCS_AT_ONCE)
+                lists, rows, found, tf, leads = part.column("words"), [], [], [], []
+                for row in range(part.num_rows):
+                    held = Counter(lists[row].as_py() or ()) or {None: 0}
+                    rows += [row] * len(held)
+                    found += held
+                    tf += held.values()
+                    leads += [True] + [False] * (len(held) - 1)
+                keys, lengths = (part.column(c).take(pa.array(rows, pa.int32())) for c in ("key", "length"))
+                columns = [found, keys, tf, lengths, leads]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    # Documents with the same key are one.
+    counted = _spread(cut.mapInArrow(count, schema), _parts(docs), "term", key)
+    return counted.groupBy("term", key).agg(F.sum("tf").alias("tf"), F.max("length").alias("length"), F.max("leads").alias("leads"))
+
+
+def _parts(docs: DataFrame) -> int | None:
+    """Parts of a shuffle of the words of ``docs``; none if their size isn't known."""
+    held = plan_bytes(docs)
+    return max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(held / PART_BYTES)) if held < 1 << 50 else None
+
+
+def _spread(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    return df.repartition(parts, *keys) if parts else df.repartition(*keys)
 
 
 def write_postings(docs: DataFrame, path: str, key: str, text: str = "text", partitions: int | None = None) -> None:
@@ -92,7 +131,7 @@ def write_postings(docs: DataFrame, path: str, key: str, text: str = "text", par
     A very common term spreads over several ranges by document.
     """
     ranged = [F.col("term"), F.col(key)]
-    found = postings(docs, key, text)
+    found, partitions = postings(docs, key, text), partitions or _parts(docs)
     dealt = found.repartitionByRange(partitions, *ranged) if partitions else found.repartitionByRange(*ranged)
     dealt.sortWithinPartitions(*ranged).write.parquet(path)
 
@@ -105,7 +144,9 @@ def rank_queries(
     The stored ``index`` of :func:`write_postings` takes the place of the texts.
     Scores are those of :func:`rank_pages` to nine digits. The terms of the queries are written,
     so the planner knows their size: few are sent to the postings, many are
-    joined by a shuffle in which a common term is split.
+    joined by a shuffle in which a common term is split. Before few are sent the
+    postings are dealt by document, so that a task sums up about ``MATCHES_AT_ONCE``
+    matches and not those of all documents with a common term.
     """
     wanted = queries.select(query, F.explode(F.array_distinct(terms(F.col(asked)))).alias("term"))
     wanted = cut_lineage(wanted, "query-terms")
@@ -114,6 +155,9 @@ def rank_queries(
     known = cut_lineage(wanted.join(found, "term"), "query-weights")
     lead = F.col("leads")
     stats = index.agg(F.struct(F.count_if(lead).alias("n"), F.avg(F.when(lead, F.col("length"))).alias("length")).alias("stats"))
+    if plan_bytes(known) <= BROADCAST_BYTES:
+        matches = known.agg(F.sum("_df")).first()[0] or 0
+        index = hits.repartition(max(1, min(math.ceil(matches / MATCHES_AT_ONCE), MAX_PIECES)), key)
     matched = index.join(known, "term").withColumn("_stats", stats.scalar())
     n, mean, df, tf = F.col("_stats")["n"], F.col("_stats")["length"], F.col("_df"), F.col("tf")
     idf = F.log(1 + (n - df + 0.5) / (df + 0.5))

@@ -30,6 +30,29 @@ def test_many_queries_are_ranked_as_each_alone(spark, broadcast):
         assert [r for r, _, _ in mine] == list(range(1, len(expected) + 1))
 
 
+@pytest.mark.parametrize("at_once", [1, 200])
+def test_postings_of_documents_with_the_same_key(spark, monkeypatch, at_once):
+    monkeypatch.setattr(relevance, "DOCS_AT_ONCE", at_once)
+    docs = spark.createDataFrame([(1, "b a b"), (1, "a"), (2, ""), (2, None), (None, "C"), (3, None)], "id long, text string")
+    got = sorted((tuple(r) for r in relevance.postings(docs, "id").collect()), key=str)
+    assert got == sorted([("a", 1, 2, 3, True), ("b", 1, 2, 3, True), (None, 2, 0, 0, True), ("c", None, 1, 1, True), (None, 3, 0, None, True)], key=str)
+
+
+def test_words_are_not_gathered_by_a_task(spark, monkeypatch):
+    """Postings were aggregated before the shuffle, in a table of all words of a task, and summed up by term."""
+    docs = spark.createDataFrame([(i, f"the word{i} a") for i in range(400)], "id long, text string")
+    text = relevance.postings(docs, "id")._jdf.queryExecution().executedPlan().toString()
+    assert text.index("HashAggregate") < text.index("Exchange") and "HashAggregate" not in text[text.index("Exchange") :]
+    path = scratch_path(spark, "postings")
+    relevance.write_postings(docs, path, "id")
+    monkeypatch.setattr(relevance, "MATCHES_AT_ONCE", 100)
+    asked = spark.createDataFrame([(1, "the a"), (2, "the word3")], "q long, asked string")
+    found = relevance.rank_queries(spark.read.parquet(path), asked, "q", "asked", "id", 400)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert ", 13), REPARTITION_BY_NUM" in text  # 1,201 matches
+    assert found.count() == 800
+
+
 def test_index_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "id long, text string")
     queries = spark.createDataFrame([(1, "a")], "q long, asked string")
